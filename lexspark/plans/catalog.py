@@ -239,11 +239,18 @@ def upsert_postings(spark, sf_dir):
     """Half the frequency for labelled documents, then a quarter for the toxic ones."""
     current = index_ops.build_index(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    labelled = current.join(labels, "doc_id")
-    halved = labelled.select("doc_id", "word", (F.col("word_frequency") / 2).alias("word_frequency"), F.lit(1).alias("version"))
-    toxic = labelled.filter(F.col("toxic") == 1)
-    quartered = toxic.select("doc_id", "word", (F.col("word_frequency") / 4).alias("word_frequency"), F.lit(2).alias("version"))
-    merged = index_ops.upsert_postings(current, halved.unionByName(quartered), version_col="version")
+    tf = F.col("word_frequency")
+    writes = F.array(
+        F.struct(F.lit(1).alias("version"), (tf / 2).alias("word_frequency")),
+        F.when(F.col("toxic") == 1, F.struct(F.lit(2).alias("version"), (tf / 4).alias("word_frequency"))),
+    )
+    changes = (
+        current.join(labels, "doc_id")
+        .select("doc_id", "word", F.explode(writes).alias("w"))
+        .filter(F.col("w").isNotNull())
+        .select("doc_id", "word", "w.version", "w.word_frequency")
+    )
+    merged = index_ops.upsert_postings(current, changes, version_col="version")
     return merged.withColumn("word_frequency", F.round("word_frequency", 8))
 
 
