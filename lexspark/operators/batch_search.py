@@ -8,8 +8,9 @@ reductions keep the work near the size of the answer:
   and largest frequency of the band. From it follow, per query and before any pair is formed, a
   lower bound on the k-th best score and upper bounds on what each word can contribute. A document
   that reaches the bound must reach its proportional share in at least one word, so only postings
-  above that share become candidates. The join on (word, band) visits just those bands, and
-  candidates are then scored in full.
+  above that share become candidates. The join on (word, band) visits just those bands. What the
+  candidates are known to score by then rules out most of them; the rest is scored in full. (This is
+  the three-phase uniform-threshold scheme of Cao and Wang, 2004, with shares per word.)
 
 A query whose bound prunes too little is scored directly from all its postings instead (the
 profile gives both costs), and so is a whole batch that matches few postings. Every way returns the
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.scoring import mean_score
 from lexspark.functions.text import tokens
-from lexspark.operators.idf import document_frequency
 from lexspark.operators.index import count_words
 from lexspark.operators.search import DEFAULT_K, attach_text, check_k
 from lexspark.session import broadcast_if_small, materialise
@@ -63,10 +63,10 @@ def distinct_queries(queries: DataFrame, query_col: str, text_col: str) -> tuple
     return members, reps.select("rep", "words")
 
 
-def query_plan(terms: DataFrame, profile: DataFrame, idf: DataFrame, k: int) -> DataFrame:
+def query_plan(weights: DataFrame, profile: DataFrame, k: int) -> DataFrame:
     """Per (rep, word): its weight, the least useful frequency ``tf_floor`` and the route to take.
 
-    ``terms`` has ``(rep, n_tokens, word, repeats)``. Windows run over the bands of one word (at
+    Windows run over the bands of one word (at
     most ``-LOWEST_BAND + 1`` rows) and over the words of one query text.
     """
     down = Window.partitionBy("word").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, 0)
@@ -78,9 +78,8 @@ def query_plan(terms: DataFrame, profile: DataFrame, idf: DataFrame, k: int) ->
         F.collect_list(F.struct("band", "n", F.col("tf_max").alias("top"))).alias("bands"),
     )
     weighted = (
-        terms.join(words, "word")
-        .join(idf.select("word", "idf"), "word", "left")
-        .withColumn("weight", F.col("repeats") * F.coalesce("idf", F.lit(0.0)))
+        weights.select("rep", "n_tokens", "word", "weight")
+        .join(words, "word")
         .withColumn("_up", F.greatest(F.col("weight"), F.lit(0.0)) * F.col("tf_max"))
         .withColumn("_down", F.least(F.col("weight"), F.lit(0.0)) * F.col("tf_max"))
     )
@@ -100,26 +99,45 @@ def query_plan(terms: DataFrame, profile: DataFrame, idf: DataFrame, k: int) ->
         .withColumn("reached", reached)
         .withColumn("_hits", F.aggregate("reached", F.lit(0).cast("bigint"), lambda hits, b: hits + b.n))
     )
-    # Candidates cost one visit and one lookup per word of the query; the direct way costs its postings.
-    pruned_cost = F.sum("_hits").over(query) * (1 + F.count(F.lit(1)).over(query))
-    pruned = (F.col("_bound") > 0) & (pruned_cost < F.sum("df").over(query))
+    # Completing the few survivors costs little; finding candidates twice over must beat the direct way.
+    pruned = (F.col("_bound") > 0) & (2 * F.sum("_hits").over(query) < F.sum("df").over(query))
     return bounded.withColumn("pruned", F.coalesce(pruned, F.lit(False))).select(
-        "rep", "n_tokens", "word", "weight", "tf_floor", "pruned", F.transform("reached", lambda b: b.band).alias("bands")
+        "rep",
+        "n_tokens",
+        "word",
+        "weight",
+        "tf_floor",
+        "pruned",
+        F.col("_bound").alias("bound"),
+        F.sum("_down").over(query).alias("down"),
+        F.transform("reached", lambda b: b.band).alias("bands"),
     )
 
 
-def term_weights(terms: DataFrame, idf: DataFrame) -> DataFrame:
-    """``(rep, n_tokens, word, weight)``; words without an IDF weigh 0."""
-    known = idf.select("word", "idf")
-    return terms.join(known, "word", "left").select(
-        "rep", "n_tokens", "word", (F.col("repeats") * F.coalesce("idf", F.lit(0.0))).alias("weight")
+def term_weights(reps: DataFrame, idf: DataFrame, dedupe_query_terms: bool) -> DataFrame:
+    """``(rep, n_tokens, word, weight, document_count)``; words without an IDF weigh 0."""
+    repeats = F.lit(1) if dedupe_query_terms else F.col("word_count")
+    counted = "document_count" if "document_count" in idf.columns else F.lit(None).cast("bigint").alias("document_count")
+    return (
+        count_words(reps, F.col("words"), ["rep"])
+        .join(idf.select("word", "idf", counted), "word", "left")
+        .select(
+            "rep",
+            F.col("total_words").alias("n_tokens"),
+            "word",
+            (repeats * F.coalesce("idf", F.lit(0.0))).alias("weight"),
+            "document_count",
+        )
     )
 
 
-def matching_pairs(terms: DataFrame, frequencies: DataFrame) -> int:
-    """How many (query word, posting) pairs the direct way would visit."""
-    asked = terms.groupBy("word").agg(F.count(F.lit(1)).alias("_queries"))
-    pairs = frequencies.join(broadcast_if_small(asked), "word").agg(F.sum(F.col("_queries") * F.col("document_count")))
+def matching_pairs(weights: DataFrame, postings: DataFrame, counted: bool) -> int:
+    """About how many (query word, posting) pairs the direct way would visit."""
+    if not counted:
+        asked = weights.groupBy("word").agg(F.count(F.lit(1)).alias("_queries"))
+        pairs = postings.join(broadcast_if_small(asked), "word").agg(F.sum("_queries"))
+    else:
+        pairs = weights.agg(F.sum("document_count"))
     return pairs.first()[0] or 0
 
 
@@ -128,19 +146,44 @@ def direct_parts(postings: DataFrame, weights: DataFrame) -> DataFrame:
     return postings.join(broadcast_if_small(weights), "word")
 
 
-def bounded_parts(postings: DataFrame, plan: DataFrame, id_col: str) -> DataFrame:
-    """The same for candidates only: find them by (word, band), then look up all their words."""
-    pruned = plan.filter("pruned")
-    probes = pruned.select("rep", "word", "tf_floor", F.explode("bands").alias("band"))
-    candidates = (
+def candidates(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> DataFrame:
+    """``(rep, id)`` that can still be among the best ``k`` of the pruned queries of a plan.
+
+    A document seen in some words scores at least what those words give, and at most that plus the
+    floors of the words in which it was not seen. The k-th best lower bound rules out the rest.
+    """
+    probes = plan.filter("pruned").select(
+        "rep", "n_tokens", "word", "weight", "tf_floor", "bound", "down", F.explode("bands").alias("band")
+    )
+    seen = (
         postings.withColumn("band", frequency_band(F.col("tf")))
         .join(broadcast_if_small(probes), ["word", "band"])
         .filter(F.col("tf") >= F.col("tf_floor"))
-        .select("rep", id_col)
-        .distinct()
+        .groupBy("rep", "n_tokens", "bound", "down", id_col)
+        .agg(
+            F.sum(F.col("weight") * F.col("tf")).alias("_known"),
+            F.sum(F.col("weight") * F.col("tf_floor")).alias("_floors"),
+        )
+        .select(
+            "rep",
+            id_col,
+            (F.col("_known") + F.col("down")).alias("_least"),
+            (F.col("_known") + F.col("bound") - F.col("_floors")).alias("_most"),
+            (ROUNDING_SLACK * F.col("n_tokens") + RELATIVE_SLACK * F.col("_known")).alias("_slack"),
+        )
     )
-    weights = pruned.select("rep", "n_tokens", "word", "weight")
-    lookups = candidates.join(broadcast_if_small(weights), "rep")
+    seen = materialise(seen, "query-candidates")
+    best = Window.partitionBy("rep").orderBy(F.desc("_least"))
+    leaders = seen.select("rep", "_least").withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= k)
+    needed = leaders.groupBy("rep").agg(F.min("_least").alias("_needed"), F.max("_place").alias("_leaders"))
+    enough = (F.col("_leaders") < k) | (F.col("_most") + F.col("_slack") >= F.col("_needed"))
+    return seen.join(needed, "rep").filter(enough).select("rep", id_col)
+
+
+def bounded_parts(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> DataFrame:
+    """The parts of candidates only, looked up for all words of their query."""
+    weights = plan.filter("pruned").select("rep", "n_tokens", "word", "weight")
+    lookups = candidates(postings, plan, k, id_col).join(broadcast_if_small(weights), "rep")
     return postings.join(lookups, [id_col, "word"])
 
 
@@ -172,32 +215,26 @@ def batch_search(
     if strategy not in ("auto", "direct", "bounded"):
         raise ValueError(f"unknown strategy {strategy!r}")
     members, reps = distinct_queries(queries, query_col, query_text_col)
-    repeats = F.lit(1) if dedupe_query_terms else F.col("word_count")
-    terms = materialise(
-        count_words(reps, F.col("words"), ["rep"]).select(
-            "rep", F.col("total_words").alias("n_tokens"), "word", repeats.alias("repeats")
-        ),
-        "query-terms",
-    )
-    vocabulary = broadcast_if_small(terms.select("word").distinct())
+    weights = materialise(term_weights(reps, idf, dedupe_query_terms), "query-weights")
+    vocabulary = broadcast_if_small(weights.select("word").distinct())
     posted = postings.select(id_col, "word", F.col("word_frequency").cast("double").alias("tf"))
     relevant = posted.join(vocabulary, "word", "left_semi")
     if strategy == "auto":
-        counted = idf if "document_count" in idf.columns else document_frequency(relevant, id_col)
-        strategy = "direct" if matching_pairs(terms, counted) <= direct_limit(postings) else "bounded"
+        pairs = matching_pairs(weights, posted, "document_count" in idf.columns)
+        strategy = "direct" if pairs <= direct_limit(postings) else "bounded"
 
     columns = ["rep", "n_tokens", id_col, (F.col("tf") * F.col("weight")).alias("part")]
     if strategy == "direct":
-        parts = direct_parts(posted, term_weights(terms, idf)).select(*columns)
+        parts = direct_parts(posted, weights.drop("document_count")).select(*columns)
     else:
         if profile is None:
             profile = impact_profile(relevant.withColumnRenamed("tf", "word_frequency"))
         else:
             profile = profile.join(vocabulary, "word", "left_semi")
-        plan = materialise(query_plan(terms, profile, idf, max(k, 1)), "query-plan")
+        plan = materialise(query_plan(weights, profile, max(k, 1)), "query-plan")
         rest = plan.filter("NOT pruned").select("rep", "n_tokens", "word", "weight")
         parts = (
-            bounded_parts(relevant, plan, id_col)
+            bounded_parts(relevant, plan, max(k, 1), id_col)
             .select(*columns)
             .unionByName(direct_parts(posted, rest).select(*columns))
         )

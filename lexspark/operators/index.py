@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.scoring import term_frequency
-from lexspark.functions.text import tokens
+from lexspark.functions.text import clean_text, is_token, tokens
 from lexspark.session import spread
 
 
@@ -82,8 +82,9 @@ def document_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def with_token_flag(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``has_tokens``, the acceptance test of the index."""
-    return docs.withColumn("has_tokens", F.size(tokens(F.col(text_col))) > 0)
+    """``docs`` plus ``has_tokens``, the acceptance test of the index; stops at the first token."""
+    words = F.split(clean_text(F.col(text_col)), " ")
+    return docs.withColumn("has_tokens", F.exists(words, is_token))
 
 
 def accepted_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:

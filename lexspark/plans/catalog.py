@@ -40,14 +40,15 @@ def index_and_idf(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     """Documents, stored postings and stored IDF: what a search service has at hand."""
     docs = table(spark, sf_dir, "documents")
     postings = materialise(index_ops.build_index(docs), "postings")
-    total = idf_ops.document_count(index_ops.document_lengths(docs)).scalar()
+    total = idf_ops.indexed_document_count(postings).scalar()
     idf = materialise(idf_ops.idf_snapshot(idf_ops.document_frequency(postings), total), "idf")
     return docs, postings, idf
 
 
 def corpus_idf(docs: DataFrame) -> DataFrame:
-    total = idf_ops.document_count(index_ops.document_lengths(docs))
-    return idf_ops.build_idf(idf_ops.document_frequency(index_ops.build_index(docs)), total)
+    """IDF straight from texts; the postings are stored so that texts are tokenised once."""
+    postings = materialise(index_ops.build_index(docs), "postings")
+    return idf_ops.build_idf(idf_ops.document_frequency(postings), idf_ops.indexed_document_count(postings))
 
 
 # -- index and statistics ------------------------------------------------------------------------
@@ -88,9 +89,9 @@ def postings_for_words(spark, sf_dir):
 
 
 def corpus_stats(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    vocabulary = idf_ops.vocabulary_size(index_ops.build_index(docs))
-    total = idf_ops.document_count(index_ops.document_lengths(docs))
+    postings = materialise(index_ops.build_index(table(spark, sf_dir, "documents")), "postings")
+    vocabulary = idf_ops.vocabulary_size(postings)
+    total = idf_ops.indexed_document_count(postings)
     return total.select("total_documents", vocabulary.scalar().alias("vocabulary"))
 
 
@@ -237,7 +238,7 @@ def json_ingest(spark, sf_dir):
 
 def upsert_postings(spark, sf_dir):
     """Half the frequency for labelled documents, then a quarter for the toxic ones."""
-    current = index_ops.build_index(table(spark, sf_dir, "documents"))
+    current = materialise(index_ops.build_index(table(spark, sf_dir, "documents")), "postings")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     tf = F.col("word_frequency")
     writes = F.array(

@@ -73,29 +73,31 @@ WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
 # -- generators ----------------------------------------------------------------------------------
 
 
-def pick(row_id: str, position: str, seed: int, choices: int) -> str:
+def draw(row_id: str, position: str) -> str:
     p = generate.PRIME
-    start = f"(({row_id} % {p} * 48271 + {position} * 69621 + {seed} * 16807 + 1) % {p})"
-    mixed = f"(({start} * {start} + {start} + 7) % {p})"
-    return f"(({mixed} * {mixed} + {start}) % {p} % {choices})"
+    number = f"(({row_id} % {p} * 48271 + {position} * 69621 + 42 * 16807 + 1) % {p})"
+    for _ in range(2):
+        number = f"(({number} * {number} + {number} + 7) % {p})"
+    return number
 
 
 POPULAR = "[" + ", ".join(f"'{w}'" for w in generate.POPULAR_WORDS) + "]"
 
 
 def popular_word(row_id: str, position: str) -> str:
-    return f"{POPULAR}[{pick(row_id, position, 42, len(generate.POPULAR_WORDS))} + 1]"
+    return f"{POPULAR}[{draw(row_id, position)} % {len(generate.POPULAR_WORDS)} + 1]"
 
 
 CORPUS_POPULAR = f"""SELECT doc_id, array_to_string(list_transform(range(0, 35), lambda i: CASE
-    WHEN i >= 2 THEN 'gibberish_' || {pick('doc_id', 'i', 42, 5000)}
-    WHEN {pick('doc_id', '35', 42, 10)} < 1 THEN {popular_word('doc_id', 'i')}
-    ELSE 'word_' || {pick('doc_id', 'i', 42, 10000)} END), ' ') || ' ' AS text FROM documents"""
+    WHEN i >= 2 THEN 'gibberish_' || {draw('doc_id', 'i')} % 5000
+    WHEN {draw('doc_id', '35')} % 10 < 1 THEN {popular_word('doc_id', 'i')}
+    ELSE 'word_' || {draw('doc_id', 'i')} % 10000 END), ' ') || ' ' AS text FROM documents"""
 
-CORPUS_CHARS = f"""SELECT doc_id, array_to_string(list_transform(range(0, 1000),
-    lambda i: substr('{generate.ALPHABET}', {pick('doc_id', 'i', 42, 27)} + 1, 1)), '') AS text FROM documents"""
+CORPUS_CHARS = f"""SELECT doc_id, translate(array_to_string(list_transform(range(0, 167),
+    lambda i: to_base({draw('doc_id', 'i')} % 387420489, 27, 6)), '')[1:1000],
+    '0123456789ABCDEFGHIJKLMNOPQ', '{generate.ALPHABET}') AS text FROM documents"""
 
-QUERY_WORKLOAD = f"""SELECT event_id AS query_id, 'word_' || {pick('event_id', '0', 42, 10000)} AS text,
+QUERY_WORKLOAD = f"""SELECT event_id AS query_id, 'word_' || {draw('event_id', '0')} % 10000 AS text,
     'long_tail' AS workload FROM events
 UNION ALL SELECT event_id, {popular_word('event_id', '0')}, 'short_tail' FROM events"""
 

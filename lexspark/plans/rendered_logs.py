@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.session import spread
+
 LINES_PER_BLOCK = 1000
 
 
@@ -40,7 +42,7 @@ def pidstat_lines(events: DataFrame) -> DataFrame:
         command,
     )
     line = F.when(F.col("event_type") == "error", F.concat(F.lit("Average:  "), F.col("props"))).otherwise(sample)
-    return events.select(*_place(file), F.concat(line, F.lit("  ")).alias("line"))
+    return spread(events, "event_id").select(*_place(file), F.concat(line, F.lit("  ")).alias("line"))
 
 
 def iostat_lines(events: DataFrame) -> DataFrame:
@@ -61,7 +63,7 @@ def iostat_lines(events: DataFrame) -> DataFrame:
     )
     kind = F.col("event_type")
     line = F.when(kind.isin("view", "click"), cpu).when(kind == "error", header).otherwise(device)
-    return events.select(*_place(file), line.alias("line"))
+    return spread(events, "event_id").select(*_place(file), line.alias("line"))
 
 
 def report_lines(events: DataFrame, insert_format: bool = False) -> DataFrame:
@@ -84,6 +86,6 @@ def report_lines(events: DataFrame, insert_format: bool = False) -> DataFrame:
         ]
     frame = [F.lit("========= RESULTS ========="), *lines, F.lit("")]
     file = F.format_string("run/user_%d.txt", F.col("user_id"))
-    return events.select(*_place(file)[:2], "event_id", F.posexplode(F.array(*frame))).select(
+    return spread(events, "event_id").select(*_place(file)[:2], "event_id", F.posexplode(F.array(*frame))).select(
         "file", "block", (F.col("event_id") * 10 + F.col("pos")).alias("line_id"), F.col("col").alias("line")
     )

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.session import spread
+
 # Vocabulary and shape of the generated texts.
 POPULAR_WORDS = (
     "apple", "amazon", "google", "microsoft", "tcs", "reliance", "iitb", "facebook", "meta", "tesla",
@@ -31,55 +33,81 @@ CHARACTERS_PER_DOCUMENT = 1_000
 PRIME = 2_147_483_647
 
 
-def pick(row_id: Column, position: Column, seed: int, choices: int) -> Column:
-    """A number below ``choices`` that depends on all arguments; ``row_id`` is a non-negative integer."""
-    start = (row_id % PRIME * 48271 + position * 69621 + F.lit(seed % PRIME) * 16807 + 1) % PRIME
-    mixed = (start * start + start + 7) % PRIME
-    again = (mixed * mixed + start) % PRIME
-    return again % choices
+#: Letters drawn at a time: 27 ** 6 is below the modulus.
+LETTERS_PER_DRAW = 6
+DIGITS_27 = "0123456789ABCDEFGHIJKLMNOPQ"
+
+
+def _start(row_id: Column, position: Column, seed: int) -> Column:
+    return (row_id % PRIME * 48271 + position * 69621 + F.lit(seed % PRIME) * 16807 + 1) % PRIME
+
+
+def _mix(value: Column) -> Column:
+    return (value * value + value + 7) % PRIME
+
+
+def draw(row_id: Column, position: Column, seed: int) -> Column:
+    """A number below ``PRIME`` that depends on all arguments; ``row_id`` is a non-negative integer."""
+    return _mix(_mix(_start(row_id, position, seed)))
 
 
-def _word(list_name: str, row_id: Column, position: Column, seed: int) -> Column:
-    if list_name == "popular":
-        words = F.array(*[F.lit(w) for w in POPULAR_WORDS])
-        return F.get(words, pick(row_id, position, seed, len(POPULAR_WORDS)).cast("int"))
-    prefix, size = {"random": ("word_", RANDOM_WORDS), "filler": ("gibberish_", FILLER_WORDS)}[list_name]
-    return F.concat(F.lit(prefix), pick(row_id, position, seed, size).cast("string"))
+def draws(row_id: Column, count: int, seed: int) -> Column:
+    """The draws of positions 0 to ``count - 1`` as an array."""
+    positions = F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
+    started = F.transform(positions, lambda p: _start(row_id, p, seed))
+    # One step per transform: a lambda variable is computed once, a nested expression is repeated.
+    return F.transform(F.transform(started, _mix), _mix)
 
 
-def _positions(count: int) -> Column:
-    return F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
+def _popular(number: Column) -> Column:
+    words = F.array(*[F.lit(w) for w in POPULAR_WORDS])
+    return F.get(words, (number % len(POPULAR_WORDS)).cast("int"))
+
+
+def _random(number: Column) -> Column:
+    return F.concat(F.lit("word_"), (number % RANDOM_WORDS).cast("string"))
+
+
+def _filler(number: Column) -> Column:
+    return F.concat(F.lit("gibberish_"), (number % FILLER_WORDS).cast("string"))
 
 
 def generate_word_documents(ids: DataFrame, id_col: str = "doc_id", seed: int = 0) -> DataFrame:
     """``(id, text)``: two leading words, popular in about one document of ten, then filler."""
     row = F.col(id_col)
-    popular = pick(row, F.lit(WORDS_PER_DOCUMENT), seed, POPULAR_SHARE) < 1
-
-    def word(position: Column) -> Column:
-        leading = F.when(popular, _word("popular", row, position, seed)).otherwise(_word("random", row, position, seed))
-        return F.when(position < LEADING_WORDS, leading).otherwise(_word("filler", row, position, seed))
-
-    words = F.transform(_positions(WORDS_PER_DOCUMENT), word)
-    return ids.select(id_col, F.concat(F.array_join(words, " "), F.lit(" ")).alias("text"))
+    popular = draw(row, F.lit(WORDS_PER_DOCUMENT), seed) % POPULAR_SHARE < 1
+    numbered = spread(ids.select(id_col), id_col).select(
+        id_col, popular.alias("_popular"), draws(row, WORDS_PER_DOCUMENT, seed).alias("_draws")
+    )
+    leading = F.when(F.col("_popular"), F.transform(F.slice("_draws", 1, LEADING_WORDS), _popular)).otherwise(
+        F.transform(F.slice("_draws", 1, LEADING_WORDS), _random)
+    )
+    filler = F.transform(F.slice("_draws", LEADING_WORDS + 1, WORDS_PER_DOCUMENT), _filler)
+    return numbered.select(
+        id_col, F.concat(F.array_join(F.concat(leading, filler), " "), F.lit(" ")).alias("text")
+    )
 
 
 def generate_character_documents(
     ids: DataFrame, id_col: str = "doc_id", length: int = CHARACTERS_PER_DOCUMENT, seed: int = 0
 ) -> DataFrame:
-    """``(id, text)``: uniform letters and spaces."""
-    row = F.col(id_col)
+    """``(id, text)``: uniform letters and spaces, drawn as base-27 digits."""
+    count = -(-length // LETTERS_PER_DRAW)
+    base = len(ALPHABET)
 
-    def character(position: Column) -> Column:
-        return F.substring(F.lit(ALPHABET), pick(row, position, seed, len(ALPHABET)).cast("int") + 1, F.lit(1))
+    def digits(number: Column) -> Column:
+        shown = F.conv((number % base**LETTERS_PER_DRAW).cast("string"), 10, base)
+        return F.lpad(shown, LETTERS_PER_DRAW, "0")
 
-    return ids.select(id_col, F.array_join(F.transform(_positions(length), character), "").alias("text"))
+    text = F.array_join(F.transform(draws(F.col(id_col), count, seed), digits), "")
+    cut = F.substring(text, 1, length)
+    return spread(ids.select(id_col), id_col).select(id_col, F.translate(cut, DIGITS_27, ALPHABET).alias("text"))
 
 
 def generate_queries(ids: DataFrame, workload: str, id_col: str = "query_id", seed: int = 0) -> DataFrame:
     """``(id, text)``: one-word queries, ``long_tail`` over the random words or ``short_tail`` over the
     popular ones."""
-    lists = {"long_tail": "random", "short_tail": "popular"}
-    if workload not in lists:
+    words = {"long_tail": _random, "short_tail": _popular}
+    if workload not in words:
         raise ValueError(f"unknown workload {workload!r}")
-    return ids.select(id_col, _word(lists[workload], F.col(id_col), F.lit(0), seed).alias("text"))
+    return ids.select(id_col, words[workload](draw(F.col(id_col), F.lit(0), seed)).alias("text"))

@@ -65,7 +65,8 @@ def pidstat_samples(lines: DataFrame, targets: tuple[str, ...] = ("server", "loa
         F.col("f")[10].alias("cmd"),
     )
     matching = F.filter(F.array(*[F.lit(t) for t in targets]), lambda t: F.col("cmd").contains(t))
-    return samples.select("*", F.explode(matching).alias("target"))
+    # The outer form keeps the optimiser from adding a size check that parses the line again.
+    return samples.select("*", F.explode_outer(matching).alias("target")).filter(F.col("target").isNotNull())
 
 
 def pidstat_summary(lines: DataFrame, target: str = "server") -> DataFrame:
@@ -87,29 +88,30 @@ def iostat_rows(lines: DataFrame, num_samples: int = 360) -> DataFrame:
 
     ``kind`` is ``cpu`` (six fields, the last is %idle) or ``disk`` (a device row).
     """
-    text = F.trim(F.regexp_replace("line", r"\s+", " "))
-    parts = lines.select("file", "block", "line_id", text.alias("_t")).filter(
-        (F.col("_t") != "") & ~F.col("_t").startswith("avg-cpu:")
-    )
-    split = parts.withColumn("f", F.split("_t", " "))
-    kind = F.when(F.size("f") == CPU_ROW_FIELDS, "cpu").when(
-        (F.size("f") >= DEVICE_ROW_FIELDS) & ~F.col("_t").startswith("Device"), "disk"
-    )
+    text = F.trim(F.translate(F.col("line"), "\t\n\x0b\f\r", " " * 5))
+
+    def parsed(f: Column) -> Column:
+        head = F.get(f, F.lit(0))
+        kind = F.when(~head.startswith("avg-cpu:") & (F.size(f) == CPU_ROW_FIELDS), "cpu").when(
+            ~head.startswith("avg-cpu:") & ~head.startswith("Device") & (F.size(f) >= DEVICE_ROW_FIELDS), "disk"
+        )
+        is_cpu, is_disk = kind == "cpu", kind == "disk"
+        return F.struct(
+            kind.alias("kind"),
+            F.when(is_cpu, F.get(f, F.lit(5)).cast("double")).alias("idle"),
+            F.when(is_disk, head).alias("device"),
+            *[F.when(is_disk, F.get(f, F.lit(i)).cast("double")).alias(name) for name, i in DEVICE_FIELDS.items()],
+        )
+
+    # Split once per line: the fields are a lambda variable, and no filter is pushed below an explode.
+    once = F.transform(F.array(F.split(text, " +")), parsed)
+    rows = lines.select("file", "block", "line_id", F.explode_outer(once).alias("r")).filter("r.kind IS NOT NULL")
     in_order = Window.partitionBy("file", "kind").orderBy("block", "line_id")
-    first = (
-        split.withColumn("kind", kind)
-        .filter(F.col("kind").isNotNull())
+    return (
+        rows.select("file", "block", "line_id", "r.*")
         .withColumn("sample", F.row_number().over(in_order))
         .filter(F.col("sample") <= num_samples)
-    )
-    is_cpu = F.col("kind") == "cpu"
-    return first.select(
-        "file",
-        "kind",
-        "sample",
-        F.when(is_cpu, F.col("f")[5].cast("double")).alias("idle"),
-        F.when(~is_cpu, F.col("f")[0]).alias("device"),
-        *[F.when(~is_cpu, F.get("f", F.lit(i)).cast("double")).alias(name) for name, i in DEVICE_FIELDS.items()],
+        .drop("block", "line_id")
     )
 
 
@@ -136,17 +138,17 @@ def occurrence_number(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Number the rows of every group in line order, block by block.
 
     Rows are numbered within a block; the counts of the earlier blocks are added. No window holds
-    more than one block of lines or one row per block.
+    more than one block of lines or one row per block, and both uses share one shuffle.
     """
     in_block = Window.partitionBy(*keys, "block").orderBy("line_id")
     earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = df.withColumn("_local", F.row_number().over(in_block))
     offsets = (
-        df.groupBy(*keys, "block")
-        .agg(F.count(F.lit(1)).alias("_lines"))
+        numbered.groupBy(*keys, "block")
+        .agg(F.max("_local").alias("_lines"))
         .withColumn("_offset", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
         .drop("_lines")
     )
-    numbered = df.withColumn("_local", F.row_number().over(in_block))
     return numbered.join(offsets, [*keys, "block"]).withColumn(name, F.col("_local") + F.col("_offset")).drop(
         "_local", "_offset"
     )
@@ -158,13 +160,17 @@ def run_report(lines: DataFrame, metrics: dict[str, tuple[str, str]] = SEARCH_RE
     A line counts for the first metric that it matches. A file whose metrics do not occur equally
     often raises an error.
     """
-    line = F.col("line")
-    metric, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, (pattern, _) in reversed(metrics.items()):
-        metric = F.when(line.rlike(pattern), name).otherwise(metric)
-        value = F.when(line.rlike(pattern), F.regexp_extract(line, pattern, 1)).otherwise(value)
-    found = lines.select("file", "block", "line_id", metric.alias("metric"), value.alias("value")).filter(
-        F.col("metric").isNotNull()
+    tried = F.array(
+        *[
+            F.struct(F.lit(name).alias("metric"), F.regexp_extract("line", pattern, 1).alias("value"))
+            for name, (pattern, _) in metrics.items()
+        ]
+    )
+    first = F.slice(F.filter(tried, lambda m: m.value != ""), 1, 1)
+    found = (
+        lines.select("file", "block", "line_id", F.explode_outer(first).alias("m"))
+        .filter(F.col("m").isNotNull())
+        .select("file", "block", "line_id", "m.*")
     )
     runs = occurrence_number(found, ["file", "metric"], "run")
     table = runs.groupBy("file", "run").agg(

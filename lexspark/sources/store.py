@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from lexspark.operators.documents import get_document, get_documents
 from lexspark.operators.idf import document_count, document_frequency, idf_snapshot, merge_idf
-from lexspark.operators.index import accepted_documents, build_index, rejected_documents
+from lexspark.operators.index import build_index, with_token_flag
 from lexspark.operators.batch_search import batch_search
 from lexspark.operators.search import DEFAULT_K, attach_text, search
 from lexspark.sources.json_docs import ACCEPTED, decode_documents
@@ -35,10 +35,9 @@ class DocumentStore:
         self.stored_precision = stored_precision
         tf_type = "float" if stored_precision else "double"
         self.schemas = {
-            "documents": f"doc_id {id_type}, text string, created_at timestamp_ntz",
+            "documents": f"doc_id {id_type}, text string, created_at timestamp_ntz, accepted boolean",
             "postings": f"doc_id {id_type}, word string, word_frequency {tf_type}",
             "deletions": f"doc_id {id_type}",
-            "rejected": f"doc_id {id_type}, text string",
             "idf": "word string, document_count bigint, idf double",
         }
 
@@ -103,13 +102,14 @@ class DocumentStore:
     # -- reading ---------------------------------------------------------------------------------
 
     def documents(self) -> DataFrame:
-        return self._current("documents")
+        return self._current("documents").filter("accepted").drop("accepted")
 
     def postings(self) -> DataFrame:
         return self._current("postings")
 
     def rejected(self) -> DataFrame:
-        return self._read("rejected", [c["commit"] for c in self.commits() if c["kind"] == "change"]).drop("commit")
+        """Texts without tokens that were handed in since the last compaction."""
+        return self._current("documents").filter("NOT accepted").select("doc_id", "text")
 
     def idf(self) -> DataFrame:
         """The newest snapshot, which may be older than the postings."""
@@ -126,9 +126,11 @@ class DocumentStore:
 
     def _write_change(self, commit: int, docs: DataFrame, removed: DataFrame | None, key: str | None) -> None:
         # Ids are fixed by writing the documents before anything is derived from them.
-        stamped = docs.select("doc_id", "text", F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
-        written = self._write(accepted_documents(stamped), "documents", commit)
-        postings = build_index(written, stored_precision=self.stored_precision)
+        stamped = with_token_flag(
+            docs.select("doc_id", "text", F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
+        )
+        written = self._write(stamped.withColumnRenamed("has_tokens", "accepted"), "documents", commit)
+        postings = build_index(written.filter("accepted"), stored_precision=self.stored_precision)
         # Sorted files let the scan of a search skip to the pages of its words.
         self._write(postings.sortWithinPartitions("word", F.desc("word_frequency")), "postings", commit)
         empty = self.spark.createDataFrame([], self.schemas["deletions"])
@@ -137,12 +139,11 @@ class DocumentStore:
 
     def insert(self, texts: DataFrame, key: str | None = None) -> int | None:
         """Store texts under new ids. Equal texts give different documents; texts without tokens
-        go to ``rejected``. Returns the commit, None if ``key`` was already used."""
+        end up in ``rejected``. Returns the commit, None if ``key`` was already used."""
         commit = self._begin(key)
         if commit is None:
             return None
         keyed = texts.select(F.expr("uuid()").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        self._write(rejected_documents(keyed), "rejected", commit)
         self._write_change(commit, keyed, None, key)
         return commit
 
@@ -155,7 +156,6 @@ class DocumentStore:
         commit = self._begin(key)
         if commit is None:
             return None
-        self._write(rejected_documents(docs), "rejected", commit)
         self._write_change(commit, docs, docs.select("doc_id").distinct(), key)
         return commit
 
@@ -168,7 +168,6 @@ class DocumentStore:
         last = changes.groupBy("doc_id").agg(F.max(F.struct("seq", "op", "text")).alias("_last"))
         latest = last.select("doc_id", "_last.op", "_last.text")
         kept = latest.filter(F.col("op") == "upsert")
-        self._write(rejected_documents(kept), "rejected", commit)
         self._write_change(commit, kept, latest.select("doc_id"), key)
         return commit
 
@@ -186,7 +185,7 @@ class DocumentStore:
 
     def inserted(self, commit: int) -> DataFrame:
         """``(doc_id)`` of the documents of one commit."""
-        return self._read("documents", [commit]).select("doc_id")
+        return self._read("documents", [commit]).filter("accepted").select("doc_id")
 
     def compact(self) -> int:
         """Rewrite documents by id and postings by word, dropping what deletions hide.
@@ -194,7 +193,8 @@ class DocumentStore:
         Ranges split on a second column too, so one frequent word spreads over several files.
         """
         commit = self._begin(None)
-        self._write(self.documents().repartitionByRange("doc_id").sortWithinPartitions("doc_id"), "documents", commit)
+        documents = self.documents().withColumn("accepted", F.lit(True))
+        self._write(documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), "documents", commit)
         order = ["word", F.desc("word_frequency"), "doc_id"]
         self._write(self.postings().repartitionByRange(*order).sortWithinPartitions(*order), "postings", commit)
         self._commit(commit, "compact", None)
