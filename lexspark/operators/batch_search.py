@@ -34,6 +34,8 @@ LOWEST_BAND = -64
 #: Slack for rounding to the score's decimals, and for the order of floating-point sums.
 ROUNDING_SLACK = 1.1e-8
 RELATIVE_SLACK = 1e-9
+#: A query is pruned if this many visits of its candidate postings are cheaper than all its postings.
+PRUNING_FACTOR = 2
 #: The direct way is taken up to this many pairs per core: a second or so of work.
 DIRECT_PAIRS_PER_CORE = 4_000_000
 
@@ -100,7 +102,7 @@ def query_plan(weights: DataFrame, profile: DataFrame, k: int) -> DataFrame:
         .withColumn("_hits", F.aggregate("reached", F.lit(0).cast("bigint"), lambda hits, b: hits + b.n))
     )
     # Completing the few survivors costs little; finding candidates twice over must beat the direct way.
-    pruned = (F.col("_bound") > 0) & (2 * F.sum("_hits").over(query) < F.sum("df").over(query))
+    pruned = (F.col("_bound") > 0) & (PRUNING_FACTOR * F.sum("_hits").over(query) < F.sum("df").over(query))
     return bounded.withColumn("pruned", F.coalesce(pruned, F.lit(False))).select(
         "rep",
         "n_tokens",

@@ -7,6 +7,9 @@ lines without reading a file in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -141,17 +144,20 @@ def occurrence_number(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     more than one block of lines or one row per block, and both uses share one shuffle.
     """
     in_block = Window.partitionBy(*keys, "block").orderBy("line_id")
-    earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     numbered = df.withColumn("_local", F.row_number().over(in_block))
+    by_block = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("_block")
+    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    # All columns take part in the maximum, so this branch reads the very shuffle that numbered the rows.
+    last = F.max(F.struct("_local", *[c for c in df.columns if c not in keys])).alias("_last")
     offsets = (
-        numbered.groupBy(*keys, "block")
-        .agg(F.max("_local").alias("_lines"))
-        .withColumn("_offset", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
-        .drop("_lines")
-    )
-    return numbered.join(offsets, [*keys, "block"]).withColumn(name, F.col("_local") + F.col("_offset")).drop(
-        "_local", "_offset"
+        numbered.groupBy(*[F.col(c).alias(f"_{c}") for c in (*keys, "block")])
+        .agg(last)
+        .withColumn("_offset", F.coalesce(F.sum("_last._local").over(earlier), F.lit(0)))
+        .drop("_last")
     )
+    same_block = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "block")])
+    joined = numbered.join(offsets, same_block)
+    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).alias(name))
 
 
 def run_report(lines: DataFrame, metrics: dict[str, tuple[str, str]] = SEARCH_REPORT) -> DataFrame:
@@ -176,7 +182,7 @@ def run_report(lines: DataFrame, metrics: dict[str, tuple[str, str]] = SEARCH_RE
     table = runs.groupBy("file", "run").agg(
         F.count(F.lit(1)).alias("_found"),
         *[
-            F.max(F.when(F.col("metric") == name, F.col("value"))).cast(kind).alias(name)
+            F.max(F.when(F.col("metric") == name, F.col("value").cast(kind))).alias(name)
             for name, (_, kind) in metrics.items()
         ],
     )
