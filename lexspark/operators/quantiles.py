@@ -2,18 +2,24 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here equal values
 are counted first, a histogram per group finds the bins that hold the wanted ranks, and only the
-values of those bins are ordered.
+values of those bins are ordered. Bins are even on a logarithmic scale, so that a few extreme values
+do not push all others into one bin.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Histogram bins per group.
 BINS = 4096
 
 
+def _scale(value: Column) -> Column:
+    """Never decreasing in ``value``, which is all that the bins need."""
+    return F.signum(value) * F.log1p(F.abs(value))
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value_col: str, probabilities: dict[str, float]) -> DataFrame:
     """``(*keys, <name>...)`` with linear interpolation between neighbours; NULLs are ignored.
 
@@ -27,9 +33,10 @@ def exact_quantiles(df: DataFrame, keys: list[str], value_col: str, probabilitie
     spans = counts.groupBy(*keys).agg(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_total")
     )
-    share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    low, high = _scale(F.col("_low")), _scale(F.col("_high"))
+    share = (_scale(F.col("_v")) - low) / (high - low)
     binned = counts.join(spans, keys).withColumn(
-        "_bin", F.when(F.col("_high") > F.col("_low"), F.floor(share * BINS)).otherwise(F.lit(0))
+        "_bin", F.when(high > low, F.floor(share * BINS)).otherwise(F.lit(0))
     )
     wanted = F.array(
         *[F.floor(p * (F.col("_total") - 1)) for p in probabilities.values()],
@@ -51,7 +58,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value_col: str, probabilitie
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
 
-    def at(rank):
+    def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), F.col("_v")))
 
     sides = []

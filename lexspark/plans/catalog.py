@@ -280,7 +280,7 @@ def pidstat_summary(spark, sf_dir):
     lines = rendered_logs.pidstat_lines(table(spark, sf_dir, "events"))
     summary = logs.pidstat_summary(lines)
     rounded = [F.round(c, 6).alias(c) for c in ("max_cpu", "mean_cpu", "median_cpu", "avg_usr", "avg_sys")]
-    return summary.select("threads", "cmd", *rounded).orderBy("threads", "cmd")
+    return summary.select("threads", "cmd", *rounded)
 
 
 def iostat_summary(spark, sf_dir):
@@ -291,7 +291,7 @@ def iostat_summary(spark, sf_dir):
             "cpu_avg_idle", "cpu_max_idle", "cpu_95th_idle", "disk_avg_util", "disk_max_util", "disk_95th_util",
         )
     ]
-    return summary.select("file", "threads", "cpu_samples", "disk_samples", *rounded).orderBy("threads")
+    return summary.select("file", "threads", "cpu_samples", "disk_samples", *rounded)
 
 
 def run_report(spark, sf_dir):

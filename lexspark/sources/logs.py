@@ -83,7 +83,8 @@ def pidstat_summary(lines: DataFrame, target: str = "server") -> DataFrame:
         F.avg("system").alias("avg_sys"),
     )
     medians = exact_quantiles(samples, keys, "cpu", {"median_cpu": 0.5})
-    return totals.join(medians, keys).withColumn("threads", threads_from_name(F.col("file"), CPU_LOG_NAME))
+    summary = totals.join(medians, keys).withColumn("threads", threads_from_name(F.col("file"), CPU_LOG_NAME))
+    return summary.orderBy("threads", "cmd")
 
 
 def iostat_rows(lines: DataFrame, num_samples: int = 360) -> DataFrame:
@@ -134,6 +135,7 @@ def iostat_summary(lines: DataFrame, num_samples: int = 360) -> DataFrame:
             F.percentile("util", 0.95).alias("disk_95th_util"),
         )
         .withColumn("threads", threads_from_name(F.col("file"), DISK_LOG_NAME))
+        .orderBy("threads")
     )
 
 

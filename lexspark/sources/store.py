@@ -86,8 +86,8 @@ class DocumentStore:
         """Rows of the last compaction and of all later changes, without the deleted ones."""
         done = self.commits()
         base = max((c["commit"] for c in done if c["kind"] == "compact"), default=0)
-        changes = [c["commit"] for c in done if c["commit"] >= base and c["kind"] in ("compact", "change")]
-        removals = [c["commit"] for c in done if c["commit"] > base and c["kind"] in ("delete", "change")]
+        changes = [c["commit"] for c in done if c["commit"] >= base and c["kind"] in ("compact", "append", "replace")]
+        removals = [c["commit"] for c in done if c["commit"] > base and c["kind"] in ("delete", "replace")]
         rows = self._read(table, changes)
         if not removals:
             return rows.drop("commit")
@@ -124,7 +124,17 @@ class DocumentStore:
 
     # -- changes ---------------------------------------------------------------------------------
 
-    def _write_change(self, commit: int, docs: DataFrame, removed: DataFrame | None, key: str | None) -> None:
+    def _existing(self, ids: DataFrame) -> DataFrame:
+        """Those of ``ids`` that the store holds; reads the id column of the documents."""
+        stored = self._current("documents").select("doc_id")
+        return stored.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+
+    def _write_change(self, commit: int, docs: DataFrame, touched: DataFrame | None, key: str | None) -> None:
+        """Write documents and their postings; ``touched`` ids lose their earlier versions.
+
+        Only ids that were really there are recorded as removed, so feeds of new documents leave
+        nothing for readers to filter.
+        """
         # Ids are fixed by writing the documents before anything is derived from them.
         stamped = with_token_flag(
             docs.select("doc_id", "text", F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
@@ -133,9 +143,10 @@ class DocumentStore:
         postings = build_index(written.filter("accepted"), stored_precision=self.stored_precision)
         # Sorted files let the scan of a search skip to the pages of its words.
         self._write(postings.sortWithinPartitions("word", F.desc("word_frequency")), "postings", commit)
-        empty = self.spark.createDataFrame([], self.schemas["deletions"])
-        self._write(removed if removed is not None else empty, "deletions", commit)
-        self._commit(commit, "change", key)
+        kind = "append"
+        if touched is not None and not self._write(self._existing(touched), "deletions", commit).isEmpty():
+            kind = "replace"
+        self._commit(commit, kind, key)
 
     def insert(self, texts: DataFrame, key: str | None = None) -> int | None:
         """Store texts under new ids. Equal texts give different documents; texts without tokens
@@ -151,12 +162,18 @@ class DocumentStore:
         """Store the accepted ones of a set of JSON bodies."""
         return self.insert(decode_documents(bodies).filter(F.col("status") == ACCEPTED), key)
 
+    def append(self, docs: DataFrame, key: str | None = None) -> int | None:
+        """Store documents under their own ids, which must be unique and new to the store."""
+        commit = self._begin(key)
+        if commit is not None:
+            self._write_change(commit, docs, None, key)
+        return commit
+
     def upsert(self, docs: DataFrame, key: str | None = None) -> int | None:
         """Store documents under their own unique ids, replacing earlier versions as a whole."""
         commit = self._begin(key)
-        if commit is None:
-            return None
-        self._write_change(commit, docs, docs.select("doc_id").distinct(), key)
+        if commit is not None:
+            self._write_change(commit, docs, docs, key)
         return commit
 
     def apply_changes(self, changes: DataFrame, key: str | None = None) -> int | None:
@@ -176,9 +193,8 @@ class DocumentStore:
         commit = self._begin(key)
         if commit is None:
             return 0
-        present = self.documents().select("doc_id").join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-        removed = self._write(present.distinct(), "deletions", commit)
-        count = removed.count()
+        held = self.documents().select("doc_id").join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+        count = self._write(held.distinct(), "deletions", commit).count()
         if count:
             self._commit(commit, "delete", key)
         return count

@@ -30,10 +30,19 @@ def _start(stream: DataFrame, name: str, checkpoint: str, apply: Any, trigger: d
 
 
 def ingest_documents(
-    store: DocumentStore, documents: DataFrame, checkpoint: str, name: str = "ingest", **trigger: Any
+    store: DocumentStore,
+    documents: DataFrame,
+    checkpoint: str,
+    name: str = "ingest",
+    replace: bool = True,
+    **trigger: Any,
 ) -> StreamingQuery:
-    """Index a stream of ``(doc_id, text)`` under the given ids."""
-    return _start(documents, name, checkpoint, store.upsert, trigger or {"availableNow": True})
+    """Index a stream of ``(doc_id, text)`` under the given ids.
+
+    ``replace=False`` is for feeds whose ids are always new: it skips the look for earlier versions.
+    """
+    apply = store.upsert if replace else store.append
+    return _start(documents, name, checkpoint, apply, trigger or {"availableNow": True})
 
 
 def ingest_json(
