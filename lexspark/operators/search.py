@@ -85,7 +85,7 @@ def search(
     top = scored.orderBy(F.desc("score"), id_col).limit(k)
     if documents is None:
         return top
-    return attach_text(top, documents, id_col, text_col).orderBy(F.desc("score"), id_col)
+    return attach_text(top, documents, id_col, text_col).orderBy(F.desc("score"), id_col).limit(k)
 
 
 def attach_text(results: DataFrame, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

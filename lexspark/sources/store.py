@@ -246,7 +246,7 @@ class DocumentStore:
             rows = top.collect()
             top = self.spark.createDataFrame(rows, top.schema)
             documents = documents.filter(F.col("doc_id").isin(*[r["doc_id"] for r in rows]))
-        return attach_text(top, documents).orderBy(F.desc("score"), "doc_id")
+        return attach_text(top, documents).orderBy(F.desc("score"), "doc_id").limit(k)
 
     def batch_search(self, queries: DataFrame, k: int = DEFAULT_K, with_text: bool = True, **options: Any) -> DataFrame:
         documents = self.documents() if with_text else None
