@@ -68,8 +68,8 @@ def distinct_queries(queries: DataFrame, query_col: str, text_col: str) -> tuple
 def query_plan(weights: DataFrame, profile: DataFrame, k: int) -> DataFrame:
     """Per (rep, word): its weight, the least useful frequency ``tf_floor`` and the route to take.
 
-    Windows run over the bands of one word (at
-    most ``-LOWEST_BAND + 1`` rows) and over the words of one query text.
+    Windows run over the bands of one word (at most ``-LOWEST_BAND + 1`` rows) and over the words of
+    one query text.
     """
     down = Window.partitionBy("word").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = profile.withColumn("_cum", F.sum("n").over(down)).withColumn("_low", F.min("tf_min").over(down))
@@ -87,7 +87,8 @@ def query_plan(weights: DataFrame, profile: DataFrame, k: int) -> DataFrame:
     )
     query = Window.partitionBy("rep")
     # k documents reach the best single-word k-th frequency; other words can only take away _down.
-    bound = F.max(F.when(F.col("weight") > 0, F.col("weight") * F.col("tf_kth"))).over(query) + F.sum("_down").over(query)
+    best_word = F.max(F.when(F.col("weight") > 0, F.col("weight") * F.col("tf_kth"))).over(query)
+    bound = best_word + F.sum("_down").over(query)
     slack = ROUNDING_SLACK * F.col("n_tokens") + RELATIVE_SLACK * F.col("_sum_up")
     floor = F.when(
         (F.col("weight") > 0) & (F.col("_bound") > 0),
@@ -119,10 +120,11 @@ def query_plan(weights: DataFrame, profile: DataFrame, k: int) -> DataFrame:
 def term_weights(reps: DataFrame, idf: DataFrame, dedupe_query_terms: bool) -> DataFrame:
     """``(rep, n_tokens, word, weight, document_count)``; words without an IDF weigh 0."""
     repeats = F.lit(1) if dedupe_query_terms else F.col("word_count")
-    counted = "document_count" if "document_count" in idf.columns else F.lit(None).cast("bigint").alias("document_count")
+    if "document_count" not in idf.columns:
+        idf = idf.withColumn("document_count", F.lit(None).cast("bigint"))
     return (
         count_words(reps, F.col("words"), ["rep"])
-        .join(idf.select("word", "idf", counted), "word", "left")
+        .join(idf.select("word", "idf", "document_count"), "word", "left")
         .select(
             "rep",
             F.col("total_words").alias("n_tokens"),

@@ -124,7 +124,8 @@ def results_as_json(
         "rank", F.col(id_col).cast("string").alias("doc_id"), "score", F.col(text_col).alias("text")
     )
     listed = results.groupBy(query_col).agg(F.sort_array(F.collect_list(hit)).alias("_hits"))
-    bodies = F.transform("_hits", lambda h: F.struct(h.doc_id.alias("doc_id"), h.score.alias("score"), h.text.alias("text")))
+    fields = ("doc_id", "score", "text")
+    bodies = F.transform("_hits", lambda h: F.struct(*[h[name].alias(name) for name in fields]))
     return queries.select(query_col).join(listed, query_col, "left").select(
         query_col, response_json(bodies).alias("response")
     )

@@ -332,8 +332,9 @@ def corpus_chars(spark, sf_dir):
 
 def query_workload(spark, sf_dir):
     ids = table(spark, sf_dir, "events").select(F.col("event_id").alias("query_id"))
-    both = [generate.generate_queries(ids, kind, seed=42).withColumn("workload", F.lit(kind)) for kind in ("long_tail", "short_tail")]
-    return both[0].unionByName(both[1])
+    kinds = {kind: generate.generate_queries(ids, kind, seed=42) for kind in ("long_tail", "short_tail")}
+    named = [queries.withColumn("workload", F.lit(kind)) for kind, queries in kinds.items()]
+    return named[0].unionByName(named[1])
 
 
 # -- streams, run to the end of the input ---------------------------------------------------------

@@ -11,7 +11,8 @@ from lexspark.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
-    return local_session("lexspark-tests", "4", **{"spark.checkpoint.dir": str(shared), "spark.sql.shuffle.partitions": "4"})
+    conf = {"spark.checkpoint.dir": str(shared), "spark.sql.shuffle.partitions": "4"}
+    return local_session("lexspark-tests", "4", **conf)
 
 
 @pytest.fixture(scope="session")
