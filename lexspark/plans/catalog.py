@@ -15,7 +15,7 @@ from lexspark.operators import idf as idf_ops
 from lexspark.operators import index as index_ops
 from lexspark.operators import search as search_ops
 from lexspark.plans import rendered_logs
-from lexspark.session import materialise, scratch_path
+from lexspark.session import materialise, scratch_path, spread
 from lexspark.sources import generate, json_docs, logs
 from lexspark.sources.store import DocumentStore
 from lexspark.streaming import feeds
@@ -232,7 +232,7 @@ def json_ingest(spark, sf_dir):
         .when(lang == "es", F.lit('{"title":"x"}'))
         .otherwise(good)
     )
-    docs = table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", body.alias("body"))
     return json_docs.decode_documents(docs).select("doc_id", "text", "status")
 
 
