@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,3 +31,16 @@ def words_of(text: Column) -> Column:
 def partitions_for(spark: SparkSession, least: int = 1) -> int:
     """How many partitions a shuffle gets: what the session is set to."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        root = Path(__file__).resolve().parents[2]
+        built = tempfile.mkdtemp(prefix="lexspark-package-")  # read by the driver only, which sends it
+        context.addPyFile(shutil.make_archive(f"{built}/lexspark", "zip", root, "lexspark"))

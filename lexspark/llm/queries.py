@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm.common import table
+from lexspark.llm.common import ship_package, table
+from lexspark.llm.language_id import fit_dictionaries, predict_language
 from lexspark.llm.line_quality import line_quality
+from lexspark.llm.packing import pack_documents
+from lexspark.llm.token_files import round_trip
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return table(spark, sf_dir, "documents")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return predict_language(docs, fit_dictionaries(docs))
+
+
+def op4_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), TOKENIZER)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), TOKENIZER)
 
 
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_quality(table(spark, sf_dir, "documents"))
+    return line_quality(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op4_hierarchical_packing": op4_hierarchical_packing,
+    "op5_token_files": op5_token_files,
     "op9_line_quality": op9_line_quality,
 }
