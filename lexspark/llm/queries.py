@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lexspark.llm.common import ship_package, table
+from lexspark.llm.jaccard_join import jaccard_components
 from lexspark.llm.language_id import fit_dictionaries, predict_language
 from lexspark.llm.line_quality import line_quality
 from lexspark.llm.packing import pack_documents
@@ -24,6 +25,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, fit_dictionaries(docs))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op4_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), TOKENIZER)
 
@@ -38,6 +43,7 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_language_id": op2_language_id,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_hierarchical_packing": op4_hierarchical_packing,
     "op5_token_files": op5_token_files,
     "op9_line_quality": op9_line_quality,
