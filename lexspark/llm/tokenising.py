@@ -30,7 +30,9 @@ class WordTokenizer:
 
     def _learn(self, words: set[bytes]) -> None:
         new = []
-        for word in words - self.young.keys():
+        for word in words:
+            if word in self.young:
+                continue
             ids = self.old.get(word)
             if ids is None:
                 new.append(word)
