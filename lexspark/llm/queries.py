@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexspark.llm.common import ship_package, table
 from lexspark.llm.jaccard_join import jaccard_components
 from lexspark.llm.language_id import fit_dictionaries, predict_language
 from lexspark.llm.line_quality import line_quality
+from lexspark.llm.main_text import extract_main_text
+from lexspark.llm.mixing import mixing_order
 from lexspark.llm.packing import pack_documents
+from lexspark.llm.resharding import reshard
+from lexspark.llm.revisits import archive_of, header_lines, resolve_revisits
 from lexspark.llm.token_files import round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -37,14 +42,36 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), TOKENIZER)
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_order(documents(spark, sf_dir))
+
+
+def op8_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshard(documents(spark, sf_dir))
+
+
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(documents(spark, sf_dir))
 
 
+def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(archive_of(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", header_lines(F.col("headers")))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_hierarchical_packing": op4_hierarchical_packing,
     "op5_token_files": op5_token_files,
+    "op6_main_text": op6_main_text,
+    "op7_mixing": op7_mixing,
+    "op8_resharding": op8_resharding,
     "op9_line_quality": op9_line_quality,
+    "op10_revisits": op10_revisits,
 }

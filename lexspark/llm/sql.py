@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lexspark.llm.revisits import TRACKING
 from lexspark.llm.line_quality import BOILERPLATE, NAVIGATION, SENTENCE_END, SHOUTS, SYMBOLS
 
 
@@ -53,6 +54,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
+_HOST = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)"
+_PATH = "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)"
+
+REVISITS = rf"""
+WITH spelled AS (
+    SELECT page_id, coalesce(html, '') AS html, coalesce(url, '') AS url,
+        regexp_replace(trim(url), '#.*\z', '') AS bare
+    FROM pages
+), parts AS (
+    SELECT page_id, html, url,
+        regexp_replace(regexp_replace(lower(regexp_extract(bare, '{_HOST}', 1)), ':(80|443)?\z', ''),
+            '^www[0-9]*\.', '') AS host,
+        regexp_replace(regexp_extract(bare, '{_PATH}', 1), '/+\z', '') AS path,
+        list_sort(list_filter(string_split(regexp_extract(bare, '[?](.*)\z', 1), '&'),
+            lambda p: p <> '' AND NOT regexp_matches(p, '{TRACKING}'))) AS query
+    FROM spelled
+), base AS (
+    SELECT page_id, md5(html) AS digest, strlen(html) AS length, length(url) AS c,
+        CASE WHEN host <> '' THEN
+            host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END
+        END AS canonical
+    FROM parts
+), visits AS (
+    SELECT *, 4 * page_id + visit AS record_id, page_id + 1440 * visit AS captured_at,
+        'day ' || CAST(page_id // 1440 AS VARCHAR) AS changed
+    FROM base, range(4) AS r(visit) WHERE visit <= c % 4
+), placed AS (
+    SELECT *, last_value(CASE WHEN visit = 0 THEN page_id END IGNORE NULLS) OVER (
+        PARTITION BY canonical ORDER BY captured_at, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+    ) AS source FROM visits
+), judged AS (
+    SELECT p.*, b.digest AS found, b.length AS found_length, 'day ' || CAST(b.page_id // 1440 AS VARCHAR) AS found_changed,
+        CASE WHEN p.canonical IS NULL THEN 'no_url' WHEN b.page_id IS NULL THEN 'no_response'
+            WHEN visit = 3 THEN 'unverified'
+            WHEN visit = 1 THEN CASE WHEN p.page_id % 7 <> 0 AND p.digest = b.digest THEN 'resolved' ELSE 'mismatch' END
+            ELSE CASE WHEN p.changed = 'day ' || CAST(b.page_id // 1440 AS VARCHAR) THEN 'resolved' ELSE 'mismatch' END
+        END AS status
+    FROM placed p LEFT JOIN base b ON b.page_id = p.source AND p.canonical IS NOT NULL
+    WHERE visit > 0
+)
+SELECT record_id, canonical, captured_at, status,
+    CASE WHEN canonical IS NOT NULL THEN 4 * source END AS response_id,
+    CASE WHEN status IN ('resolved', 'unverified') THEN found END AS digest,
+    CASE WHEN status IN ('resolved', 'unverified') THEN
+        'cache-control: max-age=' || CAST(60 * visit AS VARCHAR) || chr(10)
+        || 'content-length: ' || CAST(found_length AS VARCHAR) || chr(10) || 'content-type: text/html' || chr(10)
+        || 'etag: ' || CASE WHEN visit = 1 THEN 'W/' ELSE '' END || '"' || found || '"' || chr(10)
+        || 'last-modified: ' || found_changed || chr(10) || 'x-visit: ' || CAST(visit AS VARCHAR)
+    END AS headers
+FROM judged
+"""
+
 ORACLES = {
+    "op10_revisits": REVISITS,
     "op9_line_quality": LINE_QUALITY,
 }
