@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.common import ship_package, table
+from lexspark.llm.cross_polytope import nearest_neighbours
 from lexspark.llm.jaccard_join import jaccard_components
 from lexspark.llm.language_id import fit_dictionaries, predict_language
 from lexspark.llm.line_quality import line_quality
@@ -25,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return predict_language(docs, fit_dictionaries(docs))
@@ -65,6 +71,7 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cross_polytope": op1_cross_polytope,
     "op2_language_id": op2_language_id,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_hierarchical_packing": op4_hierarchical_packing,
