@@ -1,24 +1,62 @@
-"""The corpus pipeline: five stages, each written as Parquet and read again by the next one."""
+"""The corpus pipeline: five stages, each written as Parquet and read again as the next one's documents.
+
+Every stage works on all that its predecessor kept. The first four return the columns of ``documents``; the
+last returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm.common import table
+from lexspark.llm.common import ship_package, table
+from lexspark.llm.jaccard_join import keep_one_of_each
+from lexspark.llm.language_id import fit_dictionaries, keep_identified
 from lexspark.llm.line_quality import clean_documents
+from lexspark.llm.mixing import mix_documents
+from lexspark.llm.packing import pack_documents
 from lexspark.session import materialise
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a clear language go."""
+    ship_package(spark)
+    return keep_identified(docs, fit_dictionaries(docs))
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that fail go, and documents that lose too much go."""
+    """Lines that fail go, and documents that fail or lose too much go."""
     return clean_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by similarity the one with the least id stays."""
+    ship_package(spark)
+    return keep_one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which the schedule of sources delivers them."""
+    return mix_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of several lengths."""
+    ship_package(spark)
+    return pack_documents(docs, TOKENIZER)
+
+
 STAGES = [
+    ("language id", language_id),
     ("quality rules", quality_rules),
+    ("n-gram jaccard join", near_duplicates),
+    ("mixing", mixing),
+    ("packing", packing),
 ]
 
-#: SQL cannot express compression with dictionaries, tokenising and packing.
+#: SQL cannot express compression with dictionaries and tokenising.
 ORACLE_SQL = None
 
 

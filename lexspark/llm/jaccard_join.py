@@ -438,3 +438,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("n").cast("bigint").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are the least of their component, with all columns; rows without an id stay."""
+    named = docs.filter(F.col(id_col).isNotNull())
+    first = jaccard_components(named, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
+    kept = named.join(first.select(id_col), id_col, "left_semi").dropDuplicates([id_col])
+    return kept.select(*docs.columns).union(docs.filter(F.col(id_col).isNull()))

@@ -29,7 +29,7 @@ FOLDS = 5
 SAMPLE_ROWS = 256
 PIECES_PER_ROW = 2
 PIECE_CHARS = 256
-DICTIONARY_BYTES = 32 * 1024
+DICTIONARY_BYTES = 64 * 1024
 LEVEL = 5
 CHUNK_BYTES = 2048
 #: Texts are rejected when the best size is not smaller than the next by this share.
@@ -116,7 +116,7 @@ class Sizes:
         """The language and the share by which its size is below the next one."""
         if not text or not self.compressors or not LETTER.search(text):
             return UNKNOWN, 0.0
-        data = text.lower().encode("utf-8", "replace")
+        data = f"\n{text.lower()}\n".encode("utf-8", "replace")  # framed, as the pieces of the dictionaries are
         chunks = [data[i : i + CHUNK_BYTES] for i in range(0, len(data), CHUNK_BYTES)]
         sizes = sorted((sum(len(c.compress(x)) for x in chunks), lang) for lang, c in self.compressors)
         if len(sizes) == 1:
