@@ -17,9 +17,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = "\t\n\x0b\f\r"
 
-#: Longest accepted query in bytes.
-MAX_QUERY_BYTES = 1023
-
 
 def clean_text(text: Column) -> Column:
     """Fold ASCII case, turn every separator into a space and delete ASCII punctuation.
@@ -52,6 +49,8 @@ def decode_query(raw: Column) -> Column:
     return F.replace(F.url_decode(escaped), F.lit("+"), F.lit(" "))
 
 
-def is_valid_query(query: Column) -> Column:
-    """Not missing, not empty and at most ``MAX_QUERY_BYTES`` bytes long."""
-    return F.coalesce(F.octet_length(query).between(1, MAX_QUERY_BYTES), F.lit(False))
+def is_valid_query(query: Column, max_bytes: int | None = None) -> Column:
+    """Not missing, not empty and, with ``max_bytes``, not longer than that."""
+    size = F.octet_length(query)
+    valid = (size >= 1) if max_bytes is None else size.between(1, max_bytes)
+    return F.coalesce(valid, F.lit(False))

@@ -1,6 +1,6 @@
 """Top-k search for a whole table of queries.
 
-Scoring every (query, document) pair that shares a word is quadratic in a popular word. Two exact
+Scoring every (query, document) pair that shares a word is quadratic in a popular word. Exact
 reductions keep the work near the size of the answer:
 
 * Queries with the same tokens are searched once.
@@ -11,10 +11,13 @@ reductions keep the work near the size of the answer:
   above that share become candidates. The join on (word, band) visits just those bands. What the
   candidates are known to score by then rules out most of them; the rest is scored in full. (This is
   the three-phase uniform-threshold scheme of Cao and Wang, 2004, with shares per word.)
+* If all words of a query weigh less than nothing (they are in nearly all documents), the same holds
+  mirrored: the best documents have the lowest frequencies, and only the lowest bands are visited.
+* If all words weigh nothing (the snapshot does not know them), all documents score 0, and the smallest
+  ids of each word are enough.
 
-A query whose bound prunes too little is scored directly from all its postings instead (the
-profile gives both costs), and so is a whole batch that matches few postings. Every way returns the
-same rows.
+What is left, queries whose bound prunes too little by the profile, is scored from all its postings.
+Every way returns the same rows.
 """
 
 from __future__ import annotations
@@ -36,8 +39,6 @@ ROUNDING_SLACK = 1.1e-8
 RELATIVE_SLACK = 1e-9
 #: A query is pruned if this many visits of its candidate postings are cheaper than all its postings.
 PRUNING_FACTOR = 2
-#: The direct way is taken up to this many pairs per core: a second or so of work.
-DIRECT_PAIRS_PER_CORE = 4_000_000
 
 
 def frequency_band(word_frequency: Column) -> Column:
@@ -66,18 +67,27 @@ def distinct_queries(queries: DataFrame, query_col: str, text_col: str) -> tuple
 
 
 def query_plan(weights: DataFrame, profile: DataFrame, k: int) -> DataFrame:
-    """Per (rep, word): its weight, the least useful frequency ``tf_floor`` and the route to take.
+    """Per (rep, word): its weight, the useful frequencies (``tf_floor`` to ``tf_ceiling``) and the route.
 
     Windows run over the bands of one word (at most ``-LOWEST_BAND + 1`` rows) and over the words of
     one query text.
     """
     down = Window.partitionBy("word").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = profile.withColumn("_cum", F.sum("n").over(down)).withColumn("_low", F.min("tf_min").over(down))
+    up = Window.partitionBy("word").orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        profile.withColumn("_cum", F.sum("n").over(down))
+        .withColumn("_low", F.min("tf_min").over(down))
+        .withColumn("_cum_up", F.sum("n").over(up))
+        .withColumn("_high", F.max("tf_max").over(up))
+    )
     words = ranked.groupBy("word").agg(
         F.sum("n").alias("df"),
         F.max("tf_max").alias("tf_max"),
         F.max(F.when(F.col("_cum") >= k, F.col("_low"))).alias("tf_kth"),
-        F.collect_list(F.struct("band", "n", F.col("tf_max").alias("top"))).alias("bands"),
+        F.min(F.when(F.col("_cum_up") >= k, F.col("_high"))).alias("tf_kth_low"),
+        F.collect_list(
+            F.struct("band", "n", F.col("tf_max").alias("top"), F.col("tf_min").alias("bottom"))
+        ).alias("bands"),
     )
     weighted = (
         weights.select("rep", "n_tokens", "word", "weight")
@@ -86,65 +96,66 @@ def query_plan(weights: DataFrame, profile: DataFrame, k: int) -> DataFrame:
         .withColumn("_down", F.least(F.col("weight"), F.lit(0.0)) * F.col("tf_max"))
     )
     query = Window.partitionBy("rep")
+    weight, negative = F.col("weight"), F.max("weight").over(query) < 0
     # k documents reach the best single-word k-th frequency; other words can only take away _down.
-    best_word = F.max(F.when(F.col("weight") > 0, F.col("weight") * F.col("tf_kth"))).over(query)
+    best_word = F.max(F.when(weight > 0, weight * F.col("tf_kth"))).over(query)
     bound = best_word + F.sum("_down").over(query)
     slack = ROUNDING_SLACK * F.col("n_tokens") + RELATIVE_SLACK * F.col("_sum_up")
     floor = F.when(
-        (F.col("weight") > 0) & (F.col("_bound") > 0),
+        (weight > 0) & (F.col("_bound") > 0),
         F.col("_bound") / F.col("_sum_up") * F.col("tf_max") * (1 - RELATIVE_SLACK),
+    ).when(F.col("_negative"), F.lit(0.0))
+    # Mirrored: k documents lose no more in one word than its k-th lowest frequency takes.
+    least_loss = F.max(weight * F.col("tf_kth_low") - F.col("_down")).over(query) + F.sum("_down").over(query)
+    low_slack = ROUNDING_SLACK * F.col("n_tokens") - RELATIVE_SLACK * F.sum("_down").over(query)
+    ceiling = F.when(F.col("_negative"), (least_loss - low_slack) / weight * (1 + RELATIVE_SLACK))
+    in_reach = lambda b: (b.top >= F.col("tf_floor")) & (
+        F.col("tf_ceiling").isNull() | (b.bottom <= F.col("tf_ceiling"))
     )
-    reached = F.when(F.col("tf_floor").isNotNull(), F.filter("bands", lambda b: b.top >= F.col("tf_floor")))
+    useful = F.col("tf_floor").isNotNull() & (~F.col("_negative") | F.col("tf_ceiling").isNotNull())
     bounded = (
         weighted.withColumn("_sum_up", F.sum("_up").over(query))
         .withColumn("_bound", bound - slack)
+        .withColumn("_negative", negative)
         .withColumn("tf_floor", floor)
-        .withColumn("reached", reached)
+        .withColumn("tf_ceiling", ceiling)
+        .withColumn("reached", F.when(useful, F.filter("bands", in_reach)))
         .withColumn("_hits", F.aggregate("reached", F.lit(0).cast("bigint"), lambda hits, b: hits + b.n))
     )
     # Completing the few survivors costs little; finding candidates twice over must beat the direct way.
-    pruned = (F.col("_bound") > 0) & (PRUNING_FACTOR * F.sum("_hits").over(query) < F.sum("df").over(query))
+    cheap = PRUNING_FACTOR * F.sum("_hits").over(query) < F.sum("df").over(query)
+    pruned = ((F.col("_bound") > 0) | F.col("_negative")) & cheap
+    flat = (F.max("weight").over(query) == 0) & (F.min("weight").over(query) == 0)
     return bounded.withColumn("pruned", F.coalesce(pruned, F.lit(False))).select(
         "rep",
         "n_tokens",
         "word",
         "weight",
         "tf_floor",
+        "tf_ceiling",
         "pruned",
-        F.col("_bound").alias("bound"),
+        flat.alias("flat"),
+        F.when(F.col("_negative"), F.lit(0.0)).otherwise(F.col("_bound")).alias("bound"),
         F.sum("_down").over(query).alias("down"),
         F.transform("reached", lambda b: b.band).alias("bands"),
     )
 
 
 def term_weights(reps: DataFrame, idf: DataFrame, dedupe_query_terms: bool) -> DataFrame:
-    """``(rep, n_tokens, word, weight, document_count)``; words without an IDF weigh 0."""
+    """``(rep, n_tokens, word, weight)``; words without an IDF weigh 0."""
     repeats = F.lit(1) if dedupe_query_terms else F.col("word_count")
-    if "document_count" not in idf.columns:
-        idf = idf.withColumn("document_count", F.lit(None).cast("bigint"))
     return (
         count_words(reps, F.col("words"), ["rep"])
-        .join(idf.select("word", "idf", "document_count"), "word", "left")
+        .join(idf.select("word", "idf"), "word", "left")
         .select(
             "rep",
             F.col("total_words").alias("n_tokens"),
             "word",
             (repeats * F.coalesce("idf", F.lit(0.0))).alias("weight"),
-            "document_count",
         )
     )
 
 
-def matching_pairs(weights: DataFrame, postings: DataFrame, counted: bool) -> int:
-    """About how many (query word, posting) pairs the direct way would visit."""
-    if not counted:
-        asked = weights.groupBy("word").agg(F.count(F.lit(1)).alias("_queries"))
-        pairs = postings.join(broadcast_if_small(asked), "word").agg(F.sum("_queries"))
-    else:
-        pairs = weights.agg(F.sum("document_count"))
-    return pairs.first()[0] or 0
-
-
 def direct_parts(postings: DataFrame, weights: DataFrame) -> DataFrame:
     """``(rep, n_tokens, id, part)``: the share of every matching posting in its document's score."""
     return postings.join(broadcast_if_small(weights), "word")
@@ -157,12 +168,13 @@ def candidates(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> Dat
     floors of the words in which it was not seen. The k-th best lower bound rules out the rest.
     """
     probes = plan.filter("pruned").select(
-        "rep", "n_tokens", "word", "weight", "tf_floor", "bound", "down", F.explode("bands").alias("band")
+        "rep", "n_tokens", "word", "weight", "tf_floor", "tf_ceiling", "bound", "down", F.explode("bands").alias("band")
     )
     seen = (
         postings.withColumn("band", frequency_band(F.col("tf")))
         .join(broadcast_if_small(probes), ["word", "band"])
         .filter(F.col("tf") >= F.col("tf_floor"))
+        .filter(F.col("tf_ceiling").isNull() | (F.col("tf") <= F.col("tf_ceiling")))
         .groupBy("rep", "n_tokens", "bound", "down", id_col)
         .agg(
             F.sum(F.col("weight") * F.col("tf")).alias("_known"),
@@ -184,10 +196,23 @@ def candidates(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> Dat
     return seen.join(needed, "rep").filter(enough).select("rep", id_col)
 
 
+def smallest_ids(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> DataFrame:
+    """``(rep, id)`` for the queries whose words all weigh nothing: the ``k`` smallest ids per word.
+
+    The rank is limited before the shuffle, so a word in all documents sends ``k`` rows per task.
+    """
+    asked = plan.filter("flat").select("rep", "word")
+    by_id = Window.partitionBy("word").orderBy(id_col)
+    held = postings.select("word", id_col).join(broadcast_if_small(asked.select("word").distinct()), "word", "left_semi")
+    first = held.withColumn("_place", F.row_number().over(by_id)).filter(F.col("_place") <= k)
+    return first.join(asked, "word").select("rep", id_col).distinct()
+
+
 def bounded_parts(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> DataFrame:
     """The parts of candidates only, looked up for all words of their query."""
-    weights = plan.filter("pruned").select("rep", "n_tokens", "word", "weight")
-    lookups = candidates(postings, plan, k, id_col).join(broadcast_if_small(weights), "rep")
+    weights = plan.filter("pruned OR flat").select("rep", "n_tokens", "word", "weight")
+    found = candidates(postings, plan, k, id_col).union(smallest_ids(postings, plan, k, id_col))
+    lookups = found.join(broadcast_if_small(weights), "rep")
     return postings.join(lookups, [id_col, "word"])
 
 
@@ -198,7 +223,7 @@ def batch_search(
     documents: DataFrame | None = None,
     k: int = DEFAULT_K,
     dedupe_query_terms: bool = False,
-    strategy: str = "auto",
+    strategy: str = "bounded",
     profile: DataFrame | None = None,
     query_col: str = "query_id",
     query_text_col: str = "text",
@@ -207,36 +232,30 @@ def batch_search(
 ) -> DataFrame:
     """``(query_id, rank, id, score[, text])``: the rows that one ``search`` per query would give.
 
-    ``strategy`` is ``"direct"`` (score every matching posting), ``"bounded"`` (candidates by
-    impact bounds) or ``"auto"``, which counts the matching postings first and takes the direct
-    way while they are few. All give the same rows.
+    ``strategy`` is ``"bounded"`` (candidates by impact bounds) or ``"direct"`` (score every matching
+    posting, for batches known to be small). Both give the same rows.
 
     ``postings`` is read several times and should be a stored table; ``query_col`` must be unique.
-    A ``document_count`` column in ``idf`` and an ``impact_profile`` stored with the index save
-    the passes that would compute them for the words of the queries.
+    An ``impact_profile`` stored with the index saves the pass that computes it for the words of the queries.
     """
     check_k(k)
-    if strategy not in ("auto", "direct", "bounded"):
+    if strategy not in ("direct", "bounded"):
         raise ValueError(f"unknown strategy {strategy!r}")
     members, reps = distinct_queries(queries, query_col, query_text_col)
     weights = materialise(term_weights(reps, idf, dedupe_query_terms), "query-weights")
     vocabulary = broadcast_if_small(weights.select("word").distinct())
     posted = postings.select(id_col, "word", F.col("word_frequency").cast("double").alias("tf"))
     relevant = posted.join(vocabulary, "word", "left_semi")
-    if strategy == "auto":
-        pairs = matching_pairs(weights, posted, "document_count" in idf.columns)
-        strategy = "direct" if pairs <= direct_limit(postings) else "bounded"
-
     columns = ["rep", "n_tokens", id_col, (F.col("tf") * F.col("weight")).alias("part")]
     if strategy == "direct":
-        parts = direct_parts(posted, weights.drop("document_count")).select(*columns)
+        parts = direct_parts(posted, weights).select(*columns)
     else:
         if profile is None:
             profile = impact_profile(relevant.withColumnRenamed("tf", "word_frequency"))
         else:
             profile = profile.join(vocabulary, "word", "left_semi")
         plan = materialise(query_plan(weights, profile, max(k, 1)), "query-plan")
-        rest = plan.filter("NOT pruned").select("rep", "n_tokens", "word", "weight")
+        rest = plan.filter("NOT pruned AND NOT flat").select("rep", "n_tokens", "word", "weight")
         parts = (
             bounded_parts(relevant, plan, max(k, 1), id_col)
             .select(*columns)
@@ -254,7 +273,3 @@ def batch_search(
     if documents is None:
         return results
     return attach_text(materialise(results, "query-results"), documents, id_col, text_col)
-
-
-def direct_limit(postings: DataFrame) -> int:
-    return DIRECT_PAIRS_PER_CORE * postings.sparkSession.sparkContext.defaultParallelism

@@ -21,8 +21,8 @@ def document_count(docs: DataFrame) -> DataFrame:
 
 
 def indexed_document_count(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The same from stored postings: every stored document has a token. Reads ids only, and the
-    postings of a document lie together, so the partial distinct leaves about one row each."""
+    """The same from stored postings: every stored document has a token. Where the documents are at
+    hand, counting the accepted ones is cheaper than this distinct count over all postings."""
     return postings.agg(F.count_distinct(F.col(id_col)).alias("total_documents"))
 
 

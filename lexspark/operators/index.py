@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.scoring import term_frequency
 from lexspark.functions.text import clean_text, is_token, tokens
-from lexspark.session import spread
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,7 +61,7 @@ def count_words(df: DataFrame, words: Column, keep: list[str]) -> DataFrame:
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, total_words, word, word_count)``; documents without tokens give no rows."""
-    source = spread(docs.select(id_col, text_col), id_col)
+    source = docs.select(id_col, text_col)
     return count_words(source, tokens(F.col(text_col)), [id_col])
 
 
@@ -76,7 +75,7 @@ def build_index(
 
 def document_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, total_words)`` of the documents that have tokens."""
-    source = spread(docs.select(id_col, text_col), id_col)
+    source = docs.select(id_col, text_col)
     sized = source.select(id_col, F.size(tokens(F.col(text_col))).cast("bigint").alias("total_words"))
     return sized.filter(F.col("total_words") > 0)
 

@@ -1,23 +1,17 @@
 """Exact quantiles of groups of any size.
 
-``percentile`` keeps every distinct value of a group in one aggregation buffer. Here equal values
-are counted first, a histogram per group finds the bins that hold the wanted ranks, and only the
-values of those bins are ordered. Bins are even on a logarithmic scale, so that a few extreme values
-do not push all others into one bin.
+``percentile`` keeps every distinct value of a group in one aggregation buffer. Here equal values are
+counted first; the counts, sorted by group and value, are dealt out in ranges, and running totals along
+them give every value its ranks. A group with many values spans many ranges, so no task and no window
+holds more than one range, however the values are distributed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Histogram bins per group.
-BINS = 4096
-
-
-def _scale(value: Column) -> Column:
-    """Never decreasing in ``value``, which is all that the bins need."""
-    return F.signum(value) * F.log1p(F.abs(value))
+from lexspark.operators.ordered import running_totals
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value_col: str, probabilities: dict[str, float]) -> DataFrame:
@@ -27,39 +21,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value_col: str, probabilitie
     """
     counts = (
         df.filter(F.col(value_col).isNotNull())
-        .groupBy(*keys, F.col(value_col).cast("double").alias("_v"))
+        .groupBy(F.struct(*keys).alias("_key"), F.col(value_col).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    spans = counts.groupBy(*keys).agg(
-        F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_total")
-    )
-    low, high = _scale(F.col("_low")), _scale(F.col("_high"))
-    share = (_scale(F.col("_v")) - low) / (high - low)
-    binned = counts.join(spans, keys).withColumn(
-        "_bin", F.when(high > low, F.floor(share * BINS)).otherwise(F.lit(0))
-    )
-    wanted = F.array(
-        *[F.floor(p * (F.col("_total") - 1)) for p in probabilities.values()],
-        *[F.ceil(p * (F.col("_total") - 1)) for p in probabilities.values()],
-    )
-    # At most BINS + 1 rows per group.
-    over_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    held = (
-        binned.groupBy(*keys, "_bin")
-        .agg(F.sum("_n").alias("_m"), F.first("_total").alias("_total"))
-        .withColumn("_before", F.sum("_m").over(over_bins) - F.col("_m"))
-        .filter(F.exists(wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_m"))))
-        .select(*keys, "_bin", "_before")
-    )
-    in_bin = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        binned.join(held, [*keys, "_bin"])
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(in_bin))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
+    placed = running_totals(counts, "_key", ["_v"], {"_start": F.col("_n")}, "value-counts")
+    totals = placed.groupBy("_key").agg(F.max(F.col("_start") + F.col("_n")).alias("_total"))
+    ranked = placed.join(totals, "_key")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), F.col("_v")))
+        inside = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
+        return F.max(F.when(inside, F.col("_v")))
 
     sides = []
     for name, p in probabilities.items():
@@ -69,9 +40,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value_col: str, probabilitie
             at(F.ceil(position)).alias(f"_{name}_hi"),
             F.max(position - F.floor(position)).alias(f"_{name}_part"),
         ]
-    result = placed.groupBy(*keys).agg(*sides)
+    result = ranked.groupBy("_key").agg(*sides)
     return result.select(
-        *keys,
+        *[F.col(f"_key.{k}").alias(k) for k in keys],
         *[
             (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_part")).alias(n)
             for n in probabilities

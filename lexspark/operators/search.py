@@ -72,7 +72,8 @@ def search(
     """``(id, score[, text])`` of the best ``k`` documents, best first.
 
     ``idf`` may be any snapshot; documents reached only through words it does not know still
-    appear, with score 0.
+    appear, with score 0. With ``documents`` the search runs at once: the ids that were found reach the
+    document scan as literals, so files and row groups that cannot hold them are skipped.
     """
     check_k(k)
     terms = query_terms(postings.sparkSession, query)
@@ -85,7 +86,10 @@ def search(
     top = scored.orderBy(F.desc("score"), id_col).limit(k)
     if documents is None:
         return top
-    return attach_text(top, documents, id_col, text_col).orderBy(F.desc("score"), id_col).limit(k)
+    rows = top.collect()  # k rows at most
+    found = postings.sparkSession.createDataFrame(rows, top.schema)
+    wanted = documents.filter(F.col(id_col).isin(*[r[id_col] for r in rows])) if rows else documents.limit(0)
+    return attach_text(found, wanted, id_col, text_col).orderBy(F.desc("score"), id_col).limit(k)
 
 
 def attach_text(results: DataFrame, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,15 +98,17 @@ def attach_text(results: DataFrame, documents: DataFrame, id_col: str = "doc_id"
     The texts are first cut down to the wanted ids by a semi join whose small side is the
     results, so the document table is scanned but not shuffled while the results are small.
     """
-    wanted = results.select(id_col).distinct()
-    found = documents.select(id_col, text_col).join(broadcast_if_small(wanted), id_col, "left_semi")
+    wanted = broadcast_if_small(results.select(id_col))
+    found = documents.select(id_col, text_col).join(wanted, id_col, "left_semi")
     return results.join(found, id_col, "left").withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
 
 
-def search_requests(log: DataFrame, raw_col: str = "query") -> tuple[DataFrame, DataFrame]:
-    """Split a log of URL-encoded queries into decoded valid requests and rejected ones."""
+def search_requests(log: DataFrame, raw_col: str = "query", max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split a log of URL-encoded queries into decoded valid requests and rejected ones.
+
+    ``max_bytes`` rejects longer queries too."""
     decoded = log.withColumn(raw_col, decode_query(F.col(raw_col)))
-    valid = is_valid_query(F.col(raw_col))
+    valid = is_valid_query(F.col(raw_col), max_bytes)
     return decoded.filter(valid), decoded.filter(~valid)
 
 

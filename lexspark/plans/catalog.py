@@ -15,7 +15,7 @@ from lexspark.operators import idf as idf_ops
 from lexspark.operators import index as index_ops
 from lexspark.operators import search as search_ops
 from lexspark.plans import rendered_logs
-from lexspark.session import materialise, scratch_path, spread
+from lexspark.session import materialise, scratch_path
 from lexspark.sources import generate, json_docs, logs
 from lexspark.sources.store import DocumentStore
 from lexspark.streaming import feeds
@@ -40,15 +40,18 @@ def index_and_idf(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     """Documents, stored postings and stored IDF: what a search service has at hand."""
     docs = table(spark, sf_dir, "documents")
     postings = materialise(index_ops.build_index(docs), "postings")
-    total = idf_ops.indexed_document_count(postings).scalar()
-    idf = materialise(idf_ops.idf_snapshot(idf_ops.document_frequency(postings), total), "idf")
-    return docs, postings, idf
+    return docs, postings, materialise(snapshot_of(docs, postings), "idf")
+
+
+def snapshot_of(docs: DataFrame, postings: DataFrame) -> DataFrame:
+    total = idf_ops.document_count(index_ops.accepted_documents(docs)).scalar()
+    return idf_ops.idf_snapshot(idf_ops.document_frequency(postings), total)
 
 
 def corpus_idf(docs: DataFrame) -> DataFrame:
     """IDF straight from texts; the postings are stored so that texts are tokenised once."""
     postings = materialise(index_ops.build_index(docs), "postings")
-    return idf_ops.build_idf(idf_ops.document_frequency(postings), idf_ops.indexed_document_count(postings))
+    return snapshot_of(docs, postings).select("word", "idf")
 
 
 # -- index and statistics ------------------------------------------------------------------------
@@ -154,8 +157,28 @@ def batch_search_top3(spark, sf_dir):
     return _batch(spark, sf_dir)
 
 
-def batch_search_bounded(spark, sf_dir):
-    return _batch(spark, sf_dir, strategy="bounded")
+def batch_search_direct(spark, sf_dir):
+    return _batch(spark, sf_dir, strategy="direct")
+
+
+def batch_search_everywhere(spark, sf_dir):
+    """A word that all documents have, alone and among others: its weight is negative."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("everywhere "), "text").alias("text"))
+    postings = materialise(index_ops.build_index(docs), "postings")
+    snapshot = materialise(snapshot_of(docs, postings), "idf")
+    asked = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.concat("text", F.lit(" everywhere")).alias("text")
+    )
+    alone = asked.select((-F.col("query_id") - 1).alias("query_id"), F.lit("everywhere").alias("text"))
+    return batch.batch_search(asked.unionByName(alone), postings, snapshot)
+
+
+def batch_search_stale(spark, sf_dir):
+    """One query per benchmark word against a snapshot that knows the words of English documents only."""
+    docs = table(spark, sf_dir, "documents")
+    postings = materialise(index_ops.build_index(docs), "postings")
+    stale = materialise(corpus_idf(docs.filter(F.col("lang") == "en")), "idf")
+    return batch.batch_search(_word_queries(spark, sf_dir), postings, stale)
 
 
 def batch_search_dedupe(spark, sf_dir):
@@ -165,9 +188,12 @@ def batch_search_dedupe(spark, sf_dir):
 def batch_search_words(spark, sf_dir):
     """One query per word of the benchmark, repeats included: the one-word workload."""
     _, postings, snapshot = index_and_idf(spark, sf_dir)
+    return batch.batch_search(_word_queries(spark, sf_dir), postings, snapshot)
+
+
+def _word_queries(spark, sf_dir):
     words = index_ops.exploded_tokens(table(spark, sf_dir, "benchmark"), "item_id")
-    queries = words.select((F.col("item_id") * 1000 + F.col("position")).alias("query_id"), F.col("word").alias("text"))
-    return batch.batch_search(queries, postings, snapshot, strategy="bounded")
+    return words.select((F.col("item_id") * 1000 + F.col("position")).alias("query_id"), F.col("word").alias("text"))
 
 
 def search_json(spark, sf_dir):
@@ -184,10 +210,19 @@ def search_json(spark, sf_dir):
     )
 
 
-def search_requests(spark, sf_dir):
+def _search_requests(spark, sf_dir, max_bytes=None):
     log = table(spark, sf_dir, "documents").select("doc_id", F.url_encode("text").alias("raw"))
     query = decode_query(F.col("raw"))
-    return log.select("doc_id", query.alias("query"), is_valid_query(query).alias("valid"))
+    return log.select("doc_id", query.alias("query"), is_valid_query(query, max_bytes).alias("valid"))
+
+
+def search_requests(spark, sf_dir):
+    return _search_requests(spark, sf_dir)
+
+
+def search_requests_short(spark, sf_dir):
+    """With a limit on the length of a query."""
+    return _search_requests(spark, sf_dir, 1023)
 
 
 # -- documents -----------------------------------------------------------------------------------
@@ -221,8 +256,8 @@ def rejected_documents(spark, sf_dir):
     return index_ops.rejected_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def json_ingest(spark, sf_dir):
-    """Bodies rendered from the documents; other languages than English come in broken forms."""
+def _bodies(spark, sf_dir):
+    """``(doc_id, body)`` rendered from the documents; other languages than English come in broken forms."""
     lang = F.col("lang")
     good = F.to_json(F.struct("text"))
     body = (
@@ -232,8 +267,11 @@ def json_ingest(spark, sf_dir):
         .when(lang == "es", F.lit('{"title":"x"}'))
         .otherwise(good)
     )
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", body.alias("body"))
-    return json_docs.decode_documents(docs).select("doc_id", "text", "status")
+    return table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
+
+
+def json_ingest(spark, sf_dir):
+    return json_docs.decode_documents(_bodies(spark, sf_dir)).select("doc_id", "text", "status")
 
 
 def upsert_postings(spark, sf_dir):
@@ -259,6 +297,26 @@ def new_store(spark: SparkSession) -> DocumentStore:
     return DocumentStore(spark, scratch_path(spark, "store"), id_type="bigint")
 
 
+def insert_generated(spark, sf_dir):
+    """Insert under new ids; per text how many documents and postings it has, rejected ones included."""
+    store = DocumentStore(spark, scratch_path(spark, "store"))
+    store.insert(table(spark, sf_dir, "documents").select("text"))
+    seen = store.snapshot()
+    words = seen.postings().groupBy("doc_id").agg(F.count(F.lit(1)).alias("_words"))
+    rows = seen.documents().select("doc_id", "text").join(words, "doc_id", "left").unionByName(
+        seen.rejected().select("doc_id", "text", F.lit(0).cast("bigint").alias("_words"))
+    )
+    return rows.groupBy("text").agg(F.count_distinct("doc_id").alias("n_documents"), F.sum("_words").alias("n_postings"))
+
+
+def upsert_duplicates(spark, sf_dir):
+    """All turns of a conversation come in one batch under one id; the last one counts."""
+    store = new_store(spark)
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", "text")
+    store.upsert(turns.withColumn("text", F.concat(F.lit("turn "), "text")), order_col="turn")
+    return _rounded(store)
+
+
 def store_lifecycle(spark, sf_dir):
     """Insert all, replace the labelled documents by their language tag, delete the toxic ones,
     compact; the postings that remain."""
@@ -283,8 +341,18 @@ def pidstat_summary(spark, sf_dir):
     return summary.select("threads", "cmd", *rounded)
 
 
-def iostat_summary(spark, sf_dir):
-    summary = logs.iostat_summary(rendered_logs.iostat_lines(table(spark, sf_dir, "events")))
+def pidstat_files(spark, sf_dir):
+    """The same from files: the lines are written as text and read back."""
+    lines = rendered_logs.pidstat_lines(table(spark, sf_dir, "events"))
+    path = scratch_path(spark, "logs")
+    lines.select("line", F.regexp_extract("file", "[^/]*$", 0).alias("log")).write.partitionBy("log").text(path)
+    read = logs.read_lines(spark, path).withColumn("file", F.regexp_extract("file", "cpu_[0-9]+[.]log", 0))
+    summary = logs.pidstat_summary(read)
+    return summary.select("file", "cmd", F.round("max_cpu", 6).alias("max_cpu"), F.round("median_cpu", 6).alias("median_cpu"))
+
+
+def _iostat(spark, sf_dir, num_samples=None):
+    summary = logs.iostat_summary(rendered_logs.iostat_lines(table(spark, sf_dir, "events")), num_samples)
     rounded = [
         F.round(c, 6).alias(c)
         for c in (
@@ -294,6 +362,15 @@ def iostat_summary(spark, sf_dir):
     return summary.select("file", "threads", "cpu_samples", "disk_samples", *rounded)
 
 
+def iostat_summary(spark, sf_dir):
+    return _iostat(spark, sf_dir)
+
+
+def iostat_first_samples(spark, sf_dir):
+    """Over the first 360 rows of each kind and file."""
+    return _iostat(spark, sf_dir, 360)
+
+
 def run_report(spark, sf_dir):
     return logs.run_report(rendered_logs.report_lines(table(spark, sf_dir, "events")))
 
@@ -340,28 +417,90 @@ def query_workload(spark, sf_dir):
 # -- streams, run to the end of the input ---------------------------------------------------------
 
 
+def batched_stream(df: DataFrame, parts: list) -> DataFrame:
+    """A file stream that delivers the rows of each condition in a batch of its own, in order."""
+    path = scratch_path(df.sparkSession, "feed")
+    for part in parts:  # one file per batch: the stream takes one file at a time
+        df.filter(part).coalesce(1).write.mode("append").parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def thirds(key: str) -> list:
+    return [F.col(key) % 3 == i for i in range(-2, 3)]
+
+
 def _ingested(spark, sf_dir) -> DocumentStore:
     store = new_store(spark)
-    stream = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
-    feeds.ingest_documents(store, stream, scratch_path(spark, "ingest-offsets")).awaitTermination()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    feeds.ingest_documents(store, batched_stream(docs, thirds("doc_id")), scratch_path(spark, "offsets")).awaitTermination()
     return store
 
 
+def _rounded(store: DocumentStore) -> DataFrame:
+    return store.postings().withColumn("word_frequency", F.round("word_frequency", 8))
+
+
 def stream_ingest_tf(spark, sf_dir):
-    return _ingested(spark, sf_dir).postings().withColumn("word_frequency", F.round("word_frequency", 8))
+    return _rounded(_ingested(spark, sf_dir))
 
 
-def stream_deletes(spark, sf_dir):
+def stream_two_feeds(spark, sf_dir):
+    """Documents and conversation turns come in two feeds without names into one store."""
     store = _ingested(spark, sf_dir)
-    stream = table_stream(spark, sf_dir, "labels").select("doc_id")
-    feeds.delete_documents(store, stream, scratch_path(spark, "delete-offsets")).awaitTermination()
-    return store.postings().withColumn("word_frequency", F.round("word_frequency", 8))
+    turns = table(spark, sf_dir, "conversations").select(
+        (-1000 * F.col("conv_id") - F.col("turn") - 1).alias("doc_id"), "text"
+    )
+    feeds.ingest_documents(store, batched_stream(turns, thirds("doc_id")), scratch_path(spark, "offsets")).awaitTermination()
+    return _rounded(store)
 
 
-def stream_idf(spark, sf_dir):
+def _deleted(spark, sf_dir) -> DocumentStore:
     store = _ingested(spark, sf_dir)
-    ticks = table_stream(spark, sf_dir, "documents").select("doc_id")
-    feeds.refresh_idf(store, ticks, scratch_path(spark, "idf-offsets")).awaitTermination()
+    ids = table(spark, sf_dir, "labels").select("doc_id")
+    feeds.delete_documents(store, batched_stream(ids, thirds("doc_id")), scratch_path(spark, "offsets")).awaitTermination()
+    return store
+
+
+def stream_deletes(spark, sf_dir):
+    return _rounded(_deleted(spark, sf_dir))
+
+
+def stream_changes(spark, sf_dir):
+    """Turns as changes of their conversation: every fourth deletes it, the others replace its text."""
+    store = new_store(spark)
+    turn = F.col("turn")
+    changes = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("doc_id"),
+        F.concat(F.lit("turn "), "text").alias("text"),
+        F.when(turn % 4 == 3, "delete").otherwise("upsert").alias("op"),
+        turn.alias("seq"),
+    )
+    stream = batched_stream(changes, ["seq < 2", "seq >= 2 AND seq < 4", "seq >= 4"])
+    feeds.apply_changes(store, stream, scratch_path(spark, "offsets")).awaitTermination()
+    return _rounded(store)
+
+
+def stream_json(spark, sf_dir):
+    """JSON bodies from files into a store; what became of them."""
+    path = scratch_path(spark, "bodies")
+    _bodies(spark, sf_dir).select("body").write.text(path)
+    store = DocumentStore(spark, scratch_path(spark, "store"))
+    stream = spark.readStream.text(path).withColumnRenamed("value", "body")
+    feeds.ingest_json(store, stream, scratch_path(spark, "offsets")).awaitTermination()
+    seen = store.snapshot()
+    kept = seen.documents().select(F.lit("accepted").alias("status"), "text")
+    lost = seen.rejected().select(F.col("reason").alias("status"), F.lit("").alias("text"))
+    return kept.unionByName(lost).groupBy("status", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_idf(spark, sf_dir):
+    """After inserts, upserts and deletes: the counts of all changes, less what is hidden."""
+    store = _deleted(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    again = docs.filter(F.col("doc_id") % 5 == 0).join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+    store.upsert(again.select("doc_id", F.concat_ws(" ", F.lit("again"), "text").alias("text")))
+    ticks = table_stream(spark, sf_dir, "labels").select("doc_id")
+    feeds.refresh_idf(store, ticks, scratch_path(spark, "offsets")).awaitTermination()
     return store.idf().select("word", F.round("idf", 8).alias("idf"))
 
 
@@ -389,10 +528,12 @@ QUERIES = {
         tokens, token_positions, doc_lengths, term_frequency, term_frequency_stored, page_term_frequency,
         postings_for_words, corpus_stats, document_frequency, document_frequency_raw, idf, idf_merge_stale,
         search_top3, search_repeat_warm, search_repeat_cold, search_stale_idf, search_no_match,
-        batch_search_top3, batch_search_bounded, batch_search_dedupe, batch_search_words, search_json,
-        search_requests, get_document, get_documents, delete_documents, delete_postings, deletion_report,
-        rejected_documents, json_ingest, upsert_postings, store_lifecycle, pidstat_summary, iostat_summary,
+        batch_search_top3, batch_search_direct, batch_search_dedupe, batch_search_words, batch_search_everywhere,
+        batch_search_stale, search_json, search_requests, search_requests_short, get_document, get_documents, delete_documents, delete_postings, deletion_report,
+        rejected_documents, json_ingest, upsert_postings, insert_generated, upsert_duplicates, store_lifecycle,
+        pidstat_summary, pidstat_files, iostat_summary, iostat_first_samples,
         run_report, run_report_insert, run_metrics, run_metrics_floor, corpus_popular, corpus_chars,
-        query_workload, stream_ingest_tf, stream_deletes, stream_idf, stream_df,
+        query_workload, stream_ingest_tf, stream_two_feeds, stream_deletes, stream_changes, stream_json, stream_idf,
+        stream_df,
     )
 }

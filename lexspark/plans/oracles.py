@@ -46,10 +46,13 @@ scored AS (SELECT doc_id, round(sum(m * word_frequency * coalesce(idf, 0)) / (SE
 SELECT doc_id, score, text FROM scored JOIN documents USING (doc_id) ORDER BY score DESC, doc_id LIMIT {k}"""
 
 
-def batch_ctes(queries: str, k: int = 3, dedupe: bool = False) -> str:
+def batch_ctes(
+    queries: str, k: int = 3, dedupe: bool = False, source: str = "documents", idf_source: str | None = None
+) -> str:
     """CTEs ending in ``ranked`` (query_id, rank, doc_id, score); ``queries`` has query_id and text."""
     repeats = "1" if dedupe else "count(*)"
-    return f"""{term_ctes()}, {idf_ctes()},
+    known = f"{term_ctes(idf_source, name='old')}, {idf_ctes('old')}" if idf_source else idf_ctes()
+    return f"""{term_ctes(source)}, {known},
 asked AS ({queries}),
 q AS (SELECT query_id, unnest({token_list('text')}) AS word FROM asked),
 terms AS (SELECT query_id, word, {repeats} AS m FROM q GROUP BY ALL),
@@ -73,53 +76,82 @@ WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
 # -- generators ----------------------------------------------------------------------------------
 
 
-def draw(row_id: str, position: str) -> str:
-    p = generate.PRIME
-    number = f"(({row_id} % {p} * 48271 + {position} * 69621 + 42 * 16807 + 1) % {p})"
-    for _ in range(2):
-        number = f"(({number} * {number} + {number} + 7) % {p})"
+def mixed(number: str, times: int) -> str:
+    for _ in range(times):
+        number = f"(({number} * {number} + {number} + 7) % {generate.PRIME})"
     return number
 
 
+def with_states(row_id: str) -> str:
+    """Columns ``low`` and ``high``: the two states of a row."""
+    p, half = generate.PRIME, generate.HALF
+    low, high = f"(({row_id} % {half} * 48271 + 42 * 16807 + 1) % {p})", f"(({row_id} // {half} * 40692 + 5) % {p})"
+    return f"{mixed(low, 2)} AS low, {mixed(high, 2)} AS high"
+
+
+def draw(position: str) -> str:
+    p = generate.PRIME
+    one, two = f"((low + {position} * 69621) % {p})", f"((high + {position} * 39373) % {p})"
+    return f"(({mixed(one, 2)} + {mixed(two, 1)}) % {p})"
+
+
 POPULAR = "[" + ", ".join(f"'{w}'" for w in generate.POPULAR_WORDS) + "]"
 
 
-def popular_word(row_id: str, position: str) -> str:
-    return f"{POPULAR}[{draw(row_id, position)} % {len(generate.POPULAR_WORDS)} + 1]"
+def popular_word(position: str) -> str:
+    return f"{POPULAR}[{draw(position)} % {len(generate.POPULAR_WORDS)} + 1]"
 
 
-CORPUS_POPULAR = f"""SELECT doc_id, array_to_string(list_transform(range(0, 35), lambda i: CASE
-    WHEN i >= 2 THEN 'gibberish_' || {draw('doc_id', 'i')} % 5000
-    WHEN {draw('doc_id', '35')} % 10 < 1 THEN {popular_word('doc_id', 'i')}
-    ELSE 'word_' || {draw('doc_id', 'i')} % 10000 END), ' ') || ' ' AS text FROM documents"""
+DOC_STATES = f"WITH rows AS (SELECT doc_id, {with_states('doc_id')} FROM documents)"
 
-CORPUS_CHARS = f"""SELECT doc_id, translate(array_to_string(list_transform(range(0, 167),
-    lambda i: to_base({draw('doc_id', 'i')} % 387420489, 27, 6)), '')[1:1000],
-    '0123456789ABCDEFGHIJKLMNOPQ', '{generate.ALPHABET}') AS text FROM documents"""
+CORPUS_POPULAR = f"""{DOC_STATES} SELECT doc_id, array_to_string(list_transform(range(0, 35), lambda i: CASE
+    WHEN i >= 2 THEN 'gibberish_' || {draw('i')} % 5000
+    WHEN {draw('35')} % 10 < 1 THEN {popular_word('i')}
+    ELSE 'word_' || {draw('i')} % 10000 END), ' ') || ' ' AS text FROM rows"""
 
-QUERY_WORKLOAD = f"""SELECT event_id AS query_id, 'word_' || {draw('event_id', '0')} % 10000 AS text,
-    'long_tail' AS workload FROM events
-UNION ALL SELECT event_id, {popular_word('event_id', '0')}, 'short_tail' FROM events"""
+CORPUS_CHARS = f"""{DOC_STATES} SELECT doc_id, translate(array_to_string(list_transform(range(0, 167),
+    lambda i: to_base({draw('i')} % 387420489, 27, 6)), '')[1:1000],
+    '0123456789ABCDEFGHIJKLMNOPQ', '{generate.ALPHABET}') AS text FROM rows"""
+
+QUERY_WORKLOAD = f"""WITH rows AS (SELECT event_id, {with_states('event_id')} FROM events)
+SELECT event_id AS query_id, 'word_' || {draw('0')} % 10000 AS text, 'long_tail' AS workload FROM rows
+UNION ALL SELECT event_id, {popular_word('0')}, 'short_tail' FROM rows"""
 
 # -- logs ----------------------------------------------------------------------------------------
 
 RUNS = "SELECT event_type AS run, value AS latency_ms, user_id % 7 <> 0 AS ok FROM events"
 
-IOSTAT = """WITH kinds AS (SELECT user_id % 6 + 2 AS threads, event_id, value,
+IOSTAT_ROWS = """SELECT user_id % 6 + 2 AS threads, event_id, value,
     CASE WHEN event_type IN ('view', 'click') THEN 'cpu' ELSE 'disk' END AS kind
-    FROM events WHERE event_type <> 'error'),
-first AS (SELECT *, row_number() OVER (PARTITION BY threads, kind ORDER BY event_id) AS sample
-    FROM kinds QUALIFY sample <= 360)
+    FROM events WHERE event_type <> 'error'"""
+
+
+def iostat_sql(samples: int | None) -> str:
+    limit = f"QUALIFY row_number() OVER (PARTITION BY threads, kind ORDER BY event_id) <= {samples}" if samples else ""
+    return f"""WITH kinds AS ({IOSTAT_ROWS}), used AS (SELECT * FROM kinds {limit})
 SELECT 'run/system_log_' || threads || '_.log' AS file, threads::INT AS threads,
     count(*) FILTER (kind = 'cpu') AS cpu_samples, count(*) FILTER (kind = 'disk') AS disk_samples,
     round(avg(value) FILTER (kind = 'cpu'), 6) AS cpu_avg_idle, round(max(value) FILTER (kind = 'cpu'), 6) AS cpu_max_idle,
     round(quantile_cont(value, 0.95) FILTER (kind = 'cpu'), 6) AS cpu_95th_idle,
     round(avg(value) FILTER (kind = 'disk'), 6) AS disk_avg_util, round(max(value) FILTER (kind = 'disk'), 6) AS disk_max_util,
     round(quantile_cont(value, 0.95) FILTER (kind = 'disk'), 6) AS disk_95th_util
-FROM first GROUP BY threads ORDER BY threads"""
+FROM used GROUP BY threads ORDER BY threads"""
+
 
 BROKEN_JSON = "lang = 'es' AND source < 'src2'"
 
+SINGLE_WORDS = f"""listed AS (SELECT item_id, {token_list('text')} AS words FROM benchmark),
+single AS (SELECT item_id * 1000 + unnest(range(0, len(words))) AS query_id, unnest(words) AS text FROM listed)"""
+
+EVERYWHERE = """SELECT item_id AS query_id, text || ' everywhere' AS text FROM benchmark
+    UNION ALL SELECT -item_id - 1, 'everywhere' FROM benchmark"""
+
+STATUS = f"""CASE WHEN lang = 'de' THEN 'not_a_string' WHEN lang = 'fr' THEN 'not_an_object' WHEN {BROKEN_JSON} THEN 'malformed'
+        WHEN lang = 'es' OR len({token_list('text')}) = 0 THEN 'no_tokens' ELSE 'accepted' END"""
+
+LAST_TURN = """(SELECT conv_id AS doc_id, 'turn ' || max_by(text, turn) AS text, max(turn) AS turn
+    FROM conversations GROUP BY conv_id)"""
+
 ORACLES = {
     "tokens": f"WITH {term_ctes()} SELECT doc_id, word, n FROM tf",
     "token_positions": f"""WITH listed AS (SELECT doc_id, {token_list('text')} AS words FROM documents)
@@ -150,11 +182,15 @@ SELECT word, round(coalesce(after.idf, before.idf), 8) AS idf FROM before FULL J
     ),
     "search_no_match": search_sql(catalog.UNKNOWN_TEXT),
     "batch_search_top3": batch_sql(),
-    "batch_search_bounded": batch_sql(),
+    "batch_search_direct": batch_sql(),
     "batch_search_dedupe": batch_sql(k=10, dedupe=True),
-    "batch_search_words": f"""WITH listed AS (SELECT item_id, {token_list('text')} AS words FROM benchmark),
-single AS (SELECT item_id * 1000 + unnest(range(0, len(words))) AS query_id, unnest(words) AS text FROM listed),
-{batch_ctes('SELECT query_id, text FROM single')}
+    "batch_search_words": f"""WITH {SINGLE_WORDS}, {batch_ctes('SELECT query_id, text FROM single')}
+SELECT query_id, rank::INT AS rank, doc_id, score FROM ranked""",
+    "batch_search_stale": f"""WITH {SINGLE_WORDS},
+{batch_ctes('SELECT query_id, text FROM single', idf_source="(SELECT * FROM documents WHERE lang = 'en')")}
+SELECT query_id, rank::INT AS rank, doc_id, score FROM ranked""",
+    "batch_search_everywhere": f"""WITH wide AS (SELECT doc_id, 'everywhere ' || text AS text FROM documents),
+{batch_ctes(EVERYWHERE, source='wide')}
 SELECT query_id, rank::INT AS rank, doc_id, score FROM ranked""",
     "search_json": f"""WITH {batch_ctes('''SELECT item_id AS query_id, text FROM benchmark
     UNION ALL SELECT -item_id - 1, 'to be or what' FROM benchmark''')}
@@ -162,6 +198,8 @@ SELECT query_id, CASE WHEN doc_id IS NULL THEN 'No documents found' ELSE 'Docume
     (rank - 1)::INT AS position, doc_id::VARCHAR AS doc_id, score, documents.text
 FROM asked LEFT JOIN ranked USING (query_id) LEFT JOIN documents USING (doc_id)""",
     "search_requests": """SELECT doc_id, replace(text, '+', ' ') AS query,
+    octet_length(encode(text)) >= 1 AS valid FROM documents""",
+    "search_requests_short": """SELECT doc_id, replace(text, '+', ' ') AS query,
     octet_length(encode(text)) BETWEEN 1 AND 1023 AS valid FROM documents""",
     "get_document": "SELECT doc_id, text FROM documents WHERE doc_id = 7",
     "get_documents": "SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
@@ -171,8 +209,7 @@ FROM asked LEFT JOIN ranked USING (query_id) LEFT JOIN documents USING (doc_id)"
     "rejected_documents": f"SELECT doc_id, text FROM documents WHERE len({token_list('text')}) = 0",
     "json_ingest": f"""SELECT doc_id,
     CASE WHEN lang IN ('de', 'fr') OR {BROKEN_JSON} THEN NULL WHEN lang = 'es' THEN '' ELSE text END AS text,
-    CASE WHEN lang = 'de' THEN 'not_a_string' WHEN lang = 'fr' THEN 'not_an_object' WHEN {BROKEN_JSON} THEN 'malformed'
-        WHEN lang = 'es' OR len({token_list('text')}) = 0 THEN 'no_tokens' ELSE 'accepted' END AS status
+    {STATUS} AS status
 FROM documents""",
     "upsert_postings": f"""WITH {term_ctes()} SELECT doc_id, word,
     round(word_frequency / CASE toxic WHEN 1 THEN 4 WHEN 0 THEN 2 ELSE 1 END, 8) AS word_frequency
@@ -185,7 +222,8 @@ SELECT doc_id, word, round(word_frequency, 8) AS word_frequency FROM tf""",
     round(max(value), 6) AS max_cpu, round(avg(value), 6) AS mean_cpu, round(median(value), 6) AS median_cpu,
     round(avg(user_id), 6) AS avg_usr, round(avg(event_id % 40), 6) AS avg_sys
 FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY ALL ORDER BY threads, cmd""",
-    "iostat_summary": IOSTAT,
+    "iostat_summary": iostat_sql(None),
+    "iostat_first_samples": iostat_sql(360),
     "run_report": """SELECT 'run/user_' || user_id || '.txt' AS file,
     row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS run, (event_id % 12 + 1)::INT AS threads,
     value AS throughput, user_id + 0.25::DOUBLE AS avg_latency_ms, event_id * 3 + 1 AS requests_made,
@@ -203,7 +241,24 @@ FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY ALL ORDER
     "corpus_chars": CORPUS_CHARS,
     "query_workload": QUERY_WORKLOAD,
 }
+ORACLES["insert_generated"] = f"""WITH {term_ctes()}, n AS (SELECT doc_id, count(*) AS words FROM tf GROUP BY doc_id)
+SELECT text, count(*) AS n_documents, sum(coalesce(words, 0))::BIGINT AS n_postings
+FROM documents LEFT JOIN n USING (doc_id) GROUP BY text"""
+ORACLES["upsert_duplicates"] = f"""WITH {term_ctes(LAST_TURN)}
+SELECT doc_id, word, round(word_frequency, 8) AS word_frequency FROM tf"""
+ORACLES["pidstat_files"] = """SELECT 'cpu_' || (user_id % 6 + 2) || '.log' AS file, 'server --' || event_type AS cmd,
+    round(max(value), 6) AS max_cpu, round(median(value), 6) AS median_cpu
+FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY ALL"""
+ORACLES["stream_two_feeds"] = f"""WITH both_feeds AS (SELECT doc_id, text FROM documents
+    UNION ALL SELECT -1000 * conv_id - turn - 1, text FROM conversations), {term_ctes('both_feeds')}
+SELECT doc_id, word, round(word_frequency, 8) AS word_frequency FROM tf"""
+ORACLES["stream_changes"] = f"""WITH kept AS (SELECT * FROM {LAST_TURN} WHERE turn % 4 <> 3), {term_ctes('kept')}
+SELECT doc_id, word, round(word_frequency, 8) AS word_frequency FROM tf"""
+ORACLES["stream_json"] = f"""WITH judged AS (SELECT {STATUS} AS status, text FROM documents)
+SELECT status, CASE status WHEN 'accepted' THEN text ELSE '' END AS text, count(*) AS n FROM judged GROUP BY ALL"""
 ORACLES["stream_ingest_tf"] = ORACLES["term_frequency"]
 ORACLES["stream_deletes"] = REMAINING_TF
-ORACLES["stream_idf"] = ORACLES["idf"]
+ORACLES["stream_idf"] = f"""WITH left_over AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'again ' || text ELSE text END AS text
+    FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)), {term_ctes('left_over')}, {idf_ctes()}
+SELECT word, round(idf, 8) AS idf FROM idf"""
 ORACLES["stream_df"] = ORACLES["document_frequency"]

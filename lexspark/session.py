@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,6 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when Spark's own size estimate stays below this.
 BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
-#: Inputs smaller than this per core are spread over all cores before heavy row work.
-SPREAD_BYTES_PER_CORE = 8 * 1024 * 1024
 
 _local_scratch: dict[str, str] = {}
 
@@ -39,12 +38,12 @@ def local_session(app_name: str = "lexspark", cores: str = "8", **conf: str) ->
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    Only a local master may go without it; every executor of a cluster has to see the folder.
+    Only a session in one local process may go without it; every executor of a cluster has to see the folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_scratch:
@@ -77,17 +76,6 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that is too small to be split into one file part per core.
-
-    A table of normal size already has more parts than cores and is returned as it is, so no
-    text is ever shuffled at scale.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) > cores * SPREAD_BYTES_PER_CORE:
-        return df
-    # Partitioned by an expression, which no later grouping can take for a partitioning by the key:
-    # Spark 4.1 may drop the shuffle above a union of such parts although the union mixes them.
-    return df.repartition(cores, F.xxhash64(key))
+def partitions_for(spark: SparkSession) -> int:
+    """How many partitions a shuffle gets: what the session is set to."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.session import spread
 
 # Vocabulary and shape of the generated texts.
 POPULAR_WORDS = (
@@ -31,32 +30,46 @@ CHARACTERS_PER_DOCUMENT = 1_000
 
 #: Modulus of the mixing steps; products of two residues fit into 64 bits.
 PRIME = 2_147_483_647
-
+#: Ids are split into low and high bits here.
+HALF_BITS = 30
+HALF = 1 << HALF_BITS
 
 #: Letters drawn at a time: 27 ** 6 is below the modulus.
 LETTERS_PER_DRAW = 6
 DIGITS_27 = "0123456789ABCDEFGHIJKLMNOPQ"
 
 
-def _start(row_id: Column, position: Column, seed: int) -> Column:
-    return (row_id % PRIME * 48271 + position * 69621 + F.lit(seed % PRIME) * 16807 + 1) % PRIME
-
-
 def _mix(value: Column) -> Column:
     return (value * value + value + 7) % PRIME
 
 
+def _states(row_id: Column, seed: int) -> tuple[Column, Column]:
+    """Two numbers below ``PRIME`` from the low and the high bits of an id, so all of it counts."""
+    low = (row_id.cast("bigint").bitwiseAND(F.lit(HALF - 1)) * 48271 + (seed % PRIME) * 16807 + 1) % PRIME
+    high = (F.shiftright(row_id.cast("bigint"), HALF_BITS) * 40692 + 5) % PRIME
+    return _mix(_mix(low)), _mix(_mix(high))
+
+
 def draw(row_id: Column, position: Column, seed: int) -> Column:
-    """A number below ``PRIME`` that depends on all arguments; ``row_id`` is a non-negative integer."""
-    return _mix(_mix(_start(row_id, position, seed)))
+    """A number below ``PRIME`` that depends on all arguments; ``row_id`` is a non-negative integer
+    below 2**60. Ids are mixed before positions are added, so no text is a shifted copy of another."""
+    low, high = _states(row_id, seed)
+    one, two = ((s + position * f) % PRIME for s, f in ((low, 69621), (high, 39373)))
+    return (_mix(_mix(one)) + _mix(two)) % PRIME
 
 
 def draws(row_id: Column, count: int, seed: int) -> Column:
     """The draws of positions 0 to ``count - 1`` as an array."""
     positions = F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
-    started = F.transform(positions, lambda p: _start(row_id, p, seed))
-    # One step per transform: a lambda variable is computed once, a nested expression is repeated.
-    return F.transform(F.transform(started, _mix), _mix)
+
+    def from_states(states: Column) -> Column:
+        # One step per transform: a lambda variable is computed once, a nested expression is repeated.
+        one = F.transform(F.transform(positions, lambda p: (states["low"] + p * 69621) % PRIME), _mix)
+        two = F.transform(positions, lambda p: (states["high"] + p * 39373) % PRIME)
+        return F.zip_with(F.transform(one, _mix), F.transform(two, _mix), lambda a, b: (a + b) % PRIME)
+
+    low, high = _states(row_id, seed)
+    return F.element_at(F.transform(F.array(F.struct(low.alias("low"), high.alias("high"))), from_states), 1)
 
 
 def _popular(number: Column) -> Column:
@@ -76,7 +89,7 @@ def generate_word_documents(ids: DataFrame, id_col: str = "doc_id", seed: int =
     """``(id, text)``: two leading words, popular in about one document of ten, then filler."""
     row = F.col(id_col)
     popular = draw(row, F.lit(WORDS_PER_DOCUMENT), seed) % POPULAR_SHARE < 1
-    numbered = spread(ids.select(id_col), id_col).select(
+    numbered = ids.select(id_col).select(
         id_col, popular.alias("_popular"), draws(row, WORDS_PER_DOCUMENT, seed).alias("_draws")
     )
     leading = F.when(F.col("_popular"), F.transform(F.slice("_draws", 1, LEADING_WORDS), _popular)).otherwise(
@@ -101,7 +114,7 @@ def generate_character_documents(
 
     text = F.array_join(F.transform(draws(F.col(id_col), count, seed), digits), "")
     cut = F.substring(text, 1, length)
-    return spread(ids.select(id_col), id_col).select(id_col, F.translate(cut, DIGITS_27, ALPHABET).alias("text"))
+    return ids.select(id_col).select(id_col, F.translate(cut, DIGITS_27, ALPHABET).alias("text"))
 
 
 def generate_queries(ids: DataFrame, workload: str, id_col: str = "query_id", seed: int = 0) -> DataFrame:

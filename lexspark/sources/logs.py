@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.operators.quantiles import exact_quantiles
+from lexspark.session import materialise
 
 # Log formats and thread-count file names.
 PIDSTAT_LINE = (
@@ -55,7 +56,7 @@ def threads_from_name(file: Column, pattern: str) -> Column:
 
 def pidstat_samples(lines: DataFrame, targets: tuple[str, ...] = ("server", "load_generator")) -> DataFrame:
     """One row per sample and target whose name occurs in the command; other lines are skipped."""
-    line = F.rtrim(F.col("line"))
+    line = F.regexp_replace("line", r"\s+$", "")
     fields = lines.filter(line.rlike(PIDSTAT_LINE)).select("file", F.split(line, r"\s+", 11).alias("f"))
     numbers = ["usr", "system", "guest", "wait", "cpu"]
     samples = fields.select(
@@ -74,7 +75,8 @@ def pidstat_samples(lines: DataFrame, targets: tuple[str, ...] = ("server", "loa
 
 def pidstat_summary(lines: DataFrame, target: str = "server") -> DataFrame:
     """CPU summary per file and command of one target, with the thread count of the file."""
-    samples = pidstat_samples(lines, (target,))
+    parsed = pidstat_samples(lines, (target,)).select("file", "cmd", "cpu", "usr", "system")
+    samples = materialise(parsed, "pidstat-samples")
     keys = ["file", "cmd"]
     totals = samples.groupBy(*keys).agg(
         F.max("cpu").alias("max_cpu"),
@@ -87,8 +89,8 @@ def pidstat_summary(lines: DataFrame, target: str = "server") -> DataFrame:
     return summary.orderBy("threads", "cmd")
 
 
-def iostat_rows(lines: DataFrame, num_samples: int = 360) -> DataFrame:
-    """The first ``num_samples`` CPU rows and device rows of every file.
+def iostat_rows(lines: DataFrame, num_samples: int | None = None) -> DataFrame:
+    """The CPU rows and device rows of every file; with ``num_samples`` the first so many of each kind.
 
     ``kind`` is ``cpu`` (six fields, the last is %idle) or ``disk`` (a device row).
     """
@@ -110,33 +112,35 @@ def iostat_rows(lines: DataFrame, num_samples: int = 360) -> DataFrame:
     # Split once per line: the fields are a lambda variable, and no filter is pushed below an explode.
     once = F.transform(F.array(F.split(text, " +")), parsed)
     rows = lines.select("file", "block", "line_id", F.explode_outer(once).alias("r")).filter("r.kind IS NOT NULL")
+    flat = rows.select("file", "block", "line_id", "r.*")
+    if num_samples is None:
+        return flat.drop("block", "line_id")
+    # The rank is limited before the shuffle, so no task gets more than the samples of a file part.
     in_order = Window.partitionBy("file", "kind").orderBy("block", "line_id")
-    return (
-        rows.select("file", "block", "line_id", "r.*")
-        .withColumn("sample", F.row_number().over(in_order))
-        .filter(F.col("sample") <= num_samples)
-        .drop("block", "line_id")
+    ranked = flat.withColumn("sample", F.row_number().over(in_order)).filter(F.col("sample") <= num_samples)
+    return ranked.drop("block", "line_id")
+
+
+def iostat_summary(lines: DataFrame, num_samples: int | None = None) -> DataFrame:
+    """Idle and disk-utilisation summary per file, over all rows or the first ``num_samples`` of each kind."""
+    rows = materialise(iostat_rows(lines, num_samples).select("file", "idle", "util"), "iostat-rows")
+    totals = rows.groupBy("file").agg(
+        F.count("idle").alias("cpu_samples"),
+        F.avg("idle").alias("cpu_avg_idle"),
+        F.max("idle").alias("cpu_max_idle"),
+        F.count("util").alias("disk_samples"),
+        F.avg("util").alias("disk_avg_util"),
+        F.max("util").alias("disk_max_util"),
     )
-
-
-def iostat_summary(lines: DataFrame, num_samples: int = 360) -> DataFrame:
-    """Idle and disk-utilisation summary per file, over at most ``num_samples`` rows of each kind."""
-    return (
-        iostat_rows(lines, num_samples)
-        .groupBy("file")
-        .agg(
-            F.count("idle").alias("cpu_samples"),
-            F.avg("idle").alias("cpu_avg_idle"),
-            F.max("idle").alias("cpu_max_idle"),
-            F.percentile("idle", 0.95).alias("cpu_95th_idle"),
-            F.count("util").alias("disk_samples"),
-            F.avg("util").alias("disk_avg_util"),
-            F.max("util").alias("disk_max_util"),
-            F.percentile("util", 0.95).alias("disk_95th_util"),
-        )
-        .withColumn("threads", threads_from_name(F.col("file"), DISK_LOG_NAME))
-        .orderBy("threads")
+    measured = F.stack(F.lit(2), F.lit("cpu"), F.col("idle"), F.lit("disk"), F.col("util"))
+    values = rows.select("file", measured.alias("kind", "value"))
+    at95 = exact_quantiles(values, ["file", "kind"], "value", {"q": 0.95})
+    pivoted = at95.groupBy("file").agg(
+        F.max(F.when(F.col("kind") == "cpu", F.col("q"))).alias("cpu_95th_idle"),
+        F.max(F.when(F.col("kind") == "disk", F.col("q"))).alias("disk_95th_util"),
     )
+    named = totals.join(pivoted, "file", "left")
+    return named.withColumn("threads", threads_from_name(F.col("file"), DISK_LOG_NAME)).orderBy("threads")
 
 
 def occurrence_number(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -188,10 +192,11 @@ def run_report(lines: DataFrame, metrics: dict[str, tuple[str, str]] = SEARCH_RE
             for name, (_, kind) in metrics.items()
         ],
     )
-    complete = F.when(F.col("_found") == len(metrics), F.col("run")).otherwise(
-        F.raise_error(F.concat(F.lit("metrics do not occur equally often in "), F.col("file")))
-    )
-    return table.withColumn("run", complete.cast("bigint")).drop("_found")
+    # In a filter, which no column selection removes.
+    complete = (F.col("_found") == len(metrics)) | F.raise_error(
+        F.concat(F.lit("metrics do not occur equally often in "), F.col("file"))
+    ).cast("boolean")
+    return table.filter(complete).withColumn("run", F.col("run").cast("bigint")).drop("_found")
 
 
 def run_metrics(

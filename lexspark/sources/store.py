@@ -1,12 +1,19 @@
-"""Document store on parquet: documents, postings, deletions and IDF snapshots.
+"""Document store on parquet: immutable change folders and a thin manifest.
 
-Every change writes its rows under ``<table>/commit=<n>`` and becomes visible as a whole when one
-row is added to ``commits``; readers see only listed commits. A deletion hides the rows of its ids
-from earlier commits, so nothing is rewritten until ``compact``. One writer at a time.
+Every change writes its rows under a folder with a name of its own, ``changes/<id>/<table>``, and becomes
+visible as a whole when one row naming that folder is added to ``manifest``. Nothing is overwritten, so
+writers do not disturb each other and what a failed change leaves behind is never read. A deletion hides the
+rows of its ids from earlier changes; ``compact`` rewrites what is left. Changes are ordered by the
+number in their manifest row, equal numbers of simultaneous writers by the id.
+
+Every operation reads the manifest once and works on that snapshot.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from functools import cached_property, reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -14,16 +21,90 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexspark.operators.batch_search import batch_search
 from lexspark.operators.documents import get_document, get_documents
-from lexspark.operators.idf import document_count, document_frequency, idf_snapshot, merge_idf
+from lexspark.operators.idf import document_frequency, idf_snapshot, merge_idf
 from lexspark.operators.index import build_index, with_token_flag
-from lexspark.operators.batch_search import batch_search
-from lexspark.operators.search import DEFAULT_K, attach_text, search
+from lexspark.operators.search import DEFAULT_K, search
 from lexspark.sources.json_docs import ACCEPTED, decode_documents
 
-#: Result lists up to this length look up their texts by literal ids.
-LOOKUP_LIMIT = 1_000
-COMMIT_SCHEMA = "commit bigint, kind string, key string, committed_at timestamp"
+NO_TOKENS = "no_tokens"
+MANIFEST_SCHEMA = "number bigint, id string, kind string, key string, n_documents bigint, made_at timestamp"
+#: Kinds of changes that hold documents, and kinds that delete ids.
+HOLDING, DELETING = ("compact", "append", "replace"), ("replace", "delete")
+
+
+class Snapshot:
+    """The state of a store as of one reading of its manifest: all changes since the last compaction."""
+
+    def __init__(self, store: DocumentStore, changes: list[Row]) -> None:
+        self.store, self.changes = store, changes
+
+    def place(self, number: int, change: str) -> str:
+        """Sorts like the order of changes."""
+        return f"{number:020d}-{change}"
+
+    def read(self, table: str, kinds: tuple[str, ...]) -> DataFrame:
+        """Rows of a table with the place of their change."""
+        schema = self.store.schemas[table]
+        wanted = [c for c in self.changes if c["kind"] in kinds]
+        parts = [
+            self.store.open(table, c["id"]).withColumn("_place", F.lit(self.place(c["number"], c["id"]))) for c in wanted
+        ]
+        if not parts:
+            return self.store.spark.createDataFrame([], f"{schema}, _place string")
+        return reduce(DataFrame.unionByName, parts)
+
+    @cached_property
+    def deletions(self) -> DataFrame | None:
+        """``(doc_id, _deleted)``: the last deletion per id; None if there was none."""
+        if not any(c["kind"] in DELETING for c in self.changes):
+            return None
+        rows = self.read("deletions", DELETING)
+        return rows.groupBy("doc_id").agg(F.max("_place").alias("_deleted"))
+
+    def _split(self, table: str, how: str) -> DataFrame:
+        rows = self.read(table, HOLDING)
+        if self.deletions is None:
+            return (rows if how == "left_anti" else rows.limit(0)).drop("_place")
+        gone = self.deletions.withColumnRenamed("doc_id", "_id")
+        hidden = (F.col("doc_id") == F.col("_id")) & (F.col("_place") < F.col("_deleted"))
+        return rows.join(gone, hidden, how).drop("_place")
+
+    def current(self, table: str) -> DataFrame:
+        return self._split(table, "left_anti")
+
+    def hidden(self, table: str) -> DataFrame:
+        """Rows that later changes deleted."""
+        return self._split(table, "left_semi")
+
+    def documents(self) -> DataFrame:
+        return self.current("documents").filter(F.col("status") == ACCEPTED).drop("status")
+
+    def postings(self) -> DataFrame:
+        return self.current("postings")
+
+    def rejected(self) -> DataFrame:
+        return self.read("rejected", HOLDING).drop("_place")
+
+    def idf(self) -> DataFrame:
+        last = [c for c in self.changes if c["kind"] in ("idf", "compact")][-1:]
+        return Snapshot(self.store, last).read("idf", ("idf", "compact")).drop("_place")
+
+    def word_counts(self) -> DataFrame:
+        """``(word, document_count)`` from the counts that every change brought, less the hidden postings."""
+        counts = self.read("counts", HOLDING).select("word", "document_count")
+        if self.deletions is not None:
+            lost = document_frequency(self.hidden("postings"))
+            counts = counts.unionByName(lost.withColumn("document_count", -F.col("document_count")))
+        summed = counts.groupBy("word").agg(F.sum("document_count").alias("document_count"))
+        return summed.filter(F.col("document_count") > 0)
+
+    def total_documents(self) -> int:
+        held = sum(c["n_documents"] for c in self.changes if c["kind"] in HOLDING)
+        if self.deletions is None:
+            return held
+        return held - self.hidden("documents").filter(F.col("status") == ACCEPTED).count()
 
 
 class DocumentStore:
@@ -35,86 +116,88 @@ class DocumentStore:
         self.stored_precision = stored_precision
         tf_type = "float" if stored_precision else "double"
         self.schemas = {
-            "documents": f"doc_id {id_type}, text string, created_at timestamp_ntz, accepted boolean",
+            "documents": f"doc_id {id_type}, text string, created_at timestamp_ntz, status string",
+            "rejected": f"doc_id {id_type}, text string, reason string",
             "postings": f"doc_id {id_type}, word string, word_frequency {tf_type}",
+            "counts": "word string, document_count bigint",
             "deletions": f"doc_id {id_type}",
             "idf": "word string, document_count bigint, idf double",
         }
 
-    # -- commits ---------------------------------------------------------------------------------
+    # -- manifest --------------------------------------------------------------------------------
 
-    def commits(self) -> list[Row]:
-        """All commits in order; one small row per change since the store was created."""
+    def _manifest(self) -> DataFrame | None:
         try:
-            rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits").collect()
+            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.path}/manifest")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return []
-        return sorted(rows, key=lambda r: r["commit"])
+            return None
 
-    def _commit(self, number: int, kind: str, key: str | None) -> None:
-        entry = self.spark.createDataFrame([(number, kind, key)], "commit bigint, kind string, key string")
-        entry.coalesce(1).withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(
-            f"{self.path}/commits"
+    def snapshot(self) -> Snapshot:
+        """The changes since the last compaction, which is the first of them; read in one job."""
+        manifest = self._manifest()
+        if manifest is None:
+            return Snapshot(self, [])
+        last = manifest.filter("kind = 'compact'").agg(F.coalesce(F.max("number"), F.lit(0))).scalar()
+        rows = manifest.filter(F.col("number") >= last).collect()
+        return Snapshot(self, sorted(rows, key=lambda r: (r["number"], r["id"])))
+
+    def commits(self) -> list[Row]:
+        return self.snapshot().changes
+
+    def made(self, key: str) -> bool:
+        """Whether a change with this key is in the manifest."""
+        manifest = self._manifest()
+        return manifest is not None and not manifest.filter(F.col("key") == key).isEmpty()
+
+    def _publish(self, number: int, change: str, kind: str, key: str | None, n_documents: int = 0) -> None:
+        entry = self.spark.createDataFrame(
+            [(number, change, kind, key, n_documents)],
+            "number bigint, id string, kind string, key string, n_documents bigint",
+        )
+        entry.coalesce(1).withColumn("made_at", F.current_timestamp()).write.mode("append").parquet(
+            f"{self.path}/manifest"
         )
 
-    def _begin(self, key: str | None) -> int | None:
-        """The number of the next commit, or None if a change with this key was already made."""
-        done = self.commits()
-        if key is not None and any(c["key"] == key for c in done):
+    def _next(self) -> int:
+        changes = self.snapshot().changes
+        return changes[-1]["number"] + 1 if changes else 1
+
+    def _change(self, key: str | None, write: Callable[[str], tuple[str | None, int]]) -> str | None:
+        """Lets ``write`` fill a new folder and lists it; None if the key was already used."""
+        if key is not None and self.made(key):
             return None
-        return done[-1]["commit"] + 1 if done else 1
+        change = uuid.uuid4().hex
+        kind, n_documents = write(change)
+        if kind is None:
+            return None
+        self._publish(self._next(), change, kind, key, n_documents)
+        return change
 
-    def _write(self, df: DataFrame, table: str, commit: int) -> DataFrame:
-        path = f"{self.path}/{table}/commit={commit}"
+    def _write(self, df: DataFrame, table: str, change: str) -> DataFrame:
         names = T._parse_datatype_string(self.schemas[table]).names
-        df.select(*names).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(self.schemas[table]).parquet(path)
-
-    def _read(self, table: str, commits: list[int]) -> DataFrame:
-        schema = f"{self.schemas[table]}, commit bigint"
-        if not commits:
-            return self.spark.createDataFrame([], schema)
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", f"{self.path}/{table}")
-            .parquet(*[f"{self.path}/{table}/commit={n}" for n in commits])
-        )
+        df.select(*names).write.mode("errorifexists").parquet(f"{self.path}/changes/{change}/{table}")
+        return self.open(table, change)
 
-    def _current(self, table: str) -> DataFrame:
-        """Rows of the last compaction and of all later changes, without the deleted ones."""
-        done = self.commits()
-        base = max((c["commit"] for c in done if c["kind"] == "compact"), default=0)
-        changes = [c["commit"] for c in done if c["commit"] >= base and c["kind"] in ("compact", "append", "replace")]
-        removals = [c["commit"] for c in done if c["commit"] > base and c["kind"] in ("delete", "replace")]
-        rows = self._read(table, changes)
-        if not removals:
-            return rows.drop("commit")
-        deleted = (
-            self._read("deletions", removals)
-            .groupBy(F.col("doc_id").alias("_id"))
-            .agg(F.max("commit").alias("_deleted_at"))
-        )
-        hidden = (F.col("doc_id") == F.col("_id")) & (F.col("commit") < F.col("_deleted_at"))
-        return rows.join(deleted, hidden, "left_anti").drop("commit")
+    def open(self, table: str, change: str) -> DataFrame:
+        return self.spark.read.schema(self.schemas[table]).parquet(f"{self.path}/changes/{change}/{table}")
 
     # -- reading ---------------------------------------------------------------------------------
 
     def documents(self) -> DataFrame:
-        return self._current("documents").filter("accepted").drop("accepted")
+        return self.snapshot().documents()
 
     def postings(self) -> DataFrame:
-        return self._current("postings")
+        return self.snapshot().postings()
 
     def rejected(self) -> DataFrame:
-        """Texts without tokens that were handed in since the last compaction."""
-        return self._current("documents").filter("NOT accepted").select("doc_id", "text")
+        """``(doc_id, text, reason)`` of everything that was handed in and not stored."""
+        return self.snapshot().rejected()
 
     def idf(self) -> DataFrame:
         """The newest snapshot, which may be older than the postings."""
-        snapshots = [c["commit"] for c in self.commits() if c["kind"] == "idf"]
-        return self._read("idf", snapshots[-1:]).drop("commit")
+        return self.snapshot().idf()
 
     def get(self, doc_id: Any) -> DataFrame:
         return get_document(self.documents(), doc_id)
@@ -124,130 +207,134 @@ class DocumentStore:
 
     # -- changes ---------------------------------------------------------------------------------
 
-    def _existing(self, ids: DataFrame) -> DataFrame:
-        """Those of ``ids`` that the store holds; reads the id column of the documents."""
-        stored = self._current("documents").select("doc_id")
-        return stored.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+    def _fill(self, change: str, docs: DataFrame, replace: bool, deleted: DataFrame | None = None) -> tuple[str, int]:
+        """Writes ``docs (doc_id, text, status)`` with all that is derived from them.
 
-    def _write_change(self, commit: int, docs: DataFrame, touched: DataFrame | None, key: str | None) -> None:
-        """Write documents and their postings; ``touched`` ids lose their earlier versions.
-
-        Only ids that were really there are recorded as removed, so feeds of new documents leave
-        nothing for readers to filter.
+        With ``replace`` the ids of the accepted ones are recorded as deleted, whether or not they exist; the
+        next compaction drops these rows. ``deleted`` are further ids to delete.
         """
+        stamped = docs.select("doc_id", "text", F.current_timestamp().cast("timestamp_ntz").alias("created_at"), "status")
         # Ids are fixed by writing the documents before anything is derived from them.
-        stamped = with_token_flag(
-            docs.select("doc_id", "text", F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
+        written = self._write(stamped, "documents", change)
+        self._write(
+            written.filter(F.col("status") != ACCEPTED).withColumnRenamed("status", "reason"), "rejected", change
         )
-        written = self._write(stamped.withColumnRenamed("has_tokens", "accepted"), "documents", commit)
-        postings = build_index(written.filter("accepted"), stored_precision=self.stored_precision)
+        accepted = written.filter(F.col("status") == ACCEPTED)
+        index = build_index(accepted, stored_precision=self.stored_precision)
         # Sorted files let the scan of a search skip to the pages of its words.
-        self._write(postings.sortWithinPartitions("word", F.desc("word_frequency")), "postings", commit)
-        kind = "append"
-        if touched is not None and not self._write(self._existing(touched), "deletions", commit).isEmpty():
-            kind = "replace"
-        self._commit(commit, kind, key)
-
-    def insert(self, texts: DataFrame, key: str | None = None) -> int | None:
+        postings = self._write(index.sortWithinPartitions("word", F.desc("word_frequency")), "postings", change)
+        self._write(document_frequency(postings), "counts", change)
+        if replace or deleted is not None:
+            ids = accepted.select("doc_id") if replace else self.open("documents", change).limit(0).select("doc_id")
+            self._write(ids if deleted is None else ids.unionByName(deleted.select("doc_id")), "deletions", change)
+        return "replace" if replace or deleted is not None else "append", accepted.count()
+
+    @staticmethod
+    def _judged(docs: DataFrame) -> DataFrame:
+        text = F.coalesce("text", F.lit(""))
+        flagged = with_token_flag(docs.withColumn("text", text))
+        return flagged.withColumn("status", F.when(F.col("has_tokens"), ACCEPTED).otherwise(NO_TOKENS))
+
+    def insert(self, texts: DataFrame, key: str | None = None) -> str | None:
         """Store texts under new ids. Equal texts give different documents; texts without tokens
-        end up in ``rejected``. Returns the commit, None if ``key`` was already used."""
-        commit = self._begin(key)
-        if commit is None:
-            return None
-        keyed = texts.select(F.expr("uuid()").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        self._write_change(commit, keyed, None, key)
-        return commit
+        end up in ``rejected``. Returns the id of the change, None if ``key`` was already used."""
+        keyed = texts.select(F.expr("uuid()").alias("doc_id"), "text")
+        return self._change(key, lambda change: self._fill(change, self._judged(keyed), False))
+
+    def insert_json(self, bodies: DataFrame, key: str | None = None) -> str | None:
+        """Store a set of JSON bodies; those that cannot be stored are kept in ``rejected`` with the reason."""
+        decoded = decode_documents(bodies)
+        text = F.when(F.col("status").isin(ACCEPTED, NO_TOKENS), F.col("text")).otherwise(F.col("body"))
+        keyed = decoded.select(F.expr("uuid()").alias("doc_id"), text.alias("text"), "status")
+        return self._change(key, lambda change: self._fill(change, keyed, False))
+
+    def append(self, docs: DataFrame, key: str | None = None) -> str | None:
+        """Store documents under their own ids, which must be unique and new to the store."""
+        return self._change(key, lambda change: self._fill(change, self._judged(docs), False))
 
-    def insert_json(self, bodies: DataFrame, key: str | None = None) -> int | None:
-        """Store the accepted ones of a set of JSON bodies."""
-        return self.insert(decode_documents(bodies).filter(F.col("status") == ACCEPTED), key)
+    def upsert(self, docs: DataFrame, key: str | None = None, order_col: str | None = None) -> str | None:
+        """Store documents under their own ids, replacing earlier versions as a whole.
 
-    def append(self, docs: DataFrame, key: str | None = None) -> int | None:
-        """Store documents under their own ids, which must be unique and new to the store."""
-        commit = self._begin(key)
-        if commit is not None:
-            self._write_change(commit, docs, None, key)
-        return commit
-
-    def upsert(self, docs: DataFrame, key: str | None = None) -> int | None:
-        """Store documents under their own unique ids, replacing earlier versions as a whole."""
-        commit = self._begin(key)
-        if commit is not None:
-            self._write_change(commit, docs, docs, key)
-        return commit
-
-    def apply_changes(self, changes: DataFrame, key: str | None = None) -> int | None:
+        Of several rows with one id the last by ``order_col`` counts; without it, repeated ids are an error.
+        A document without tokens is rejected and leaves its earlier version as it is.
+        """
+        if order_col:
+            last = docs.groupBy("doc_id").agg(F.max_by("text", order_col).alias("text"))
+        else:
+            last = docs.groupBy("doc_id").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("_n"))
+            unique = F.col("_n") == 1
+            complaint = F.raise_error(F.concat(F.lit("several rows and no order for id "), F.col("doc_id").cast("string")))
+            last = last.withColumn("text", F.when(unique, F.col("text")).otherwise(complaint.cast("string")))
+        return self._change(key, lambda change: self._fill(change, self._judged(last.select("doc_id", "text")), True))
+
+    def apply_changes(self, changes: DataFrame, key: str | None = None) -> str | None:
         """Apply ``(doc_id, text, op, seq)`` rows, ``op`` being ``upsert`` or ``delete``; per id the
         operation with the highest ``seq`` counts."""
-        commit = self._begin(key)
-        if commit is None:
-            return None
         last = changes.groupBy("doc_id").agg(F.max(F.struct("seq", "op", "text")).alias("_last"))
         latest = last.select("doc_id", "_last.op", "_last.text")
-        kept = latest.filter(F.col("op") == "upsert")
-        self._write_change(commit, kept, latest.select("doc_id"), key)
-        return commit
+        kept, gone = latest.filter("op = 'upsert'").select("doc_id", "text"), latest.filter("op = 'delete'")
+        return self._change(key, lambda change: self._fill(change, self._judged(kept), True, gone))
 
     def delete(self, ids: DataFrame, key: str | None = None) -> int:
         """Delete documents with their postings; returns how many existed."""
-        commit = self._begin(key)
-        if commit is None:
-            return 0
-        held = self.documents().select("doc_id").join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-        count = self._write(held.distinct(), "deletions", commit).count()
-        if count:
-            self._commit(commit, "delete", key)
-        return count
-
-    def inserted(self, commit: int) -> DataFrame:
-        """``(doc_id)`` of the documents of one commit."""
-        return self._read("documents", [commit]).filter("accepted").select("doc_id")
-
-    def compact(self) -> int:
-        """Rewrite documents by id and postings by word, dropping what deletions hide.
-
-        Ranges split on a second column too, so one frequent word spreads over several files.
+        found = {"n": 0}
+
+        def write(change: str) -> tuple[str | None, int]:
+            held = self.documents().select("doc_id").join(ids.select("doc_id"), "doc_id", "left_semi")
+            found["n"] = self._write(held, "deletions", change).count()
+            return "delete" if found["n"] else None, 0
+
+        self._change(key, write)
+        return found["n"]
+
+    def inserted(self, change: str) -> DataFrame:
+        """``(doc_id)`` of the documents of one change."""
+        return self.open("documents", change).filter(F.col("status") == ACCEPTED).select("doc_id")
+
+    def compact(self) -> str | None:
+        """Rewrite documents by id and postings by word, dropping what deletions hide; rejects are kept.
+
+        Ranges split on a second column too, so one frequent word spreads over several files. Changes that
+        others publish meanwhile have later numbers than what was read here only if they come after;
+        compact while nobody writes.
         """
-        commit = self._begin(None)
-        documents = self.documents().withColumn("accepted", F.lit(True))
-        self._write(documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), "documents", commit)
-        order = ["word", F.desc("word_frequency"), "doc_id"]
-        self._write(self.postings().repartitionByRange(*order).sortWithinPartitions(*order), "postings", commit)
-        self._commit(commit, "compact", None)
-        return commit
-
-    def refresh_idf(self, retain_missing: bool = False, key: str | None = None) -> int | None:
-        """Write a new IDF snapshot; counts and total come from the same commits.
-
-        ``retain_missing`` keeps the last value of words that no document has any more.
+        seen = self.snapshot()
+
+        def write(change: str) -> tuple[str, int]:
+            documents = seen.documents().withColumn("status", F.lit(ACCEPTED))
+            held = self._write(documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), "documents", change)
+            order = ["word", F.desc("word_frequency"), "doc_id"]
+            self._write(seen.postings().repartitionByRange(*order).sortWithinPartitions(*order), "postings", change)
+            for table, rows in (("rejected", seen.rejected()), ("counts", seen.word_counts()), ("idf", seen.idf())):
+                self._write(rows, table, change)
+            return "compact", held.count()
+
+        return self._change(None, write)
+
+    def refresh_idf(self, retain_missing: bool = False, key: str | None = None) -> str | None:
+        """Write a new IDF snapshot; counts and total come from one snapshot of the store.
+
+        The counts are sums of what each change recorded, less the postings that deletions hide, so
+        the postings are not counted again. ``retain_missing`` keeps the last value of words that no
+        document has any more.
         """
-        commit = self._begin(key)
-        if commit is None:
-            return None
-        total = document_count(self.documents()).scalar()
-        fresh = idf_snapshot(document_frequency(self.postings()), total)
-        if retain_missing:
-            fresh = merge_idf(self.idf(), fresh)
-        self._write(fresh, "idf", commit)
-        self._commit(commit, "idf", key)
-        return commit
+
+        def write(change: str) -> tuple[str, int]:
+            seen = self.snapshot()
+            fresh = idf_snapshot(seen.word_counts(), F.lit(seen.total_documents()))
+            self._write(merge_idf(seen.idf(), fresh) if retain_missing else fresh, "idf", change)
+            return "idf", 0
+
+        return self._change(key, write)
 
     # -- search ----------------------------------------------------------------------------------
 
     def search(self, query: str, k: int = DEFAULT_K, dedupe_query_terms: bool = False) -> DataFrame:
-        """``(doc_id, score, text)``, best first.
-
-        A short result list is fetched first, so that its ids reach the document scan as literals
-        and only the files that can hold them are read.
-        """
-        documents = self.documents()
-        top = search(query, self.postings(), self.idf(), None, k, dedupe_query_terms)
-        if k <= LOOKUP_LIMIT:
-            rows = top.collect()
-            top = self.spark.createDataFrame(rows, top.schema)
-            documents = documents.filter(F.col("doc_id").isin(*[r["doc_id"] for r in rows]))
-        return attach_text(top, documents).orderBy(F.desc("score"), "doc_id").limit(k)
+        """``(doc_id, score, text)``, best first, from one snapshot."""
+        seen = self.snapshot()
+        return search(query, seen.postings(), seen.idf(), seen.documents(), k, dedupe_query_terms)
 
     def batch_search(self, queries: DataFrame, k: int = DEFAULT_K, with_text: bool = True, **options: Any) -> DataFrame:
-        documents = self.documents() if with_text else None
-        return batch_search(queries, self.postings(), self.idf(), documents, k, **options)
+        seen = self.snapshot()
+        documents = seen.documents() if with_text else None
+        return batch_search(queries, seen.postings(), seen.idf(), documents, k, **options)

@@ -1,11 +1,13 @@
 """Structured Streaming jobs: continuous ingest, deletes, IDF refresh and running counts.
 
-The store jobs run in ``foreachBatch`` and pass the batch number as the key of their commit, so a
-batch that is replayed after a failure changes nothing twice.
+The store jobs run in ``foreachBatch``. The key of a change is the stream's id, which its checkpoint keeps, and the
+batch number: a batch that is replayed after a failure changes nothing twice, and two feeds never
+share a key, whatever they are called.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import Future
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -16,51 +18,58 @@ from lexspark.functions.text import tokens
 from lexspark.sources.store import DocumentStore
 
 
-def _start(stream: DataFrame, name: str, checkpoint: str, apply: Any, trigger: dict[str, Any]) -> StreamingQuery:
+def _start(stream: DataFrame, name: str | None, checkpoint: str, apply: Any, trigger: dict[str, Any]) -> StreamingQuery:
+    started: Future[str] = Future()
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        apply(batch, f"{name}-{batch_id}")
+        apply(batch, f"{started.result()}-{batch_id}")
 
-    return (
-        stream.writeStream.queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .foreachBatch(on_batch)
-        .start()
-    )
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(on_batch)
+    query = (writer.queryName(name) if name else writer).start()
+    started.set_result(query.id)
+    return query
 
 
 def ingest_documents(
     store: DocumentStore,
     documents: DataFrame,
     checkpoint: str,
-    name: str = "ingest",
+    name: str | None = None,
     replace: bool = True,
+    order_col: str | None = None,
     **trigger: Any,
 ) -> StreamingQuery:
     """Index a stream of ``(doc_id, text)`` under the given ids.
 
-    ``replace=False`` is for feeds whose ids are always new: it skips the look for earlier versions.
+    ``replace=False`` is for feeds whose ids are always new: it records no deletions. Of rows with one id in
+    a batch the last by ``order_col`` counts; without it they are an error.
     """
-    apply = store.upsert if replace else store.append
+
+    def apply(batch: DataFrame, key: str) -> None:
+        if replace:
+            store.upsert(batch, key, order_col)
+        else:
+            store.append(batch, key)
+
     return _start(documents, name, checkpoint, apply, trigger or {"availableNow": True})
 
 
 def ingest_json(
-    store: DocumentStore, bodies: DataFrame, checkpoint: str, name: str = "ingest-json", **trigger: Any
+    store: DocumentStore, bodies: DataFrame, checkpoint: str, name: str | None = None, **trigger: Any
 ) -> StreamingQuery:
     """Index a stream of JSON bodies ``(body)`` under new ids."""
     return _start(bodies, name, checkpoint, store.insert_json, trigger or {"availableNow": True})
 
 
 def delete_documents(
-    store: DocumentStore, ids: DataFrame, checkpoint: str, name: str = "delete", **trigger: Any
+    store: DocumentStore, ids: DataFrame, checkpoint: str, name: str | None = None, **trigger: Any
 ) -> StreamingQuery:
     """Delete the documents named by a stream of ``(doc_id)``."""
     return _start(ids, name, checkpoint, store.delete, trigger or {"availableNow": True})
 
 
 def apply_changes(
-    store: DocumentStore, changes: DataFrame, checkpoint: str, name: str = "changes", **trigger: Any
+    store: DocumentStore, changes: DataFrame, checkpoint: str, name: str | None = None, **trigger: Any
 ) -> StreamingQuery:
     """Apply a stream of ``(doc_id, text, op, seq)``; per batch the last operation per id counts."""
     return _start(changes, name, checkpoint, store.apply_changes, trigger or {"availableNow": True})
@@ -70,14 +79,15 @@ def refresh_idf(
     store: DocumentStore,
     ticks: DataFrame,
     checkpoint: str,
-    name: str = "idf",
+    name: str | None = None,
     retain_missing: bool = False,
     **trigger: Any,
 ) -> StreamingQuery:
     """Write an IDF snapshot for every batch of ``ticks``, at once and then at the trigger's pace.
 
-    Any stream will do; with ``processingTime`` and a feed of documents the snapshot follows the
-    feed at that interval.
+    To refresh by time, deletes alone included, pass a stream that always has rows, such as
+    ``spark.readStream.format("rate").load()``, and ``processingTime``; with a feed of documents as ticks
+    the snapshot follows the feed.
     """
 
     def refresh(_: DataFrame, key: str) -> None:
@@ -90,7 +100,9 @@ def running_document_frequency(documents: DataFrame) -> DataFrame:
     """``(word, document_count)`` of a stream of documents, as a stateful aggregation.
 
     A document brings each of its words once, so only ids have to be remembered to ignore
-    documents that arrive again. It cannot take back deleted documents; ``refresh_idf`` can.
+    documents that arrive again. That state holds every id of the stream, some tens of bytes each, and never
+    shrinks; for feeds without end use ``refresh_idf``, whose counts live in the store and which also
+    takes back deleted documents.
     """
     first_seen = documents.dropDuplicates(["doc_id"])
     words = first_seen.select(F.explode_outer(F.array_distinct(tokens(F.col("text")))).alias("word"))

@@ -82,7 +82,7 @@ def test_iostat(spark, tmp_path):
     values = [10.0 + (i * 37 % 50) for i in range(40)]
     (tmp_path / "system_log_8_.log").write_text(iostat_text(values))
     lines = logs.read_lines(spark, str(tmp_path))
-    device = logs.iostat_rows(lines).filter("kind = 'disk' AND sample = 4").collect()[0]
+    device = logs.iostat_rows(lines, 360).filter("kind = 'disk' AND sample = 4").collect()[0]
     assert (device.device, device.r_s, device.w_s, device.aqu_sz) == ("sda", 3.0, 7.0, 0.75)
     row = logs.iostat_summary(lines, num_samples=25).collect()[0]
     head = values[:25]
@@ -126,6 +126,8 @@ def test_run_report_of_inserts_and_unequal_counts(spark, tmp_path):
     (tmp_path / "post.txt").write_text("Number of Threads: 2\nThroughput: 167 req/sec\n")
     with pytest.raises(Exception, match="equally often"):
         logs.run_report(logs.read_lines(spark, str(tmp_path)), logs.INSERT_REPORT).collect()
+    with pytest.raises(Exception, match="equally often"):
+        logs.run_report(logs.read_lines(spark, str(tmp_path)), logs.INSERT_REPORT).select("threads").collect()
 
 
 def test_run_metrics(spark):
@@ -159,6 +161,28 @@ def test_quantiles_of_uneven_groups(spark):
     assert result.filter("g = 'spread'").first().q50 == pytest.approx(statistics.median(groups["spread"]))
 
 
+def test_one_outlier_does_not_gather_the_other_values(spark):
+    """Values are dealt out by rank, so no range holds most of them, however they are distributed."""
+    from lexspark.operators.ordered import ranged
+
+    rows = spark.range(20_000).select(F.lit("g").alias("g"), (1 + F.col("id") / 20_000).alias("v"))
+    rows = rows.union(spark.createDataFrame([("g", 1e300)], "g string, v double"))
+    sizes = [r["count"] for r in ranged(rows, "g", ["v"], "ranges").groupBy("_range").count().collect()]
+    assert max(sizes) < 2 * sum(sizes) / 4
+    median = exact_quantiles(rows, ["g"], "v", {"q": 0.5}).first()["q"]
+    assert median == pytest.approx(1.5)
+
+
+def test_iostat_over_all_and_first_rows(spark, tmp_path):
+    cpu = "".join(f"1.0 0.0 0.5 0.2 0.0 {i}\n" for i in range(1, 401))
+    (tmp_path / "system_log_4_.log").write_text("avg-cpu: %user\n" + cpu)
+    lines = logs.read_lines(spark, str(tmp_path))
+    every, first = logs.iostat_summary(lines).first(), logs.iostat_summary(lines, 360).first()
+    assert (every.cpu_samples, every.cpu_max_idle, every.threads, every.disk_95th_util) == (400, 400.0, 4, None)
+    assert (first.cpu_samples, first.cpu_max_idle) == (360, 360.0)
+    assert every.cpu_95th_idle == pytest.approx(np.percentile(range(1, 401), 95))
+
+
 # -- generators --------------------------------------------------------------------------------------
 
 
@@ -184,6 +208,15 @@ def test_generated_characters(spark):
     assert all(abs(n / 200_000 - 1 / 27) < 0.004 for n in counts.values())
 
 
+def test_all_of_an_id_counts(spark):
+    """Ids a fixed distance apart give neither equal texts nor shifted ones."""
+    ids = [5, 5 + 2_147_483_647, 5 + (1 << 30), 5 + (1 << 31), 5 + (1 << 45), 6, 7]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    texts = [r.text for r in generate.generate_character_documents(rows).collect()]
+    pieces = [{t[i : i + 12] for i in range(len(t) - 12)} for t in texts]
+    assert all(a.isdisjoint(b) for i, a in enumerate(pieces) for b in pieces[:i])
+
+
 def test_generated_queries(spark):
     ids = spark.range(2000).withColumnRenamed("id", "query_id")
     short = {r.text for r in generate.generate_queries(ids, "short_tail").collect()}

@@ -54,8 +54,44 @@ def test_upsert_replaces_whole_documents(spark, store):
     store.upsert(docs(spark, (1, "cherry"), (3, "melon")))
     assert texts_of(store) == {1: "cherry", 2: "plum", 3: "melon"}
     assert postings_of(store) == models.index(texts_of(store).items())
-    store.upsert(docs(spark, (2, "the")))
-    assert set(texts_of(store)) == {1, 3}
+
+
+def test_upsert_without_tokens_has_no_effect(spark, store):
+    store.upsert(docs(spark, (1, "apple pear")))
+    store.upsert(docs(spark, (1, "the -- a"), (2, None)))
+    assert texts_of(store) == {1: "apple pear"}
+    assert sorted((r.doc_id, r.text, r.reason) for r in store.rejected().collect()) == [
+        (1, "the -- a", "no_tokens"), (2, "", "no_tokens"),
+    ]
+
+
+def test_one_row_per_id_counts(spark, store):
+    turns = spark.createDataFrame([(1, "apple one", 1), (1, "apple two", 2), (2, "pear", 1)], "doc_id bigint, text string, turn int")
+    store.upsert(turns, order_col="turn")
+    assert texts_of(store) == {1: "apple two", 2: "pear"}
+    assert postings_of(store) == models.index(texts_of(store).items())
+    with pytest.raises(Exception, match="no order"):
+        store.upsert(turns.select("doc_id", "text"))
+    assert texts_of(store) == {1: "apple two", 2: "pear"}
+
+
+def test_writers_at_the_same_time_keep_both(spark, store, monkeypatch):
+    store.append(docs(spark, (1, "apple")))
+    monkeypatch.setattr(store, "_next", lambda: 2)  # both saw the same last number
+    store.append(docs(spark, (10, "pear")))
+    store.append(docs(spark, (20, "plum")))
+    monkeypatch.undo()
+    assert set(texts_of(store)) == {1, 10, 20} and [c["number"] for c in store.commits()] == [1, 2, 2]
+
+
+def test_rejected_bodies_are_kept(spark, text_store):
+    bodies = ['{"text":"apple"}', '{"text":5}', "bad", '{"text":"the"}', "{}"]
+    text_store.insert_json(spark.createDataFrame([(b,) for b in bodies], "body string"))
+    assert sorted((r.reason, r.text) for r in text_store.rejected().collect()) == [
+        ("malformed", "bad"), ("no_tokens", ""), ("no_tokens", "the"), ("not_a_string", '{"text":5}'),
+    ]
+    text_store.compact()
+    assert text_store.rejected().count() == 4 and text_store.documents().count() == 1
 
 
 def test_delete_cascades_and_reports(spark, store):
@@ -78,9 +114,9 @@ def test_a_key_counts_once(spark, store):
     assert texts_of(store) == {1: "apple"}
 
 
-def test_unlisted_commits_stay_invisible(spark, store):
+def test_unlisted_changes_stay_invisible(spark, store):
     store.upsert(docs(spark, (1, "apple")))
-    store._write(docs(spark, (5, "ghost")).selectExpr("*", "now() AS created_at", "true AS accepted"), "documents", 2)
+    store._fill("left-behind", store._judged(docs(spark, (5, "ghost"))), False)
     assert set(texts_of(store)) == {1}
     store.upsert(docs(spark, (2, "pear")))
     assert set(texts_of(store)) == {1, 2}
@@ -104,8 +140,11 @@ def test_compaction_changes_nothing_visible(spark, store):
     state = texts_of(store), postings_of(store), store.search("cherry apple").collect()
     store.compact()
     assert (texts_of(store), postings_of(store), store.search("cherry apple").collect()) == state
+    assert len(store.commits()) == 1  # earlier changes are not read again
     store.delete(ids(spark, 1))
     assert set(texts_of(store)) == {2}
+    store.refresh_idf()
+    assert {r.word: r.idf for r in store.idf().collect()} == pytest.approx(models.idf(postings_of(store)))
 
 
 def test_idf_snapshots(spark, store):

@@ -28,17 +28,33 @@ def postings_of(store):
     return {(r.doc_id, r.word): r.word_frequency for r in store.postings().collect()}
 
 
-def test_ingest_equals_batch_and_replay_changes_nothing(spark, store):
-    stream = feed(spark, DOCS, SCHEMA)
-    feeds.ingest_documents(store, stream, scratch_path(spark, "offsets")).awaitTermination()
-    assert len(store.commits()) == 3
-    assert postings_of(store) == models.index(DOCS)
-    # A new checkpoint delivers every batch again under the same numbers.
-    feeds.ingest_documents(store, stream, scratch_path(spark, "offsets")).awaitTermination()
+def test_ingest_equals_batch_and_replay_changes_nothing(spark, store, monkeypatch):
+    stream, offsets = feed(spark, DOCS, SCHEMA), scratch_path(spark, "offsets")
+    publish, calls = store._publish, []
+
+    def fails_once(*entry):
+        publish(*entry)
+        calls.append(entry)
+        if len(calls) == 2:
+            raise RuntimeError("lost after the change was made")
+
+    monkeypatch.setattr(store, "_publish", fails_once)
+    with pytest.raises(Exception, match="lost after"):
+        feeds.ingest_documents(store, stream, offsets).awaitTermination()
+    # The same checkpoint delivers the batch that failed again, under its number.
+    feeds.ingest_documents(store, stream, offsets).awaitTermination()
     assert len(store.commits()) == 3
     assert postings_of(store) == models.index(DOCS)
 
 
+def test_two_feeds_without_names_keep_all(spark, store):
+    more = [(i + 100, text) for i, text in DOCS]
+    for rows in (DOCS, more):
+        feeds.ingest_documents(store, feed(spark, rows, SCHEMA), scratch_path(spark, "offsets")).awaitTermination()
+    assert len(store.commits()) == 6
+    assert postings_of(store) == models.index(DOCS + more)
+
+
 def test_json_ingest(spark):
     store = DocumentStore(spark, scratch_path(spark, "store"))
     bodies = [(json.dumps({"text": t}),) for _, t in DOCS] + [("broken",), ("[]",)]
@@ -52,8 +68,11 @@ def test_delete_feed_and_idf_refresh(spark, store):
     feeds.delete_documents(store, feed(spark, gone, "doc_id bigint"), scratch_path(spark, "offsets")).awaitTermination()
     left = [d for d in DOCS if d[0] % 3]
     assert postings_of(store) == models.index(left)
-    ticks = feed(spark, [(0,)], "doc_id bigint", files=1)
-    feeds.refresh_idf(store, ticks, scratch_path(spark, "offsets")).awaitTermination()
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+    refresh = feeds.refresh_idf(store, ticks, scratch_path(spark, "offsets"), processingTime="1 second")
+    while not any(c["kind"] == "idf" for c in store.commits()):
+        refresh.awaitTermination(1)
+    refresh.stop()
     assert {r.word: r.idf for r in store.idf().collect()} == pytest.approx(models.idf(models.index(left)))
 
 

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import MAX_QUERY_BYTES, STOPWORDS, decode_query, is_valid_query, tokens
+from lexspark.functions.text import STOPWORDS, decode_query, is_valid_query, tokens
 from lexspark.operators.index import exploded_tokens
 
 CASES = [
@@ -58,7 +58,9 @@ def test_decode_query(spark, raw, query):
 
 
 def test_query_validity(spark):
-    texts = [None, "", "x", "x" * MAX_QUERY_BYTES, "x" * (MAX_QUERY_BYTES + 1), "é" * 512]
+    texts = [None, "", "x", "x" * 1023, "x" * 1024, "é" * 512]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, q string")
-    flags = [r.v for r in rows.select("i", is_valid_query(F.col("q")).alias("v")).orderBy("i").collect()]
-    assert flags == [False, False, True, True, False, False]
+    both = rows.select(is_valid_query(F.col("q")).alias("any"), is_valid_query(F.col("q"), 1023).alias("short"), "i")
+    found = both.orderBy("i").collect()
+    assert [r["any"] for r in found] == [False, False, True, True, True, True]
+    assert [r["short"] for r in found] == [False, False, True, True, False, False]
