@@ -32,10 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import partitions_for
 from lexspark.llm.components import connected_components
 from lexspark.llm.shingles import set_key, shingle_sets
-from lexspark.session import materialise
+from lexspark.session import materialise, partitions_for
 
 SIMILARITY_PCT = 80
 SKETCH_BITS = 20
@@ -44,6 +43,8 @@ BITMAP_BITS = 1 << 24
 SIGNATURE = 256
 #: Rows of one group that are held at once when centres are chosen, and compared at once later.
 RUN_ROWS = 200_000
+#: In groups up to this size, rows without a possible partner fall away before anything else is done.
+SMALL_GROUP = 64
 BLOCK_ROWS = 1024
 #: Pairs remembered by a task so as not to send them twice; beyond it, ``distinct`` removes repeats.
 SEEN_PAIRS = 2_000_000
@@ -152,6 +153,28 @@ def _prefixes(docs: DataFrame, sketch) -> DataFrame:
     return docs.select("text").mapInArrow(emit, "token bigint, n int, key bigint, pos int")
 
 
+def has_partner(token: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Rows that pass the length and positional filters with some other row of their group.
+
+    Rows are sorted by token. Neighbours at distance 1, 2, ... are compared; rows of groups above
+    ``SMALL_GROUP`` are all kept.
+    """
+    kept = np.zeros(len(token), bool)
+    sizes, places = n.astype(np.int64), pos.astype(np.int64)
+    for distance in range(1, SMALL_GROUP):
+        first = np.flatnonzero(token[:-distance] == token[distance:]) if distance < len(token) else []
+        if not len(first):
+            return kept
+        second = first + distance
+        a, b = sizes[first], sizes[second]
+        shared = np.minimum(a - places[first], b - places[second])
+        may = (100 * np.minimum(a, b) >= SIMILARITY_PCT * np.maximum(a, b)) & (shared >= least_overlap(a, b))
+        kept[first[may]] = kept[second[may]] = True
+    starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    lengths = np.diff(np.append(starts, len(token)))
+    return kept | np.repeat(lengths > SMALL_GROUP, lengths)
+
+
 def _groups(prefixes: DataFrame) -> DataFrame:
     """Rows of tokens that two or more classes share, each with the centre of its group.
 
@@ -165,7 +188,9 @@ def _groups(prefixes: DataFrame) -> DataFrame:
             new = np.ones(len(token), bool)  # drop the same class from other tasks
             new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1]) | (n[1:] != n[:-1])
             token, n, key, pos = (c[new] for c in part)
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            kept = has_partner(token, n, pos)
+            token, n, key, pos = (c[kept] for c in (token, n, key, pos))
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else token
             lengths = np.diff(np.append(starts, len(token)))
             many = np.repeat(lengths > 1, lengths)
             centre = np.repeat(starts + lengths // 2, lengths)[many]
@@ -215,8 +240,12 @@ def _may_link(n: Column, pos: Column, other_n: Column, other_pos: Column) -> Col
 # -- sets and verification -------------------------------------------------------------------------
 
 
-def _wanted_sets(docs: DataFrame, wanted: DataFrame, id_type: str) -> DataFrame:
-    """``(key, n, node, hashes, signature)`` of the classes in ``wanted (key, n, node)``."""
+def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(key, n, hashes, signature)`` of at least the classes in ``wanted (key, n, node)``.
+
+    A bit may stand for other ids too, whose sets nobody asks for; a copy of a wanted text may come twice.
+    Nothing is shuffled.
+    """
     spark = docs.sparkSession
 
     def slot(column: str) -> Column:
@@ -250,37 +279,40 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, id_type: str) -> DataFrame:
                     ranges = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=SIGNATURE)
                     signatures.append(np.minimum(ranges, 255).astype(np.uint8).tobytes())
                 columns = [
-                    part.column(0),
                     pa.array(keys, pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(sets, pa.binary()),
                     pa.array(signatures, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "key", "n", "hashes", "signature"])
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "hashes", "signature"])
 
     found = docs.select("id", "text", slot("id").alias("slot")).filter("id IS NOT NULL").mapInArrow(
-        gather, f"node {id_type}, key bigint, n int, hashes binary, signature binary"
+        gather, "key bigint, n int, hashes binary, signature binary"
     )
-    exact = found.join(wanted.select("key", "n", "node"), ["key", "n", "node"], "left_semi")
-    return exact.dropDuplicates(["key", "n"])
+    return found
+
+
+SIDES = (("key", "n", "x"), ("c_key", "c_n", "y"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """The links among ``pairs (key, n, c_key, c_n)``, as nodes ``(a, b)``."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
                 a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 common = len(a) + len(b) - len(np.union1d(a, b))
                 linked.append(100 * common >= SIMILARITY_PCT * (len(a) + len(b) - common))
-            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(linked, pa.bool_()))
 
-    one = sets.select("key", "n", F.col("node").alias("a"), F.col("hashes").alias("x"))
-    two = sets.select(F.col("key").alias("c_key"), F.col("n").alias("c_n"), F.col("node").alias("b"), F.col("hashes").alias("y"))
-    joined = pairs.join(one, ["key", "n"]).join(two, ["c_key", "c_n"]).select("a", "b", "x", "y")
-    return joined.mapInArrow(check, f"a {id_type}, b {id_type}")
+    sides = [sets.select(F.col("key").alias(k), F.col("n").alias(n), F.col("hashes").alias(h)) for k, n, h in SIDES]
+    joined = pairs.join(sides[0], ["key", "n"]).join(sides[1], ["c_key", "c_n"])
+    links = joined.select("key", "n", "c_key", "c_n", "x", "y").mapInArrow(check, "key bigint, n int, c_key bigint, c_n int")
+    other = nodes.select(F.col("key").alias("c_key"), F.col("n").alias("c_n"), F.col("node").alias("b"))
+    named = links.join(nodes.select("key", "n", F.col("node").alias("a")), ["key", "n"]).join(other, ["c_key", "c_n"])
+    return named.select("a", "b")
 
 
 # -- pairs of different components -----------------------------------------------------------------
@@ -387,7 +419,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         members.join(classes.withColumn("n", F.col("n").cast("int")), ["key", "n"]).select("key", "n", "node"),
         "candidate-classes",
     )
-    sets = materialise(_wanted_sets(docs, wanted, id_type), "candidate-sets")
+    sets = materialise(_wanted_sets(docs, wanted), "candidate-sets")
 
     differs = (F.col("key") != F.col("c_key")) | (F.col("n") != F.col("c_n"))
     stars = (
@@ -395,7 +427,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .select("key", "n", "c_key", "c_n")
         .distinct()
     )
-    first_links = _verified(stars, sets, id_type)
+    first_links = _verified(stars, sets, wanted)
     first = materialise(connected_components(first_links), "components")
 
     placed = wanted.join(first, "node", "left").select("key", "n", F.coalesce("component", "node").alias("component"))
@@ -408,8 +440,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .filter("run < _most")
         .select("token", "run")
     )
-    cross = _cross_pairs(placed_rows.join(mixed, "token").join(sets.select("key", "n", "signature"), ["key", "n"]))
-    second_links = _verified(cross, sets, id_type)
+    signatures = sets.select("key", "n", "signature").dropDuplicates(["key", "n"])
+    cross = _cross_pairs(placed_rows.join(mixed, "token").join(signatures, ["key", "n"]))
+    second_links = _verified(cross, sets, wanted)
     # The second round joins components of the first.
     left = first.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     right = first.select(F.col("node").alias("b"), F.col("component").alias("cb"))
