@@ -28,11 +28,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WHITE_SPACE), lambda w: w != "")
 
 
-def partitions_for(spark: SparkSession, least: int = 1) -> int:
-    """How many partitions a shuffle gets: what the session is set to."""
-    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 _shipped: set[str] = set()
 
 

@@ -25,11 +25,11 @@ import heapq
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import partitions_for
-from lexspark.llm.ordered import running_totals
+from lexspark.operators.ordered import running_totals
+from lexspark.session import partitions_for
 
 BLOCK_BYTES = 64 * 1024
 #: Slots per period; every source has at least one.
@@ -162,8 +162,6 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         F.col(options.get("source_col", "source")).alias("_source"),
     )
     # Repeated ids are told apart by a number, so that no row is lost or multiplied.
-    from pyspark.sql import Window
-
     numbered = order.withColumn(
         "_copy", F.row_number().over(Window.partitionBy("_id", "_size", "_source").orderBy("_slot", "_start"))
     )

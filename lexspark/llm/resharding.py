@@ -24,9 +24,8 @@ from collections import deque
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import partitions_for
-from lexspark.llm.ordered import running_totals
-from lexspark.session import scratch_path
+from lexspark.operators.ordered import running_totals
+from lexspark.session import partitions_for, scratch_path
 
 OLD_SHARDS = 12
 NEW_SHARDS = 16

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.ordered import last_before
+from lexspark.operators.ordered import last_before
 
 RESPONSE, REVISIT = "response", "revisit"
 

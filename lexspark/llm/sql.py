@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lexspark.llm.revisits import TRACKING
 from lexspark.llm.line_quality import BOILERPLATE, NAVIGATION, SENTENCE_END, SHOUTS, SYMBOLS
+from lexspark.llm.revisits import TRACKING
 
 
 def _quoted(text: str) -> str:
@@ -106,7 +106,36 @@ SELECT record_id, canonical, captured_at, status,
 FROM judged
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: All pairs that share a shingle are counted, so this suits small tables only.
+JACCARD = rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS k
+    FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS u(i) WHERE len(ws) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM s AS a JOIN s AS b USING (k) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM w
+    UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), least AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
 ORACLES = {
+    "op3_jaccard_join": JACCARD,
     "op10_revisits": REVISITS,
     "op9_line_quality": LINE_QUALITY,
 }

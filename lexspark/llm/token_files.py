@@ -30,9 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import partitions_for
 from lexspark.llm.tokenising import END_ID, word_tokenizer
-from lexspark.session import materialise, scratch_path
+from lexspark.session import materialise, partitions_for, scratch_path
 
 ROW_TOKENS = 2048
 #: Rows per record batch: what a task holds before it writes.
