@@ -131,7 +131,7 @@ def window_hashes(words: Column, n: Column) -> Column:
 
 
 def figures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns of the verdict in one struct column ``_quality``."""
+    """``docs`` with the figures in a struct ``_quality``, ``_base_failed``, and the lines with their flags."""
     words = words_of(F.coalesce(F.col(text_col), F.lit("")))
     lines = F.filter(
         F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")
@@ -155,45 +155,47 @@ def figures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
     symbols = F.char_length(F.regexp_replace(text, "[^#*$%&|<>]+", ""))
     lost = F.char_length(F.regexp_replace(F.array_join("_failed_lines", " "), WHITE_SPACE, ""))
-    counted = with_failed.select(
-        *docs.columns,
-        "_lines",
-        *flags,
-        n.cast("long").alias("_n_words"),
-        "_word_chars",
-        F.when(F.col("_suspect"), symbols).otherwise(F.lit(0)).cast("long").alias("_n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("_n_dup_lines"),
-        repeated_positions(F.col("_windows")).alias("_n_repeat_words"),
-        (F.col("_word_chars") - lost).alias("_left"),
+    verdict = F.struct(
+        n.cast("long").alias("n_words"),
+        F.col("_word_chars").alias("word_chars"),
+        F.when(F.col("_suspect"), symbols).otherwise(F.lit(0)).cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        repeated_positions(F.col("_windows")).alias("n_repeat_words"),
+        (F.col("_word_chars") - lost).alias("left"),
     )
-    failed = (F.col("_n_words") < MIN_WORDS) | (100 * F.col("_n_repeat_words") > MAX_REPEAT_PCT * F.col("_n_words"))
+    # No filter is pushed below an explode, so a filter on the verdict does not compute all of it again.
+    counted = with_failed.select(*docs.columns, "_lines", *flags, F.explode_outer(F.array(verdict)).alias("_quality"))
+    words_found, repeats = F.col("_quality.n_words"), F.col("_quality.n_repeat_words")
+    failed = (words_found < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PCT * words_found)
     return counted.withColumn("_base_failed", failed)
 
 
+def keeps(max_lost_pct: int) -> Column:
+    return 100 * F.col("_quality.left") >= (100 - max_lost_pct) * F.col("_quality.word_chars")
+
+
 def line_quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost_pct: int = MAX_LOST_PCT
 ) -> DataFrame:
     """Per document: the base figures, ``kept_chars`` after line cleaning, and the verdict."""
     judged = figures(docs.select(id_col, text_col), text_col)
-    keeps = 100 * F.col("_left") >= (100 - max_lost_pct) * F.col("_word_chars")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select(
         id_col,
-        *[F.col(f"_{c}").alias(c) for c in names],
+        *[F.col(f"_quality.{c}").alias(c) for c in names],
         F.col("_base_failed").alias("base_failed"),
-        (~F.col("_base_failed") & keeps).alias("kept"),
-        F.col("_left").alias("kept_chars"),
+        (~F.col("_base_failed") & keeps(max_lost_pct)).alias("kept"),
+        F.col("_quality.left").alias("kept_chars"),
     )
 
 
 def clean_documents(docs: DataFrame, text_col: str = "text", max_lost_pct: int = MAX_LOST_PCT) -> DataFrame:
     """The documents that pass, with the failed lines taken out of their texts; all columns stay."""
     judged = figures(docs, text_col)
-    keeps = 100 * F.col("_left") >= (100 - max_lost_pct) * F.col("_word_chars")
     flags = [F.col(c) for c in ("_suspect", "_echoes", "_boilerplate")]
     cleaned = F.array_join(F.filter("_lines", lambda line: ~line_fails(line, *flags)), "\n")
     columns = [cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    passed = judged.filter(~F.col("_base_failed") & keeps).select(*columns)
+    passed = judged.filter(~F.col("_base_failed") & keeps(max_lost_pct)).select(*columns)
     if "n_chars" in docs.columns:
         passed = passed.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
     return passed
