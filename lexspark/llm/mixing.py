@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
-from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,7 +124,7 @@ def mixing_order(
     placed = placed.withColumn("block", F.floor(F.col("start") / block_bytes).cast("bigint"))
     sizes = {r["source"]: r["bytes"] for r in keys.groupBy("source").agg(F.sum("size").alias("bytes")).collect()}
     if weights is None:
-        weights = {s: float(Fraction(n)) ** EXPONENT for s, n in sizes.items()}
+        weights = {s: n**EXPONENT for s, n in sizes.items()}
     shares = units({s: weights.get(s, 0.0) for s in sizes}, period) if sizes else {}
     segments = schedule({s: -(-n // block_bytes) for s, n in sizes.items()}, shares)
     rows = [(s.source, s.phase, s.first_block, s.end_block, s.first_slot, s.period, s.slots) for s in segments]
