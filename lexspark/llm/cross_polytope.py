@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lexspark.session import materialise, partitions_for
 
 NEIGHBOURS = 20
-TABLES = 6
+TABLES = 8
 #: Of the 2 * d signed axes (d a power of two above the vectors' length), a query probes this share per table.
 PROBE_SHARE = 1 / 8
 ROUNDS = 3
