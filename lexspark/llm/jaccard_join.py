@@ -14,7 +14,7 @@ Two documents link when their shingle sets have a Jaccard similarity of ``SIMILA
 * Each pair is verified once, with exact integer arithmetic on the whole sets. Two sets in one component
   need no further link, so no component is lost.
 
-Broadcast are two arrays of fixed size: the sketch (4 MB) and a bitmap of the wanted ids (2 MB), which
+Broadcast are two arrays of fixed size: the sketch (16 MB) and a bitmap of the wanted ids (2 MB), which
 only spares the shuffle other texts.
 
 Defined results: null and empty texts, and texts without words, have no shingles and link with nothing;
@@ -37,7 +37,7 @@ from lexspark.llm.shingles import set_key, shingle_sets
 from lexspark.session import materialise, partitions_for
 
 SIMILARITY_PCT = 80
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SKETCH_SLICES = 64
 BITMAP_BITS = 1 << 24
 SIGNATURE = 256
@@ -66,7 +66,7 @@ def _profiles(docs: DataFrame, id_type: str) -> DataFrame:
     """Per document ``(id, n, key)``; and per task and slice the counts of the sketch."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         ids = None
         for batch in batches:
             ids = batch.schema.field(0).type
@@ -74,7 +74,7 @@ def _profiles(docs: DataFrame, id_type: str) -> DataFrame:
             for hashes in shingle_sets(x.as_py() for x in batch.column(1)):
                 sizes.append(len(hashes))
                 keys.append(set_key(hashes))
-                np.add.at(sketch, (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                sketch[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] += 1
             empty = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), *empty], names=names
