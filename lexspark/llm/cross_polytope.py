@@ -5,9 +5,12 @@ The bucket of a vector in a table is the signed axis its rotation lies closest t
 own rotation; a query looks at the buckets of the ``PROBES`` axes its own rotation is closest to, and all
 vectors found there are ranked by their exact inner products.
 
-Hashing wants unit vectors and the measure is the inner product, so vectors are first scaled by the
-largest norm and given one more component that makes their length one; queries get a zero there. That
-keeps the order of inner products.
+Candidates and queries are hashed by their directions, so the length of one vector has no say in the buckets of
+others; inner products rank what is found. Whether hashing finds enough is measured: ``SAMPLE_QUERIES`` queries
+of each vector length are also searched in full. Where less than ``LEAST_RECALL`` of their neighbours share a
+bucket with them (many components, lengths that outweigh directions), and where a vector length has
+no more than ``CHUNK_ROWS`` classes, all classes of the length are ranked, as are those for a query that found
+fewer than ``k + 1``. The default tables and probes compare as many pairs as that.
 
 * Equal vectors are one class, and only the smallest ids of a class can be among the nearest, so a class
   brings at most ``k + 1`` ids along; queries with equal vectors are searched once.
@@ -17,7 +20,7 @@ keeps the order of inner products.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, as
 queries and as candidates; vectors are compared with those of their own length only; a query with fewer
-candidates found than ``k`` gets fewer rows; ties go to the smaller id; repeated rows (equal id and vector)
+candidates than ``k`` gets all of them; ties go to the smaller id; repeated rows (equal id and vector)
 count once; an empty table gives an empty result. Other columns are not looked at.
 """
 
@@ -40,6 +43,9 @@ ROUNDS = 3
 SEED = 7
 CHUNK_ROWS = 4096
 QUERY_ROWS = 1024
+#: Queries per vector length by which recall is measured, and the share of their neighbours that hashing has to find.
+SAMPLE_QUERIES = 64
+LEAST_RECALL = 0.93
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -61,12 +67,11 @@ def rotate(x: np.ndarray, table: int) -> np.ndarray:
     return x
 
 
-def padded(x: np.ndarray, extra: np.ndarray) -> np.ndarray:
-    """Rows with one more component, up to a power of two."""
-    size = 1 << int(x.shape[1]).bit_length()
-    out = np.zeros((len(x), size))
-    out[:, : x.shape[1]] = x
-    out[:, x.shape[1]] = extra
+def directions(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, padded by zeros to a power of two above their length."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    out = np.zeros((len(x), 1 << int(x.shape[1]).bit_length()))
+    out[:, : x.shape[1]] = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
     return out
 
 
@@ -75,6 +80,18 @@ def signed_axes(rotated: np.ndarray) -> np.ndarray:
     return np.concatenate([rotated, -rotated], axis=1)
 
 
+def own_axis(x: np.ndarray, table: int) -> np.ndarray:
+    """The axis in whose bucket a candidate lies, as one column."""
+    return signed_axes(rotate(x, table)).argmax(axis=1)[:, None]
+
+
+def probed_axes(x: np.ndarray, table: int, share: float) -> np.ndarray:
+    """The axes whose buckets a query looks at."""
+    close = signed_axes(rotate(x, table))
+    count = max(1, round(share * close.shape[1]))
+    return np.argpartition(-close, count - 1, axis=1)[:, :count]
+
+
 def usable(vector: Column) -> Column:
     """True for vectors that take part."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -105,8 +122,8 @@ def nearest_neighbours(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the rows for which ``queries`` holds, against all other rows.
 
-    The hashing is not fitted to the data; its only statistic is the largest norm over all rows. Recall
-    rises with ``tables`` and ``probe_share``, as does the share of rows that a query looks at.
+    The hashing is not fitted to the data. Recall rises with ``tables`` and ``probe_share``, as does the share
+    of rows that a query looks at.
     """
     spark = rows.sparkSession
     vector = F.transform(F.col(vector_col), lambda x: x.cast("double"))
@@ -126,28 +143,32 @@ def nearest_neighbours(
     )
     asked = taken.filter("_query").select("id", "vector").join(classes.select("vector", "class"), "vector").select("id", "class")
     asked = materialise(asked, "ann-queries")
-
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x * x))
-    top = classes.agg(F.max(norm)).first()[0] or 1.0
     searched = classes.join(asked.select("class").distinct(), "class", "left_semi")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _by_length(whole):
-                x = _vectors(batch, "vector") / top
-                x = padded(x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1))))
+                x = directions(_vectors(batch, "vector"))
                 for table in range(tables):
-                    yield bucketed(batch, table, signed_axes(rotate(x, table)).argmax(axis=1)[:, None])
+                    yield bucketed(batch, table, own_axis(x, table))
 
     def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _by_length(whole):
-                x = _vectors(batch, "vector")
-                x = padded(x / np.sqrt((x * x).sum(axis=1, keepdims=True)), np.zeros(len(x)))
+                x = directions(_vectors(batch, "vector"))
                 for table in range(tables):
-                    close = signed_axes(rotate(x, table))
-                    count = max(1, round(probe_share * close.shape[1]))
-                    yield bucketed(batch, table, np.argpartition(-close, count - 1, axis=1)[:, :count])
+                    yield bucketed(batch, table, probed_axes(x, table, probe_share))
+
+    def caught(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whether hashing finds ``other`` for the query ``vector``."""
+        for whole in batches:
+            for batch in _by_length(whole):
+                x, other = directions(_vectors(batch, "vector")), directions(_vectors(batch, "other"))
+                hit = np.zeros(batch.num_rows, bool)
+                for table in range(tables):
+                    hit |= (probed_axes(x, table, probe_share) == own_axis(other, table)).any(axis=1)
+                size = pa.array(np.diff(batch.column("vector").offsets.to_numpy()), pa.int32())
+                yield pa.RecordBatch.from_arrays([size, pa.array(hit.astype(np.float64))], names=["size", "hit"])
 
     def bucketed(batch: pa.RecordBatch, table: int, axes: np.ndarray) -> pa.RecordBatch:
         each = axes.shape[1]
@@ -158,27 +179,6 @@ def nearest_neighbours(
         return pa.RecordBatch.from_arrays(columns, names=["bucket", "class", "vector"])
 
     schema = "bucket bigint, class bigint, vector array<double>"
-    source = classes.select("class", "vector")
-    held = source.mapInArrow(hashed, schema)
-    probes = searched.select("class", "vector").mapInArrow(probing, schema)
-    # A count per bucket; there are as many buckets as tables and axes.
-    sizes = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("_rows") / CHUNK_ROWS)).cast("int")
-    asks = probes.groupBy("bucket").agg(F.count(F.lit(1)).alias("_asks"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("_asks") / QUERY_ROWS)).cast("int")
-    plan = materialise(sizes.join(asks, "bucket").select("bucket", chunks.alias("_chunks"), blocks.alias("_blocks")), "ann-plan")
-
-    def sent(side: DataFrame, own: str, other: str, role: int) -> DataFrame:
-        part = F.pmod(F.xxhash64("class"), F.col(f"_{own}s")).cast("int")
-        out = side.join(F.broadcast(plan), "bucket").select(
-            "bucket", "class", "vector", part.alias(own), F.explode(F.sequence(F.lit(0), F.col(f"_{other}s") - 1)).alias(other)
-        )
-        return out.select("bucket", "chunk", "block", F.lit(role).alias("role"), "class", "vector")
-
-    together = sent(held, "chunk", "block", 0).union(sent(probes, "block", "chunk", 1))
-    dealt = together.repartition(partitions_for(spark), "bucket", "chunk", "block").sortWithinPartitions(
-        "bucket", "chunk", "block", "role"
-    )
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each (bucket, chunk, block) in turn: first its candidates, then its queries."""
@@ -217,15 +217,66 @@ def nearest_neighbours(
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["asked", "class", "score"])
 
-    pairs = dealt.mapInArrow(rerank, "asked bigint, class bigint, score double")
-    # The same pair may come from several tables. Products in blocks may differ in the last bit, so the
-    # score is computed again below, from the original vectors.
-    unique = pairs.groupBy("asked", "class").agg(F.max("score").alias("score"))
-    by_score = Window.partitionBy("asked").orderBy(F.desc("score"), "class")
-    nearest = materialise(
-        unique.withColumn("_rank", F.row_number().over(by_score)).filter(F.col("_rank") <= k + 1).select("asked", "class"),
-        "ann-nearest",
+    def nearest_in(held: DataFrame, probes: DataFrame, name: str) -> DataFrame:
+        """``(asked, class)``: for each probing class the best of what lies in its buckets."""
+        # A count per bucket; there are as many buckets as tables and axes.
+        sizes = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("_rows"))
+        chunks = F.greatest(F.lit(1), F.ceil(F.col("_rows") / CHUNK_ROWS)).cast("int")
+        asks = probes.groupBy("bucket").agg(F.count(F.lit(1)).alias("_asks"))
+        blocks = F.greatest(F.lit(1), F.ceil(F.col("_asks") / QUERY_ROWS)).cast("int")
+        counted = sizes.join(asks, "bucket").select("bucket", chunks.alias("_chunks"), blocks.alias("_blocks"))
+        plan = materialise(counted, f"{name}-plan")
+
+        def sent(side: DataFrame, own: str, other: str, role: int) -> DataFrame:
+            part = F.pmod(F.xxhash64("class"), F.col(f"_{own}s")).cast("int")
+            out = side.join(F.broadcast(plan), "bucket").select(
+                "bucket", "class", "vector", part.alias(own), F.explode(F.sequence(F.lit(0), F.col(f"_{other}s") - 1)).alias(other)
+            )
+            return out.select("bucket", "chunk", "block", F.lit(role).alias("role"), "class", "vector")
+
+        together = sent(held, "chunk", "block", 0).union(sent(probes, "block", "chunk", 1))
+        dealt = together.repartition(partitions_for(spark), "bucket", "chunk", "block").sortWithinPartitions(
+            "bucket", "chunk", "block", "role"
+        )
+        pairs = dealt.mapInArrow(rerank, "asked bigint, class bigint, score double")
+        # The same pair may come from several tables. Products in blocks may differ in the last bit, so the
+        # score is computed again below, from the original vectors.
+        unique = pairs.groupBy("asked", "class").agg(F.max("score").alias("score"))
+        by_score = Window.partitionBy("asked").orderBy(F.desc("score"), "class")
+        ranks = unique.withColumn("_rank", F.row_number().over(by_score)).filter(F.col("_rank") <= k + 1)
+        return materialise(ranks.select("asked", "class"), name)
+
+    def everything(side: DataFrame) -> DataFrame:
+        """All classes of a vector length as one bucket."""
+        return side.select((-F.size("vector")).cast("bigint").alias("bucket"), "class", "vector")
+
+    def of_lengths(side: DataFrame, lengths: DataFrame, how: str = "left_semi") -> DataFrame:
+        return side.join(F.broadcast(lengths), F.size(side["vector"]) == lengths["size"], how).select("class", "vector")
+
+    # One row per vector length.
+    counts = classes.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("_rows"))
+    large = materialise(counts.filter(F.col("_rows") > max(CHUNK_ROWS, k)).select("size"), "ann-lengths")
+    by_hash = Window.partitionBy(F.size("vector")).orderBy(F.xxhash64("class"), "class")
+    sample = of_lengths(searched, large).withColumn("_rank", F.row_number().over(by_hash))
+    sample = materialise(sample.filter(F.col("_rank") <= SAMPLE_QUERIES).select("class", "vector"), "ann-sample")
+    truth = nearest_in(everything(of_lengths(classes, large)), everything(sample), "ann-truth").filter("asked != class")
+    both = truth.join(sample.select(F.col("class").alias("asked"), "vector"), "asked").join(
+        classes.select("class", F.col("vector").alias("other")), "class"
     )
+    hits = both.select("vector", "other").mapInArrow(caught, "size int, hit double").groupBy("size").agg(F.avg("hit").alias("_recall"))
+    served = materialise(hits.filter(F.col("_recall") >= LEAST_RECALL).select("size"), "ann-hashed")
+
+    def buckets(side: DataFrame, hashing) -> DataFrame:
+        return of_lengths(side, served).mapInArrow(hashing, schema).union(everything(of_lengths(side, served, "left_anti")))
+
+    first = nearest_in(buckets(classes, hashed), buckets(searched, probing), "ann-first")
+    # Lengths that are hashed have more than k classes; whoever found fewer looks at all of them.
+    full = first.groupBy("asked").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > k)
+    lacking = of_lengths(searched, served).join(full, F.col("class") == F.col("asked"), "left_anti")
+    lacking = materialise(lacking, "ann-lacking")
+    rest = of_lengths(classes, lacking.select(F.size("vector").alias("size")).distinct())
+    second = nearest_in(everything(rest), everything(lacking), "ann-second")
+    nearest = first.union(second).distinct()
     product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
     exact = (
         nearest.join(classes.select(F.col("class").alias("asked"), F.col("vector").alias("a")), "asked")

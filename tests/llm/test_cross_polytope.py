@@ -67,6 +67,36 @@ def test_inner_products_of_unequal_lengths(spark):
     assert sum(hits) / (20 * len(hits)) >= 0.9
 
 
+def share_found(spark, vectors):
+    """Recall by the default parameters, each query against the 20 best or all other rows."""
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = found(nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0))
+    shares = []
+    for query in range(0, len(vectors), 20):
+        scores = vectors @ vectors[query]
+        scores[query] = -np.inf
+        best = set(np.argsort(-scores, kind="stable")[: min(20, len(vectors) - 1)].tolist())
+        shares.append(len(best & {i for i, _ in got.get(query, [])}) / len(best))
+    return float(np.mean(shares))
+
+
+@pytest.mark.parametrize("width, norms", [(64, "one long"), (64, "lognormal"), (768, "unit")])
+def test_recall_does_not_hang_on_norms_and_components(spark, width, norms):
+    draw = np.random.default_rng(4)
+    vectors = draw.normal(size=(4600, width))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if norms == "one long":
+        vectors[7] *= 10
+    elif norms == "lognormal":
+        vectors *= draw.lognormal(size=(len(vectors), 1))
+    assert share_found(spark, vectors) >= 0.9
+
+
+@pytest.mark.parametrize("count", [10, 15, 21])
+def test_few_vectors_are_all_candidates(spark, count):
+    assert share_found(spark, np.random.default_rng(count).normal(size=(count, 64))) == 1.0
+
+
 @pytest.mark.parametrize("rows", [[], [(20, [1.0, 2.0])]])
 def test_no_candidates(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
