@@ -175,57 +175,66 @@ def has_partner(token: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray
     return kept | np.repeat(lengths > SMALL_GROUP, lengths)
 
 
-def _groups(prefixes: DataFrame) -> DataFrame:
+GROUP_COLUMNS = ["token", "n", "key", "pos", "c_n", "c_key", "c_pos"]
+
+
+def group_runs(batches: Iterator[pa.RecordBatch], run_rows: int = RUN_ROWS) -> Iterator[pa.RecordBatch]:
     """Rows of tokens that two or more classes share, each with the centre of its group.
 
-    The rows come sorted by token and size, so a group is a run; a run is cut at ``RUN_ROWS`` rows, and
-    the next part takes the last centre along as a member.
+    The rows come sorted by token and size, so a group is a run; a run is cut at ``run_rows`` rows, and
+    the next part takes a member along. Partners of a row may lie in another part of a cut group, so all its
+    rows stay.
     """
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finished(part: list[np.ndarray]) -> pa.RecordBatch | None:
-            token, n, key, pos = part
-            new = np.ones(len(token), bool)  # drop the same class from other tasks
-            new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1]) | (n[1:] != n[:-1])
-            token, n, key, pos = (c[new] for c in part)
-            kept = has_partner(token, n, pos)
-            token, n, key, pos = (c[kept] for c in (token, n, key, pos))
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else token
-            lengths = np.diff(np.append(starts, len(token)))
-            many = np.repeat(lengths > 1, lengths)
-            centre = np.repeat(starts + lengths // 2, lengths)[many]
-            if not len(centre):
-                return None
-            columns = [token[many], n[many], key[many], pos[many], n[centre], key[centre], pos[centre]]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            fresh = [batch.column(i).to_numpy() for i in range(4)]
-            held = fresh if held is None else [np.concatenate(x) for x in zip(held, fresh, strict=True)]
-            if not len(held[0]):
-                continue
-            differs = held[0] != held[0][-1]
-            cut = len(differs) - int(np.argmax(differs[::-1])) if differs[0] else 0  # where the last group starts
-            if cut == 0 and len(held[0]) >= RUN_ROWS:  # one group fills the buffer
-                out, middle = finished(held), len(held[0]) // 2
-                held = [c[middle : middle + 1] for c in held]
-            elif cut:
-                out, held = finished([c[:cut] for c in held]), [c[cut:] for c in held]
-            else:
-                out = None
-            if out is not None:
-                yield out
-        if held is not None and len(held[0]):
+    def finished(part: list[np.ndarray]) -> pa.RecordBatch | None:
+        token, n, key, pos = part
+        new = np.ones(len(token), bool)  # drop the same class from other tasks
+        new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1]) | (n[1:] != n[:-1])
+        token, n, key, pos = (c[new] for c in part)
+        kept = has_partner(token, n, pos)
+        if continued is not None:
+            kept |= token == continued
+        token, n, key, pos = (c[kept] for c in (token, n, key, pos))
+        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else token
+        lengths = np.diff(np.append(starts, len(token)))
+        many = np.repeat(lengths > 1, lengths)
+        centre = np.repeat(starts + lengths // 2, lengths)[many]
+        if not len(centre):
+            return None
+        columns = [token[many], n[many], key[many], pos[many], n[centre], key[centre], pos[centre]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=GROUP_COLUMNS)
+
+    held: list[np.ndarray] | None = None
+    continued: int | None = None  # the token of the group that was cut last
+    for batch in batches:
+        fresh = [batch.column(i).to_numpy() for i in range(4)]
+        held = fresh if held is None else [np.concatenate(x) for x in zip(held, fresh, strict=True)]
+        if not len(held[0]):
+            continue
+        differs = held[0] != held[0][-1]
+        cut = len(differs) - int(np.argmax(differs[::-1])) if differs[0] else 0  # where the last group starts
+        if cut == 0 and len(held[0]) >= run_rows:  # one group fills the buffer
+            continued, middle = held[0][0], len(held[0]) // 2
             out = finished(held)
-            if out is not None:
-                yield out
+            held = [c[middle : middle + 1] for c in held]
+        elif cut:
+            out, held = finished([c[:cut] for c in held]), [c[cut:] for c in held]
+        else:
+            out = None
+        if out is not None:
+            yield out
+    if held is not None and len(held[0]):
+        out = finished(held)
+        if out is not None:
+            yield out
+
 
-    names = ["token", "n", "key", "pos", "c_n", "c_key", "c_pos"]
+def _groups(prefixes: DataFrame) -> DataFrame:
+    """``group_runs`` over the rows of each token."""
     spark = prefixes.sparkSession
     sorted_rows = prefixes.repartition(partitions_for(spark), "token").sortWithinPartitions("token", "n", "key")
     return sorted_rows.mapInArrow(
-        runs, "token bigint, n int, key bigint, pos int, c_n int, c_key bigint, c_pos int"
+        group_runs, "token bigint, n int, key bigint, pos int, c_n int, c_key bigint, c_pos int"
     )
 
 

@@ -1,10 +1,11 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from lexspark.llm.components import connected_components
-from lexspark.llm.jaccard_join import jaccard_components, keep_one_of_each
+from lexspark.llm.jaccard_join import group_runs, jaccard_components, keep_one_of_each
 from lexspark.llm.shingles import shingle_sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,6 +87,17 @@ def test_sets_are_those_of_the_words():
     assert list(found[0]) == list(found[1]) and set(found[0]).isdisjoint(found[7])
 
 
+def test_rows_of_a_cut_group_keep_partners_before_the_cut():
+    sizes = [10, 20, 40, 80, 99, 100]  # 100 has its only partner, 99, in the part before
+    columns = [pa.array([7] * 6), pa.array(sizes, pa.int32()), pa.array(range(6), pa.int64()), pa.array([0] * 6, pa.int32())]
+    rows = pa.RecordBatch.from_arrays(columns, names=["token", "n", "key", "pos"])
+    other = pa.RecordBatch.from_arrays([pa.array([8, 8]), *[c.slice(0, 2) for c in columns[1:]]], names=rows.schema.names)
+    found = pa.Table.from_batches(group_runs(iter([rows.slice(0, 5), rows.slice(5), other]), run_rows=5)).to_pydict()
+    assert set(zip(found["token"], found["n"], strict=True)) == {(7, n) for n in sizes}
+    whole = pa.Table.from_batches(group_runs(iter([rows, other]), run_rows=50)).to_pydict()
+    assert set(zip(whole["token"], whole["n"], strict=True)) == {(7, n) for n in sizes[3:]}
+
+
 def test_long_chains_become_one_component(spark):
     edges = spark.range(1, 60).selectExpr("id AS a", "id - 1 AS b").union(spark.range(1).selectExpr("100L", "99L"))
     found = {r["node"]: r["component"] for r in connected_components(edges.toDF("a", "b")).collect()}
