@@ -2,9 +2,11 @@
 
 A page becomes a light tree (unclosed and crossed tags are repaired as browsers do). Subtrees that are
 never article text go: menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments. Each paragraph then passes points for its length and its commas to its ancestors, the
+and reader comments. A class or id that names such a part deletes an element only if the article is not in it: where
+the only ``article`` or ``main`` or most of the paragraphs lie inside, it stays. Each paragraph then passes points for its length and its commas to its ancestors, the
 nearest most; a container's points are discounted by the share of its text that lies in links.
-The best container and those siblings that look like parts of the same article are kept, whole.
+The best container and those siblings that look like parts of the same article are kept, whole; without an
+``article`` or ``main`` those are all siblings with prose that is not in links.
 
 Defined results: null and empty pages, and pages without text, give an empty text; repeated rows are
 treated row by row; a page of any length is read in one pass. Other columns are not looked at.
@@ -47,6 +49,11 @@ UNLIKELY = frozenset(
     "cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination "
     "popup promo related replies reply share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+EXEMPT = frozenset("html body article main".split())
+#: The share of a page's paragraph points that keeps an element in spite of its names: one of them is the word, or has it.
+NAMED_SHARE, COMPOUND_SHARE = 0.9, 0.5
+#: Characters in paragraphs, or else of plain text, from which a sibling without many links counts as prose.
+PARAGRAPH_CHARS, PLAIN_CHARS = 25, 80
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu".split())
 
 TOKEN = re.compile(
@@ -145,12 +152,10 @@ def is_furniture(node: Node) -> bool:
         return True
     if node.tag == "header" and not any(a.tag in ("article", "main") for a in node.ancestors()):
         return True
-    if not node.attributes or node.tag in ("html", "body", "article", "main"):
+    if not node.attributes or node.tag in EXEMPT:
         return False
     for name, *values in NAMES.findall(node.attributes):
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id") and not UNLIKELY.isdisjoint(WORDS.split(value)):
-            return True
         if name == "role" and value in ROLES or name == "hidden" and value != "until-found":
             return True
         if name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
@@ -158,12 +163,81 @@ def is_furniture(node: Node) -> bool:
     return False
 
 
-def prune(node: Node) -> None:
-    waiting = [node]
+def unlikely(node: Node) -> float | None:
+    """The share of points that keeps a node whose class or id names page furniture; None for other nodes."""
+    if not node.attributes or node.tag in EXEMPT:
+        return None
+    share = None
+    for name, *values in NAMES.findall(node.attributes):
+        value = "".join(values).lower()
+        if name.lower() not in ("class", "id") or UNLIKELY.isdisjoint(WORDS.split(value)):
+            continue
+        if not UNLIKELY.isdisjoint(value.split()):
+            return NAMED_SHARE
+        share = COMPOUND_SHARE
+    return share
+
+
+def prune(root: Node) -> None:
+    """Deletes page furniture: by element, role and visibility, then by names.
+
+    Of the elements with such names those go first that lie outside all articles or within one, then plain names, then compound ones.
+    """
+    waiting, named = [root], False
     while waiting:
         at = waiting.pop()
         at.children = [c for c in at.children if isinstance(c, str) or not is_furniture(c)]
-        waiting.extend(c for c in at.children if not isinstance(c, str))
+        inner = [c for c in at.children if not isinstance(c, str)]
+        named = named or any(unlikely(c) is not None for c in inner)
+        waiting.extend(inner)
+    for share in (None, NAMED_SHARE, COMPOUND_SHARE) if named else ():
+        held = holdings(root)
+        waiting = [root]
+        while waiting:
+            at = waiting.pop()
+            at.children = [
+                c for c in at.children if isinstance(c, str) or holds_article(unlikely(c), share, held[id(c)], held[id(root)])
+            ]
+            waiting.extend(c for c in at.children if not isinstance(c, str))
+
+
+def names_furniture(article: Node) -> bool:
+    """Whether the names of an ``article`` begin with such a word, as those of single comments do."""
+    values = ["".join(v).lower() for name, *v in NAMES.findall(article.attributes) if name.lower() in ("class", "id")]
+    return any(WORDS.split(x)[0] in UNLIKELY for value in values for x in value.split())
+
+
+def holdings(root: Node) -> dict[int, list[float]]:
+    """Per node the paragraph points, the ``article`` and ``main`` elements and the first headings in it."""
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        waiting.extend(c for c in node.children if not isinstance(c, str))
+    held = {}
+    for node in reversed(order):
+        article = node.tag in ("article", "main") and not names_furniture(node)
+        sums = [own_points(node)[0], float(article), float(node.tag == "h1")]
+        for child in node.children:
+            if not isinstance(child, str):
+                sums = [x + y for x, y in zip(sums, held[id(child)], strict=True)]
+        held[id(node)] = sums
+    return held
+
+
+def holds_article(needed: float | None, judged: float | None, inside: list[float], page: list[float]) -> bool:
+    """False for elements with furniture's names that do not wrap the article, as far as they are judged now."""
+    points, articles, titles = inside
+    if needed is None or judged not in (None, needed):
+        return True
+    if judged is None:
+        most = needed == COMPOUND_SHARE and points >= needed * page[0]
+        return articles > 0 or not page[1] or most  # else the article is elsewhere
+    if page[1] > articles and judged == NAMED_SHARE:
+        return False
+    if articles or titles and titles == page[2]:
+        needed = COMPOUND_SHARE
+    return points > 0 and points >= needed * page[0]
 
 
 def texts(node: Node) -> Iterator[tuple[str | None, bool]]:
@@ -199,15 +273,9 @@ def score(root: Node) -> list[Node]:
         node = waiting.pop()
         inner = [c for c in node.children if not isinstance(c, str)]
         waiting.extend(inner)
-        direct = node.tag in ("div", "section", "article", "main", "body", "#root") and any(
-            isinstance(c, str) and c.strip() for c in node.children
-        )
-        if node.tag not in PARAGRAPHS and not direct:
+        points, direct = own_points(node)
+        if not points:
             continue
-        total, _, commas = lengths(node) if not direct else _direct_lengths(node)
-        if not total:
-            continue
-        points = min(1.0, total / 25) + commas + min(total / 100, 3.0)
         receivers = [node, *node.ancestors()] if direct else list(node.ancestors())
         for level, ancestor in enumerate(receivers[:4]):
             if ancestor.score is None:
@@ -217,6 +285,17 @@ def score(root: Node) -> list[Node]:
     return scored
 
 
+def own_points(node: Node) -> tuple[float, bool]:
+    """The points of a paragraph, or of plain text that lies directly in a container; and whether it is the latter."""
+    direct = node.tag in ("div", "section", "article", "main", "body", "#root") and any(
+        isinstance(c, str) and c.strip() for c in node.children
+    )
+    if node.tag not in PARAGRAPHS and not direct:
+        return 0.0, False
+    total, _, commas = lengths(node) if not direct else _direct_lengths(node)
+    return (min(1.0, total / 25) + commas + min(total / 100, 3.0) if total else 0.0), direct
+
+
 def _direct_lengths(node: Node) -> tuple[int, int, int]:
     own = [c for c in node.children if isinstance(c, str)]
     return sum(len(c.strip()) for c in own), 0, sum(c.count(",") for c in own)
@@ -227,6 +306,22 @@ def link_share(node: Node) -> float:
     return links / total if total else 0.0
 
 
+def is_prose(node: Node) -> bool:
+    """Whether a part has text in paragraphs, list items or cells, or long plain text, and few links."""
+    if link_share(node) >= 0.25:
+        return False
+    paragraphs = plain = 0
+    waiting = [node]
+    while waiting:
+        at = waiting.pop()
+        if at.tag in PARAGRAPHS:
+            paragraphs += lengths(at)[0]
+            continue
+        plain += _direct_lengths(at)[0]
+        waiting.extend(c for c in at.children if not isinstance(c, str))
+    return paragraphs >= PARAGRAPH_CHARS or plain >= PLAIN_CHARS
+
+
 def best_parts(root: Node) -> list[Node]:
     """The best container with the siblings that belong to it, in page order."""
     scored = score(root)
@@ -250,6 +345,8 @@ def best_parts(root: Node) -> list[Node]:
             total, links, _ = lengths(sibling)
             if total and links / total < 0.25:
                 kept.append(sibling)
+        elif best.tag not in ("article", "main") and sibling.tag in BLOCKS and is_prose(sibling):
+            kept.append(sibling)
     return kept
 
 

@@ -45,6 +45,32 @@ def test_cases(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='content has-sidebar'", "div class='post comments-open'", "div id=site-with-banner", "section class=social"],
+)
+@pytest.mark.parametrize("inner", ["<article><h1>Title</h1><p>{0}</p><p>{0}</p></article>", "<h1>Title</h1><p>{0}</p><p>{0}</p>"])
+def test_wrappers_with_names_of_furniture_keep_the_article(wrapper, inner):
+    page = f"<body><div class='main-nav'>menu</div><{wrapper}>{inner.format(PROSE)}</{wrapper.split()[0]}></body>"
+    assert main_text(page) == f"Title\n{PROSE}\n{PROSE}"
+    comments = f"<div id=comments><article class=comment-body><p>{PROSE * 9}</p></article></div>"
+    if "<article>" in inner:
+        assert main_text(page.replace("</body>", comments)) == f"Title\n{PROSE}\n{PROSE}"
+
+
+def test_clean_siblings_stay_without_an_article():
+    short = "<p>A plain section of about sixty characters without a comma.</p>"
+    page = (
+        f"<div><div><h2>One</h2><p>{PROSE}</p><p>{PROSE * 3}</p></div><section>{short}</section>"
+        f"<ul><li>first of the points</li><li>second of the points</li></ul>"
+        f"<table><tr><td>a cell with its own words</td></tr></table><ul><li><a href=x>a link to some other page</a></ul></div>"
+    )
+    text = main_text(page)
+    for part in ("One", PROSE, PROSE * 3, short[3:-4], "first of the points", "second of the points", "a cell with its own words"):
+        assert part in text
+    assert "link" not in text
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 3000 + PROSE + "</div>" * 3000
     assert main_text(deep) == PROSE
