@@ -46,7 +46,7 @@ SYMBOLS = "[#*$%&|<>]"
 NAVIGATION = f"(?:^|{SPACE})[|»›·•>/](?:{SPACE}|\\z)"
 SHOUTS = "[!?]{2,}"
 # Texts without any of these cannot break the rules on symbols, shouting and navigation.
-SUSPECT = ("#", "*", "$", "%", "&", "|", "<", ">", "»", "›", "·", "•", "!!", "!?", "?!", "??", " / ", "\t/", "/\t")
+SUSPECT = ("#", "*", "$", "%", "&", "|", "<", ">", "»", "›", "·", "•", "!!", "!?", "?!", "??", "/")
 
 
 def contains_any(text: Column, parts: tuple[str, ...]) -> Column:

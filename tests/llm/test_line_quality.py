@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from lexspark.llm.line_quality import clean_documents, line_quality
+from lexspark.llm.line_quality import NAVIGATION, SUSPECT, clean_documents, line_quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -59,3 +59,10 @@ def test_odd_and_no_documents(odd_docs, no_docs):
     assert all(r["base_failed"] for r in rows if r["doc_id"] in (2, 3, 4, 5))
     assert clean_documents(odd_docs).columns == odd_docs.columns
     assert line_quality(no_docs).count() == 0
+
+
+def test_every_navigation_mark_is_suspect():
+    pattern, edges = re.compile(NAVIGATION.replace("\\z", "\\Z")), ["", *" \t\n\x0b\f\r"]
+    texts = [f"{a}{mark}{b}" for mark in "|»›·•>/" for a in edges for b in edges]
+    assert all(pattern.search(t) for t in texts)
+    assert [t for t in texts if not any(part in t for part in SUSPECT)] == []
