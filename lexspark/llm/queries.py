@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.common import ship_package, table
 from lexspark.llm.cross_polytope import nearest_neighbours
+from lexspark.llm.decontamination import contamination
 from lexspark.llm.jaccard_join import jaccard_components
 from lexspark.llm.language_id import fit_dictionaries, predict_language
 from lexspark.llm.line_quality import line_quality
@@ -70,6 +71,18 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", header_lines(F.col("headers")))
 
 
+def op11_prefix_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_cross_polytope": op1_cross_polytope,
     "op2_language_id": op2_language_id,
@@ -81,4 +94,5 @@ QUERIES = {
     "op8_resharding": op8_resharding,
     "op9_line_quality": op9_line_quality,
     "op10_revisits": op10_revisits,
+    "op11_prefix_containment": op11_prefix_containment,
 }

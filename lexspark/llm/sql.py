@@ -134,7 +134,35 @@ WITH RECURSIVE w AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM least LEFT JOIN sizes USING (doc_id)
 """
 
+CONTAMINATION = rf"""
+WITH words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+    FROM documents
+), items AS (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+    FROM benchmark WHERE item_id IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item_id, least(len(ws), 10) AS w, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS k
+    FROM items, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS u(i) WHERE len(ws) > 0
+), places AS (
+    SELECT doc_id, i, w, array_to_string(ws[i:i + w - 1], ' ') AS k
+    FROM words, (SELECT DISTINCT w FROM windows), unnest(range(1, len(ws) - w + 2)) AS u(i) WHERE len(ws) >= w
+), found AS (
+    SELECT doc_id, i, w, item_id FROM places JOIN windows USING (w, k)
+), hit AS (
+    SELECT doc_id, count(DISTINCT i + j) AS n FROM found, unnest(range(w)) AS r(j) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM found GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+    sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 ORACLES = {
+    "op11_prefix_containment": CONTAMINATION,
     "op3_jaccard_join": JACCARD,
     "op10_revisits": REVISITS,
     "op9_line_quality": LINE_QUALITY,
