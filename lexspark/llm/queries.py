@@ -18,6 +18,8 @@ from lexspark.llm.packing import pack_documents
 from lexspark.llm.resharding import reshard
 from lexspark.llm.revisits import archive_of, header_lines, resolve_revisits
 from lexspark.llm.token_files import round_trip
+from lexspark.llm.whitening import whiten_embeddings
+from lexspark.llm.zone_map_kmeans import zone_map_kmeans
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -83,6 +85,16 @@ def op11_prefix_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_zone_map_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return zone_map_kmeans(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_cross_polytope": op1_cross_polytope,
     "op2_language_id": op2_language_id,
@@ -95,4 +107,6 @@ QUERIES = {
     "op9_line_quality": op9_line_quality,
     "op10_revisits": op10_revisits,
     "op11_prefix_containment": op11_prefix_containment,
+    "op12_zone_map_kmeans": op12_zone_map_kmeans,
+    "op13_bidiagonal_whitening": op13_bidiagonal_whitening,
 }

@@ -161,7 +161,45 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(ids), 0
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+
+def _kmeans(clusters: int = 8, rounds: int = 10) -> str:
+    """The rounds written out one after the other; ``s`` is distance * clusters + number of the nearest."""
+    apart = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+    SELECT r, CAST(min({apart} * {clusters} + c.c) AS BIGINT) AS s FROM v, c{i} AS c GROUP BY r
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+    WITH sums AS (
+        SELECT s % {clusters} AS c, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m
+        FROM a{i} JOIN v USING (r), unnest(range(1, 65)) AS u(i) GROUP BY ALL
+    ), means AS (SELECT c, list(m ORDER BY i) AS x FROM sums GROUP BY c)
+    SELECT old.c, coalesce(means.x, old.x) AS x FROM c{i} AS old LEFT JOIN means USING (c)
+)""")
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x
+    FROM (SELECT sha256('3:' || vec_id) AS h, x FROM v ORDER BY h, x LIMIT {clusters})
+), {", ".join(steps)}, done AS (
+    SELECT vec_id, s % {clusters} AS c, s // {clusters} AS distance FROM a{rounds} JOIN v USING (r)
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance,
+    CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM done JOIN c{rounds} USING (c)
+"""
+
+
 ORACLES = {
+    "op12_zone_map_kmeans": _kmeans(),
     "op11_prefix_containment": CONTAMINATION,
     "op3_jaccard_join": JACCARD,
     "op10_revisits": REVISITS,
