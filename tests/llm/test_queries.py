@@ -12,7 +12,7 @@ from lexspark.session import materialise
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     answer = duck.execute(ORACLES[name])
     names = [d[0] for d in answer.description]
@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_there_is_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages_keep_columns_and_clean_documents(spark, sf_dir):
