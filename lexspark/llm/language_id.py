@@ -1,24 +1,32 @@
 """Language identification by compression.
 
 Every language gets a raw-content dictionary of text in that language. A text is compressed with each of
-them, in independent chunks so that the dictionary counts through the whole text, and the language with
-the smallest sum of sizes wins. A text whose two best languages lie too close together is rejected.
+them, in independent chunks of ``CHUNK_BYTES`` so that the dictionary counts through the whole text, and the
+language with the smallest sum of sizes wins. Chunks are so short that a match in the dictionary is all that
+saves bytes; a text shorter than that is repeated to fill one.
+
+A text is rejected when its two best languages lie too close together, or when even the best dictionary saves
+too little (a language that was not learned, or noise). Both limits depend on the length of the text and come
+from the sample itself: half of it is judged by dictionaries of the other half.
 
 Fitting reads a bounded sample: ``SAMPLE_ROWS`` labelled rows per language, of which at most
-``PIECES_PER_ROW`` pieces of ``PIECE_CHARS`` characters go into a dictionary of ``DICTIONARY_BYTES``.
-Prediction reads every text in full and needs no shuffle.
+``PIECES_PER_ROW`` pieces of ``PIECE_CHARS`` characters go into a dictionary of ``DICTIONARY_BYTES``, and
+``JUDGED_PIECES`` per language into the limits. Prediction reads every text in full and needs no shuffle.
 
 Defined results: null texts, and texts without a letter, are ``und`` with score 0 and are rejected; equal
-sizes go to the language that sorts first; a table without labelled rows makes every text ``und``;
-repeated rows get equal answers. Columns other than the named ones pass through ``keep_identified`` as
-they are and are dropped by ``predict_language``.
+sizes go to the language that sorts first and are rejected; a table without labelled rows makes every text
+``und``; with one language the score is 1; repeated rows get equal answers. Columns other than the named
+ones pass through ``keep_identified`` as they are and are dropped by ``predict_language``.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -31,9 +39,17 @@ PIECES_PER_ROW = 2
 PIECE_CHARS = 256
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 5
-CHUNK_BYTES = 2048
-#: Texts are rejected when the best size is not smaller than the next by this share.
-MIN_MARGIN = 0.001
+CHUNK_BYTES = 64
+#: Pieces per language that are judged by the dictionaries of the other half, and how many a limit needs at least.
+JUDGED_PIECES = 128
+LEAST_JUDGED = 50
+#: Lengths in characters from which a limit of its own counts.
+LENGTHS = (0, 32, 64, 128, 256)
+#: A limit leaves this share of the judged pieces out, and some room beyond it.
+LEFT_OUT = 0.01
+MARGIN_ROOM, RATIO_ROOM = 0.5, 1.05
+#: Margins below this are ties.
+TIE = 1e-9
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -42,15 +58,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def fit_dictionaries(
+@dataclass
+class LanguageModel:
+    """``dictionaries`` by language, and ``limits`` as (characters, least margin, greatest ratio)."""
+
+    dictionaries: dict[str, bytes]
+    limits: list[tuple[int, float, float]]
+
+
+def fit_languages(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     sample_rows: int = SAMPLE_ROWS,
     dictionary_bytes: int = DICTIONARY_BYTES,
-) -> dict[str, bytes]:
-    """A dictionary per language from the rows that are not held out.
+) -> LanguageModel:
+    """A dictionary per language and the limits, from the rows that are not held out.
 
     The sample is drawn by a hash of the id, so it does not depend on the order of rows. Ranking moves
     ids only; the texts of the chosen rows are fetched by a join with at most ``sample_rows`` ids per
@@ -86,21 +110,50 @@ def fit_dictionaries(
     texts = labelled.join(F.broadcast(chosen), ["_id", "_lang"]).mapInArrow(
         pieces, "lang string, id string, piece string"
     )
-    parts: dict[str, list[tuple[str, str]]] = {}
+    parts: dict[str, list[tuple[int, str]]] = {}
     for row in texts.collect():  # bounded by languages * sample_rows * PIECES_PER_ROW * PIECE_CHARS
-        parts.setdefault(row["lang"], []).append((row["id"], row["piece"]))
+        parts.setdefault(row["lang"], []).append((zlib.crc32(row["id"].encode()), row["piece"]))
+    for found in parts.values():
+        found.sort()  # by hash, so that what the dictionary has no room for is left out evenly
+    return LanguageModel(_dictionaries(parts, dictionary_bytes), _limits(parts, dictionary_bytes))
+
+
+def _dictionaries(parts: dict[str, list[tuple[int, str]]], dictionary_bytes: int) -> dict[str, bytes]:
     return {
-        lang: "\n".join(piece for _, piece in sorted(found)).encode("utf-8", "replace")[:dictionary_bytes]
+        lang: "\n".join(piece for _, piece in found).encode("utf-8", "replace")[:dictionary_bytes]
         for lang, found in sorted(parts.items())
     }
 
 
+def _limits(parts: dict[str, list[tuple[int, str]]], dictionary_bytes: int) -> list[tuple[int, float, float]]:
+    """Limits from the pieces with an odd hash, judged by dictionaries of the others."""
+    half = {lang: [x for x in found if x[0] % 2 == 0] for lang, found in parts.items()}
+    sizes = Sizes(LanguageModel(_dictionaries({k: v for k, v in half.items() if v}, dictionary_bytes), []))
+    limits = []
+    for start, end in zip(LENGTHS, [*LENGTHS[1:], PIECE_CHARS], strict=True):
+        cut = end if start == LENGTHS[-1] else (start + end) // 2
+        margins, ratios = [], []
+        for lang, found in parts.items():
+            for _, piece in [x for x in found if x[0] % 2 and len(x[1]) >= cut][:JUDGED_PIECES]:
+                if LETTER.search(piece[:cut]):
+                    best, margin, ratio = sizes.measure(piece[:cut])
+                    margins += [margin] if best == lang else []
+                    ratios.append(ratio)
+        if len(margins) < LEAST_JUDGED:
+            limits.append((start, TIE, float("inf")))
+            continue
+        margin = max(TIE, MARGIN_ROOM * float(np.quantile(margins, LEFT_OUT)))
+        limits.append((start, margin, RATIO_ROOM * float(np.quantile(ratios, 1 - LEFT_OUT))))
+    return limits
+
+
 class Sizes:
-    """Compressed sizes of texts with each dictionary."""
+    """Compressed sizes of texts with each dictionary of a model."""
 
-    def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL) -> None:
+    def __init__(self, model: LanguageModel, level: int = LEVEL) -> None:
+        self.limits = model.limits
         self.compressors = []
-        for lang, content in sorted(dictionaries.items()):
+        for lang, content in sorted(model.dictionaries.items()):
             prepared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             prepared.precompute_compress(level=level)
             compressor = zstandard.ZstdCompressor(
@@ -112,54 +165,54 @@ class Sizes:
             )
             self.compressors.append((lang, compressor))
 
-    def classify(self, text: str | None) -> tuple[str, float]:
-        """The language and the share by which its size is below the next one."""
-        if not text or not self.compressors or not LETTER.search(text):
-            return UNKNOWN, 0.0
+    def measure(self, text: str) -> tuple[str, float, float]:
+        """The language, the share by which its size is below the next one, and its size per byte of text."""
         data = f"\n{text.lower()}\n".encode("utf-8", "replace")  # framed, as the pieces of the dictionaries are
+        if len(data) < CHUNK_BYTES:
+            data *= -(-CHUNK_BYTES // len(data))
         chunks = [data[i : i + CHUNK_BYTES] for i in range(0, len(data), CHUNK_BYTES)]
         sizes = sorted((sum(len(c.compress(x)) for x in chunks), lang) for lang, c in self.compressors)
-        if len(sizes) == 1:
-            return sizes[0][1], 1.0
-        return sizes[0][1], 1.0 - sizes[0][0] / sizes[1][0]
+        margin = 1.0 if len(sizes) == 1 else 1.0 - sizes[0][0] / sizes[1][0]
+        return sizes[0][1], margin, sizes[0][0] / len(data)
+
+    def classify(self, text: str | None) -> tuple[str, float, bool]:
+        """The language, the margin, and whether both limits for the text's length are kept."""
+        if not text or not self.compressors or not LETTER.search(text):
+            return UNKNOWN, 0.0, False
+        lang, margin, ratio = self.measure(text)
+        least, most = next(((m, r) for start, m, r in reversed(self.limits) if len(text) >= start), (TIE, float("inf")))
+        return lang, margin, margin >= least and ratio <= most
 
 
 def predict_language(
-    docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(id, held_out, lang_pred, score, accepted)`` for every row; the score is the margin."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(dictionaries)
+        sizes = Sizes(model)
         for batch in batches:
             found = [sizes.classify(x.as_py()) for x in batch.column(1)]
-            langs = pa.array([lang for lang, _ in found], pa.string())
-            scores = pa.array([score for _, score in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), langs, scores], names=["id", "lang_pred", "score"])
+            kinds = (pa.string(), pa.float64(), pa.bool_())
+            columns = [pa.array([row[i] for row in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "lang_pred", "score", "accepted"])
 
-    found = docs.select(id_col, text_col).mapInArrow(classify, f"id {id_type}, lang_pred string, score double")
+    found = docs.select(id_col, text_col).mapInArrow(
+        classify, f"id {id_type}, lang_pred string, score double, accepted boolean"
+    )
     return found.select(
-        F.col("id").alias(id_col),
-        held_out(F.col("id")).alias("held_out"),
-        "lang_pred",
-        "score",
-        accepted(F.col("lang_pred"), F.col("score")).alias("accepted"),
+        F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "accepted"
     )
 
 
-def accepted(lang: Column, score: Column) -> Column:
-    return (lang != UNKNOWN) & (score >= MIN_MARGIN)
-
-
-def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """The rows whose language is clear, with all their columns; texts stay in their partitions."""
     place = docs.columns.index(text_col)
 
     def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(dictionaries)
+        sizes = Sizes(model)
         for batch in batches:
-            found = (sizes.classify(x.as_py()) for x in batch.column(place))
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= MIN_MARGIN for lang, score in found], pa.bool_()))
+            yield batch.filter(pa.array([sizes.classify(x.as_py())[2] for x in batch.column(place)], pa.bool_()))
 
     return docs.mapInArrow(clear, docs.schema)

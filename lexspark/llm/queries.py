@@ -10,7 +10,7 @@ from lexspark.llm.common import ship_package, table
 from lexspark.llm.cross_polytope import nearest_neighbours
 from lexspark.llm.decontamination import contamination
 from lexspark.llm.jaccard_join import jaccard_components
-from lexspark.llm.language_id import fit_dictionaries, predict_language
+from lexspark.llm.language_id import fit_languages, predict_language
 from lexspark.llm.line_quality import line_quality
 from lexspark.llm.main_text import extract_main_text
 from lexspark.llm.mixing import mixing_order
@@ -36,7 +36,7 @@ def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return predict_language(docs, fit_dictionaries(docs))
+    return predict_language(docs, fit_languages(docs))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
