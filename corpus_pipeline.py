@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexspark.llm.common import ship_package, table
 from lexspark.llm.jaccard_join import keep_one_of_each
-from lexspark.llm.language_id import fit_dictionaries, keep_identified
+from lexspark.llm.language_id import fit_languages, keep_identified
 from lexspark.llm.line_quality import clean_documents
 from lexspark.llm.mixing import mix_documents
 from lexspark.llm.packing import pack_documents
@@ -23,7 +23,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a clear language go."""
     ship_package(spark)
-    return keep_identified(docs, fit_dictionaries(docs))
+    return keep_identified(docs, fit_languages(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
