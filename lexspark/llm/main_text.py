@@ -9,14 +9,18 @@ The best container and those siblings that look like parts of the same article a
 ``article`` or ``main`` those are all siblings with prose that is not in links.
 
 Defined results: null and empty pages, and pages without text, give an empty text; repeated rows are
-treated row by row; a page of any length is read in one pass. Other columns are not looked at.
+treated row by row; work grows in proportion to a page's length, however deep its elements are
+nested and however many are left open. A character reference counts within one piece of text only. Other
+columns are not looked at.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +48,8 @@ CLOSES = {  # a new element of the left kind closes an open one of the right kin
     "th": frozenset(["td", "th"]),
     "option": frozenset(["option"]),
 }
+#: An element closes like ones only up to the nearest of these.
+SCOPES = ("ul", "ol", "dl", "table", "select")
 UNLIKELY = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination "
@@ -65,12 +71,13 @@ WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "score", "attributes")
+    __slots__ = ("tag", "parent", "children", "score", "attributes", "chars", "linked", "commas")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = "") -> None:
         self.tag, self.parent, self.attributes = tag, parent, attributes
         self.children: list[Node | str] = []
         self.score: float | None = None
+        self.chars = self.linked = self.commas = 0  # set by ``measure``
 
     def ancestors(self) -> Iterator[Node]:
         node = self.parent
@@ -78,17 +85,64 @@ class Node:
             yield node
             node = node.parent
 
+    def elements(self) -> list[Node]:
+        return [c for c in self.children if not isinstance(c, str)]
+
+
+class OpenElements:
+    """The path from the root to where text goes now, with the depths at which each tag is open.
+
+    Every step costs a constant, besides the elements it closes.
+    """
+
+    def __init__(self, root: Node) -> None:
+        self.path, self.blocks = [root], [0]
+        self.depths: dict[str, list[int]] = defaultdict(list)
+
+    def open(self, node: Node) -> None:
+        self.depths[node.tag].append(len(self.path))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.path))
+        self.path.append(node)
+
+    def close_to(self, depth: int) -> None:
+        """Closes the element at ``depth`` and all in it."""
+        while len(self.path) > depth:
+            node = self.path.pop()
+            self.depths[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+    def deepest(self, tags: Iterator[str] | tuple[str, ...] | frozenset[str]) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths[t]), default=0)
+
+    def end(self, tag: str) -> None:
+        """An end tag closes the nearest open element of its name; one of an inline element closes no block."""
+        depth = self.deepest((tag,))
+        if depth and (tag in BLOCKS or depth > self.blocks[-1]):
+            self.close_to(depth)
+
+    def end_paragraph(self) -> None:
+        if self.path[self.blocks[-1]].tag == "p":
+            self.close_to(self.blocks[-1])
+
+    def end_like(self, tags: frozenset[str]) -> None:
+        while (depth := self.deepest(tags)) > self.deepest(SCOPES):
+            self.close_to(depth)
+            if self.path[-1].tag not in tags:
+                break
+
 
 def parse(page: str) -> Node:
     """The tree of a page. Raw elements stay without their content."""
     root = Node("#root", None)
-    open_node, place = root, 0
+    opened, place = OpenElements(root), 0
     lowered: str | None = None
     while place < len(page):
         found = TOKEN.search(page, place)
         text = page[place : found.start() if found else len(page)]
         if text:
-            open_node.children.append(text)
+            opened.path[-1].children.append(text)
         if not found:
             break
         place = found.end()
@@ -97,20 +151,20 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            open_node = _close(open_node, tag)
+            opened.end(tag)
             continue
         if tag in BLOCKS and tag != "br":
-            open_node = _close_paragraph(open_node)
+            opened.end_paragraph()
         if tag in CLOSES:
-            open_node = _close_like(open_node, CLOSES[tag])
-        node = Node(tag, open_node, attributes or "")
-        open_node.children.append(node)
+            opened.end_like(CLOSES[tag])
+        node = Node(tag, opened.path[-1], attributes or "")
+        node.parent.children.append(node)
         if tag in RAW:
             lowered = page.lower() if lowered is None else lowered
             end = lowered.find(f"</{tag}", place) if len(lowered) == len(page) else _find_close(page, tag, place)
             place = len(page) if end < 0 else end
         if tag not in VOID and not (attributes or "").endswith("/"):
-            open_node = node
+            opened.open(node)
     return root
 
 
@@ -119,38 +173,38 @@ def _find_close(page: str, tag: str, place: int) -> int:
     return found.start() if found else -1
 
 
-def _close(node: Node, tag: str) -> Node:
-    """Where text goes after ``</tag>``: above the open element of that name, if there is one in reach."""
-    seek = node
-    while seek.parent is not None:
-        if seek.tag == tag:
-            return seek.parent
-        if tag not in BLOCKS and seek.tag in BLOCKS:
-            return node  # an inline end tag does not close blocks
-        seek = seek.parent
-    return node
-
-
-def _close_paragraph(node: Node) -> Node:
-    seek = node
-    while seek.parent is not None and seek.tag not in BLOCKS:
-        seek = seek.parent
-    return seek.parent if seek.tag == "p" else node
-
-
-def _close_like(node: Node, tags: frozenset[str]) -> Node:
-    seek = node
-    while seek.parent is not None and seek.tag not in ("ul", "ol", "dl", "table", "select"):
-        if seek.tag in tags:
-            return seek.parent if seek.parent.tag not in tags else _close_like(seek.parent, tags)
-        seek = seek.parent
-    return node
+def bottom_up(root: Node) -> list[Node]:
+    """All elements, each after those inside it."""
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        waiting.extend(node.elements())
+    return order[::-1]
 
 
-def is_furniture(node: Node) -> bool:
+def measure(root: Node) -> list[Node]:
+    """Sets on every element its characters, those in links, and its commas; returns ``bottom_up``."""
+    order = bottom_up(root)
+    for node in order:
+        node.chars = node.linked = node.commas = 0
+        for child in node.children:
+            if isinstance(child, str):
+                node.chars += len(child.strip())
+                node.commas += child.count(",") + child.count("，") + child.count("、")
+            else:
+                node.chars += child.chars
+                node.linked += child.linked
+                node.commas += child.commas
+        if node.tag == "a":
+            node.linked = node.chars
+    return order
+
+
+def is_furniture(node: Node, in_article: bool) -> bool:
     if node.tag in FURNITURE or node.tag in RAW:
         return True
-    if node.tag == "header" and not any(a.tag in ("article", "main") for a in node.ancestors()):
+    if node.tag == "header" and not in_article:
         return True
     if not node.attributes or node.tag in EXEMPT:
         return False
@@ -183,13 +237,14 @@ def prune(root: Node) -> None:
 
     Of the elements with such names those go first that lie outside all articles or within one, then plain names, then compound ones.
     """
-    waiting, named = [root], False
+    waiting, named = [(root, False)], False
     while waiting:
-        at = waiting.pop()
-        at.children = [c for c in at.children if isinstance(c, str) or not is_furniture(c)]
-        inner = [c for c in at.children if not isinstance(c, str)]
+        at, in_article = waiting.pop()
+        in_article = in_article or at.tag in ("article", "main")
+        at.children = [c for c in at.children if isinstance(c, str) or not is_furniture(c, in_article)]
+        inner = at.elements()
         named = named or any(unlikely(c) is not None for c in inner)
-        waiting.extend(inner)
+        waiting.extend((c, in_article) for c in inner)
     for share in (None, NAMED_SHARE, COMPOUND_SHARE) if named else ():
         held = holdings(root)
         waiting = [root]
@@ -198,7 +253,7 @@ def prune(root: Node) -> None:
             at.children = [
                 c for c in at.children if isinstance(c, str) or holds_article(unlikely(c), share, held[id(c)], held[id(root)])
             ]
-            waiting.extend(c for c in at.children if not isinstance(c, str))
+            waiting.extend(at.elements())
 
 
 def names_furniture(article: Node) -> bool:
@@ -209,13 +264,8 @@ def names_furniture(article: Node) -> bool:
 
 def holdings(root: Node) -> dict[int, list[float]]:
     """Per node the paragraph points, the ``article`` and ``main`` elements and the first headings in it."""
-    order, waiting = [], [root]
-    while waiting:
-        node = waiting.pop()
-        order.append(node)
-        waiting.extend(c for c in node.children if not isinstance(c, str))
     held = {}
-    for node in reversed(order):
+    for node in measure(root):
         article = node.tag in ("article", "main") and not names_furniture(node)
         sums = [own_points(node)[0], float(article), float(node.tag == "h1")]
         for child in node.children:
@@ -253,31 +303,15 @@ def texts(node: Node) -> Iterator[tuple[str | None, bool]]:
         waiting.extend([*border, *[(c, linked) for c in reversed(at.children)], *border])
 
 
-def lengths(node: Node) -> tuple[int, int, int]:
-    """Characters, characters in links, commas."""
-    total = links = commas = 0
-    for piece, linked in texts(node):
-        if piece:
-            size = len(piece.strip())
-            total += size
-            links += size if linked else 0
-            commas += piece.count(",") + piece.count("，") + piece.count("、")
-    return total, links, commas
-
-
 def score(root: Node) -> list[Node]:
     """Passes the points of all paragraphs upwards; returns the nodes that got some."""
     scored: list[Node] = []
-    waiting = [root]
-    while waiting:
-        node = waiting.pop()
-        inner = [c for c in node.children if not isinstance(c, str)]
-        waiting.extend(inner)
+    for node in reversed(measure(root)):
         points, direct = own_points(node)
         if not points:
             continue
-        receivers = [node, *node.ancestors()] if direct else list(node.ancestors())
-        for level, ancestor in enumerate(receivers[:4]):
+        receivers = [*([node] if direct else []), *islice(node.ancestors(), 4)][:4]
+        for level, ancestor in enumerate(receivers):
             if ancestor.score is None:
                 ancestor.score = CONTAINERS.get(ancestor.tag, 0.0)
                 scored.append(ancestor)
@@ -292,18 +326,18 @@ def own_points(node: Node) -> tuple[float, bool]:
     )
     if node.tag not in PARAGRAPHS and not direct:
         return 0.0, False
-    total, _, commas = lengths(node) if not direct else _direct_lengths(node)
+    total, commas = _direct_lengths(node) if direct else (node.chars, node.commas)
     return (min(1.0, total / 25) + commas + min(total / 100, 3.0) if total else 0.0), direct
 
 
-def _direct_lengths(node: Node) -> tuple[int, int, int]:
+def _direct_lengths(node: Node) -> tuple[int, int]:
+    """Characters and commas of the text that lies directly in an element."""
     own = [c for c in node.children if isinstance(c, str)]
-    return sum(len(c.strip()) for c in own), 0, sum(c.count(",") for c in own)
+    return sum(len(c.strip()) for c in own), sum(c.count(",") for c in own)
 
 
 def link_share(node: Node) -> float:
-    total, links, _ = lengths(node)
-    return links / total if total else 0.0
+    return node.linked / node.chars if node.chars else 0.0
 
 
 def is_prose(node: Node) -> bool:
@@ -315,10 +349,10 @@ def is_prose(node: Node) -> bool:
     while waiting:
         at = waiting.pop()
         if at.tag in PARAGRAPHS:
-            paragraphs += lengths(at)[0]
+            paragraphs += at.chars
             continue
         plain += _direct_lengths(at)[0]
-        waiting.extend(c for c in at.children if not isinstance(c, str))
+        waiting.extend(at.elements())
     return paragraphs >= PARAGRAPH_CHARS or plain >= PLAIN_CHARS
 
 
@@ -342,8 +376,7 @@ def best_parts(root: Node) -> list[Node]:
         if sibling is best or final.get(id(sibling), 0.0) >= limit:
             kept.append(sibling)
         elif sibling.tag == "p" or sibling.tag in HEADINGS:
-            total, links, _ = lengths(sibling)
-            if total and links / total < 0.25:
+            if sibling.chars and link_share(sibling) < 0.25:
                 kept.append(sibling)
         elif best.tag not in ("article", "main") and sibling.tag in BLOCKS and is_prose(sibling):
             kept.append(sibling)
@@ -363,7 +396,7 @@ def main_text(page: str | None) -> str:
             if piece is not None:
                 pieces.append(piece)
             elif pieces:
-                block = " ".join(references.unescape("".join(pieces)).split())
+                block = " ".join("".join(map(references.unescape, pieces)).split())
                 if block:
                     blocks.append(block)
                 pieces = []

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -77,6 +78,25 @@ def test_deep_and_long_pages():
     assert main_text("<p>" + PROSE * 20_000).count("One sentence") == 20_000
 
 
+@pytest.mark.parametrize(
+    ("opening", "closing"),
+    [
+        ("<blockquote>x", "</blockquote>"), ("<ul><li>x", "</li></ul>"), ("<div>text here", ""), ("<b>x", "</i>"),
+        ("<i><div><b>y</i>", ""), ("<header>h", "</header>"), ("<p>para <a href=x>l</a>", "</p>"), ("<td>z", ""),
+        ("<section class=comment>q", "</section>"),
+    ],
+)
+def test_work_grows_with_the_page_only(opening, closing):
+    """50,000 nested or unclosed elements of each kind."""
+    start = time.perf_counter()
+    main_text(opening * 50_000 + closing * 50_000)
+    assert time.perf_counter() - start < 20
+
+
+def test_references_do_not_span_tags():
+    assert main_text("<p>a &am<b>p;</b> &amp;amp; &lt;b&gt;</p>") == "a &amp; &amp; <b>"
+
+
 def test_odd_and_no_pages(spark):
     rows = [(1, None, None, 5), (2, "u", "", 5), (2, "u", "<p>x", 5), (2, "u", "<p>x", 5), (None, "v", "<p>y", 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
