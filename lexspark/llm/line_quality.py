@@ -41,7 +41,8 @@ BOILERPLATE = (
 )
 
 SPACE = "[\\x20\\x09-\\x0D]"
-SENTENCE_END = f"[.!?…。！？][\"'”’»)\\]]*(?:{SPACE}|\\z)"
+# The marks that end a sentence, in Latin, Chinese, Indic, Arabic, Armenian, Ethiopic, Burmese and Khmer texts.
+SENTENCE_END = f"[.!?…。！？।॥؟۔։።၊။។][\"'”’»)\\]]*(?:{SPACE}|\\z)"
 SYMBOLS = "[#*$%&|<>]"
 NAVIGATION = f"(?:^|{SPACE})[|»›·•>/](?:{SPACE}|\\z)"
 SHOUTS = "[!?]{2,}"

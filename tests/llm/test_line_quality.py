@@ -66,3 +66,11 @@ def test_every_navigation_mark_is_suspect():
     texts = [f"{a}{mark}{b}" for mark in "|»›·•>/" for a in edges for b in edges]
     assert all(pattern.search(t) for t in texts)
     assert [t for t in texts if not any(part in t for part in SUSPECT)] == []
+
+
+def test_sentences_of_other_scripts_are_prose(spark):
+    ends = ["यह एक साधारण वाक्य है।", "هل هذه جملة بسيطة؟", "یہ ایک سادہ جملہ ہے۔", "这是 一个 简单的 句子。", "Սա պարզ նախադասություն է։"]
+    lines = [f"{' '.join(f'{end[:-1]}{i}' for i in range(6))}{end[-1]}" for end in ends]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["base_failed"], r["kept"], r["kept_chars"] == r["word_chars"]) for r in line_quality(docs).collect()}
+    assert found == {i: (False, True, True) for i in range(len(lines))}
