@@ -1,110 +1,125 @@
 """Interleaving sources to target weights by proportionate-fair scheduling.
 
-Every source is a stream of documents in a shuffled order, cut into blocks of ``BLOCK_BYTES`` of text; a
+Every source is a stream of documents in a shuffled order, cut into blocks of text; a
 document belongs to the block in which it starts. One block is delivered per slot. Block ``j`` of a source
 with share ``w`` is released at slot ``floor((j - 1) / w)`` and due by ``ceil(j / w)``; in each slot the released
 block with the earliest deadline goes first. All deadlines are met, so at any time a source is less than
-one block away from its share.
+one block away from its share. Shares are exact fractions of the given weights; nothing is rounded.
 
-Shares are whole units, so the schedule repeats: one period is drawn up on the driver, from the
-weights alone, and the slot of any block follows from its number by arithmetic. When a source runs
-out, the remaining ones go on under a new period (a phase), starting without lag. Nothing is dropped
-or repeated: every document gets one slot.
+When a source runs out, the remaining ones go on under their own shares (a phase), starting without lag.
+Nothing is dropped or repeated: every document gets one slot.
 
-The driver sees one row per source. Positions within sources are running totals over ids and
-sizes, so a source with a third of all rows is spread like any other.
+The schedule is a table of (source, block, slot), made by one task from one row per source, and joined with the
+documents by source and block. It has at most ``MAX_SLOTS`` rows and one per source, as a block has
+``BLOCK_BYTES`` of text or, in larger corpora, the ``MAX_SLOTS``-th part of all text. Positions within sources
+are running totals over ids and sizes, so a source with a third of all rows is spread like any other.
 
 Defined results: null sources are a source of their own; null texts count one byte, like empty ones;
 repeated rows each get their own place; an empty table gives an empty result; a document longer than a
-block fills the blocks it covers. Other columns keep their values.
+block fills the blocks it covers; sources without a weight, or with weight 0, come after all others, in equal
+shares; negative weights and those that are no numbers raise ``ValueError``. Other columns keep their values.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.operators.ordered import running_totals
-from lexspark.session import partitions_for
+from lexspark.session import materialise, partitions_for
 
 BLOCK_BYTES = 64 * 1024
-#: Slots per period; every source has at least one.
-PERIOD = 1000
+#: Slots of a schedule, besides one per source.
+MAX_SLOTS = 1 << 20
 #: Default target weights: bytes of the source to this power, which lifts small sources.
 EXPONENT = 0.5
+BATCH_ROWS = 100_000
 
 
-def units(weights: dict[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
-    """Weights as whole numbers of about ``period`` in sum, at least 1 each."""
-    total = sum(weights.values())
-    return {s: max(1, round(period * w / total)) for s, w in weights.items()}
-
-
-def one_period(shares: dict[str | None, int]) -> dict[str | None, list[int]]:
-    """The slots of each source's blocks in a period of ``sum(shares)`` slots, earliest deadline first."""
-    slots: dict[str | None, list[int]] = {s: [] for s in shares}
-    period = sum(shares.values())
-    ranks = {s: i for i, s in enumerate(sorted(shares, key=lambda s: (s is None, str(s))))}
-    waiting = [(0, ranks[s], s, 0) for s in shares]  # (release, rank, source, block from 0)
-    ready: list[tuple[int, int, str | None, int]] = []
-    heapq.heapify(waiting)
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, rank, source, block = heapq.heappop(waiting)
-            deadline = -(-(block + 1) * period // shares[source])
-            heapq.heappush(ready, (deadline, rank, source, block))
-        _, rank, source, block = heapq.heappop(ready)
-        slots[source].append(slot)
-        if block + 1 < shares[source]:
-            heapq.heappush(waiting, ((block + 1) * period // shares[source], rank, source, block + 1))
-    return slots
-
-
-@dataclass
-class Segment:
-    """Blocks of a source from ``first_block`` on, in a phase that starts at ``first_slot``."""
-
-    source: str | None
-    phase: int
-    first_block: int
-    end_block: int
-    first_slot: int
-    period: int
-    slots: list[int]
-
-
-def schedule(blocks: dict[str | None, int], shares: dict[str | None, int]) -> list[Segment]:
-    """The phases for sources of ``blocks`` blocks each."""
-    done = dict.fromkeys(blocks, 0)
-    segments: list[Segment] = []
-    phase = first_slot = 0
-    active = {s for s, n in blocks.items() if n}
-    while active:
-        period = one_period({s: shares[s] for s in active})
-        length = sum(len(x) for x in period.values())
-        ends = {}
-        for source in active:
-            rounds, place = divmod(blocks[source] - done[source] - 1, len(period[source]))
-            ends[source] = rounds * length + period[source][place] + 1
-        end = min(ends.values())
-        for source in sorted(active, key=lambda s: (s is None, str(s))):
-            rounds, place = divmod(end, length)
-            count = rounds * len(period[source]) + sum(x < place for x in period[source])
-            segment = (source, phase, done[source], done[source] + count, first_slot, length, period[source])
-            segments.append(Segment(*segment))
-            done[source] += count
-        active = {s for s in active if done[s] < blocks[s]}
-        first_slot, phase = first_slot + end, phase + 1
-    return segments
+def whole_weights(weights: dict[str | None, float]) -> dict[str | None, int]:
+    """The same proportions as whole numbers, exactly."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*[x.denominator for x in exact.values()])
+    whole = {s: int(x * scale) for s, x in exact.items()}
+    shared = math.gcd(*whole.values())
+    return {s: w // shared for s, w in whole.items()}
+
+
+def schedule(blocks: dict[str | None, int], weights: dict[str | None, float]) -> Iterator[tuple[str | None, int, int, int]]:
+    """``(source, block, slot, phase)`` for every block of every source, slot by slot.
+
+    Sources with a weight come first, then those without one in equal shares.
+    """
+    order = sorted(blocks, key=lambda s: (s is None, str(s)))
+    done = dict.fromkeys(order, 0)
+    slot = phase = 0
+    for group in ([s for s in order if weights.get(s, 0)], [s for s in order if not weights.get(s, 0)]):
+        active = [s for s in group if blocks[s]]
+        while active:
+            shares = whole_weights({s: weights.get(s, 0) or 1 for s in active})
+            total, first = sum(shares.values()), slot
+            waiting = [(0, rank, 0) for rank in range(len(active))]  # (release, rank, block of this phase)
+            ready: list[tuple[int, int, int]] = []
+            running = True
+            while running:
+                while waiting and waiting[0][0] <= slot - first:
+                    _, rank, block = heapq.heappop(waiting)
+                    heapq.heappush(ready, (-(-(block + 1) * total // shares[active[rank]]), rank, block))
+                _, rank, block = heapq.heappop(ready)
+                source = active[rank]
+                yield source, done[source], slot, phase
+                done[source] += 1
+                slot += 1
+                heapq.heappush(waiting, ((block + 1) * total // shares[source], rank, block + 1))
+                running = done[source] < blocks[source]
+            active = [s for s in active if done[s] < blocks[s]]
+            phase += 1
+
+
+def check_weights(weights: dict[str | None, float]) -> None:
+    if any(not math.isfinite(w) or w < 0 for w in weights.values()):
+        raise ValueError("weights must be finite numbers of 0 or more")
 
 
 def text_bytes(text: Column) -> Column:
     return F.greatest(F.coalesce(F.octet_length(text), F.lit(0)), F.lit(1)).cast("bigint")
 
 
+def _slots(sizes: DataFrame, weights: dict[str | None, float] | None, block_bytes: int, max_slots: int) -> DataFrame:
+    """``(source, block, slot, phase, block_bytes)`` from ``(source, bytes)``, one row per source; one task."""
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, int] = {}
+        for batch in batches:
+            held.update(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        size = max(block_bytes, -(-sum(held.values()) // max_slots))
+        wanted = {s: n**EXPONENT for s, n in held.items()} if weights is None else weights
+        rows: list[tuple] = []
+        for row in schedule({s: -(-n // size) for s, n in held.items()}, wanted):
+            rows.append(row)
+            if len(rows) == BATCH_ROWS:
+                yield as_batch(rows, size)
+                rows = []
+        if rows:
+            yield as_batch(rows, size)
+
+    def as_batch(rows: list[tuple], size: int) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32())
+        columns = [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        columns.append(pa.array([size] * len(rows), pa.int64()))
+        return pa.RecordBatch.from_arrays(columns, names=["p_source", "p_block", "slot", "phase", "block_bytes"])
+
+    one_task = sizes.select(F.col("source").cast("string"), "bytes").coalesce(1)
+    made = one_task.mapInArrow(plan, "p_source string, p_block bigint, slot bigint, phase int, block_bytes bigint")
+    return materialise(made, "mixing-slots")
+
+
 def mixing_order(
     docs: DataFrame,
     weights: dict[str | None, float] | None = None,
@@ -112,43 +127,28 @@ def mixing_order(
     text_col: str = "text",
     source_col: str = "source",
     block_bytes: int = BLOCK_BYTES,
-    period: int = PERIOD,
+    max_slots: int = MAX_SLOTS,
 ) -> DataFrame:
     """``(id, source, size, start, block, slot, phase)``: where every document goes.
 
     Sorting by (slot, start) gives the mixed order. ``start`` is the first byte in the source's stream.
     """
+    check_weights(weights or {})
     keys = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_bytes(F.col(text_col)).alias("size"))
     keys = keys.withColumn("shuffle", F.xxhash64("id", F.lit("mix")))
     placed = running_totals(keys, "source", ["shuffle", "id", "size"], {"start": F.col("size")}, "mixing-keys")
-    placed = placed.withColumn("block", F.floor(F.col("start") / block_bytes).cast("bigint"))
-    sizes = {r["source"]: r["bytes"] for r in keys.groupBy("source").agg(F.sum("size").alias("bytes")).collect()}
-    if weights is None:
-        weights = {s: n**EXPONENT for s, n in sizes.items()}
-    shares = units({s: weights.get(s, 0.0) for s in sizes}, period) if sizes else {}
-    segments = schedule({s: -(-n // block_bytes) for s, n in sizes.items()}, shares)
-    rows = [(s.source, s.phase, s.first_block, s.end_block, s.first_slot, s.period, s.slots) for s in segments]
-    plan = docs.sparkSession.createDataFrame(
-        rows,
-        "p_source string, phase int, first_block bigint, end_block bigint, first_slot bigint, period bigint, slots array<int>",
-    )
-    # At most (number of sources) squared rows with a period's slots in sum per phase.
-    inside = (
-        F.col("source").eqNullSafe(F.col("p_source"))
-        & (F.col("block") >= F.col("first_block"))
-        & (F.col("block") < F.col("end_block"))
-    )
-    past = F.col("block") - F.col("first_block")
-    share = F.size("slots")
-    place = F.element_at("slots", (past % share + 1).cast("int"))
-    slot = F.col("first_slot") + F.floor(past / share).cast("bigint") * F.col("period") + place
-    return placed.join(F.broadcast(plan), inside).select(
+    slots = _slots(keys.groupBy("source").agg(F.sum("size").alias("bytes")), weights, block_bytes, max_slots)
+    size = F.coalesce(slots.agg(F.max("block_bytes")).scalar(), F.lit(block_bytes))
+    start = F.col("start")
+    placed = placed.withColumn("block", ((start - start % size) / size).cast("bigint"))
+    same = F.col("source").cast("string").eqNullSafe(F.col("p_source")) & (F.col("block") == F.col("p_block"))
+    return placed.join(slots, same).select(
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),
         "size",
         "start",
         "block",
-        slot.alias("slot"),
+        "slot",
         "phase",
     )
 
