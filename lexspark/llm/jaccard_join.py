@@ -10,8 +10,9 @@ Two documents link when their shingle sets have a Jaccard similarity of ``SIMILA
   of its members and verifies those pairs; a large group of near copies becomes connected by a number
   of pairs in proportion to its size. The second forms the pairs of different components only,
   under the length and positional filters and a suffix filter (a bound on the difference of two
-  sets from how many of their hashes fall into each of ``SIGNATURE`` ranges).
-* Each pair is verified once, with exact integer arithmetic on the whole sets. Two sets in one component
+  sets from how many of their hashes fall into each of ``SIGNATURE`` ranges). A task compares two blocks of at
+  most ``BLOCK_ROWS`` rows of a group at a time, so a group of any size spreads over tasks.
+* Each pair is verified once (the second round leaves out what the first one tried), with exact integer arithmetic on the whole sets. Two sets in one component
   need no further link, so no component is lost.
 
 Broadcast are two arrays of fixed size: the sketch (16 MB) and a bitmap of the wanted ids (2 MB), which
@@ -34,20 +35,22 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.components import connected_components
 from lexspark.llm.shingles import set_key, shingle_sets
-from lexspark.session import materialise, partitions_for
+from lexspark.operators.ordered import running_totals
+from lexspark.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, estimated_bytes, materialise, partitions_for
 
 SIMILARITY_PCT = 80
 SKETCH_BITS = 22
 SKETCH_SLICES = 64
 BITMAP_BITS = 1 << 24
 SIGNATURE = 256
-#: Rows of one group that are held at once when centres are chosen, and compared at once later.
+#: Rows of one group that are held at once when centres are chosen.
 RUN_ROWS = 200_000
 #: In groups up to this size, rows without a possible partner fall away before anything else is done.
 SMALL_GROUP = 64
+#: Rows of one block; a task compares two blocks at a time.
 BLOCK_ROWS = 1024
-#: Pairs remembered by a task so as not to send them twice; beyond it, ``distinct`` removes repeats.
-SEEN_PAIRS = 2_000_000
+#: Pairs of one class that meet one copy of its set.
+FAN_OUT = 4096
 
 
 def least_overlap(size_a, size_b):
@@ -304,6 +307,24 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 SIDES = (("key", "n", "x"), ("c_key", "c_n", "y"))
 
 
+def _with_set(pairs: DataFrame, named: DataFrame, sets: DataFrame, key: str, n: str, name: str) -> DataFrame:
+    """``pairs`` with the set of the class (key, n); ``named`` are the pairs without any set.
+
+    A class in more than ``FAN_OUT`` pairs gets a copy of its set per that many, and its pairs are dealt to them.
+    """
+    own = sets.select(F.col("key").alias(key), F.col("n").alias(n), F.col("hashes").alias(name))
+    often = named.groupBy(key, n).count().filter(F.col("count") > FAN_OUT)
+    often = materialise(often.select(key, n, F.ceil(F.col("count") / FAN_OUT).cast("int").alias("_copies")), "hot-classes")
+    if often.isEmpty():
+        return pairs.join(own, [key, n])
+    often = broadcast_if_small(often)
+    rest = pairs.join(often, [key, n], "left_anti").join(own, [key, n])
+    copies = own.join(often, [key, n]).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    dealt = pairs.join(often, [key, n]).withColumn("_copy", F.pmod(F.xxhash64(*named.columns), "_copies").cast("int"))
+    hot = dealt.drop("_copies").join(copies.drop("_copies"), [key, n, "_copy"]).drop("_copy")
+    return rest.unionByName(hot)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """The links among ``pairs (key, n, c_key, c_n)``, as nodes ``(a, b)``."""
 
@@ -316,8 +337,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
                 linked.append(100 * common >= SIMILARITY_PCT * (len(a) + len(b) - common))
             yield batch.select([0, 1, 2, 3]).filter(pa.array(linked, pa.bool_()))
 
-    sides = [sets.select(F.col("key").alias(k), F.col("n").alias(n), F.col("hashes").alias(h)) for k, n, h in SIDES]
-    joined = pairs.join(sides[0], ["key", "n"]).join(sides[1], ["c_key", "c_n"])
+    joined = named = materialise(pairs, "candidate-pairs")
+    if estimated_bytes(named) <= BROADCAST_LIMIT_BYTES // 2:  # few pairs: sets that none of them names are not moved
+        asked = named.select("key", "n").union(named.select("c_key", "c_n")).distinct()
+        sets = sets.join(F.broadcast(asked), ["key", "n"], "left_semi")
+    for k, n, h in SIDES:
+        joined = _with_set(joined, named, sets, k, n, h)
     links = joined.select("key", "n", "c_key", "c_n", "x", "y").mapInArrow(check, "key bigint, n int, c_key bigint, c_n int")
     other = nodes.select(F.col("key").alias("c_key"), F.col("n").alias("c_n"), F.col("node").alias("b"))
     named = links.join(nodes.select("key", "n", F.col("node").alias("a")), ["key", "n"]).join(other, ["c_key", "c_n"])
@@ -327,84 +352,108 @@ def _verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
 # -- pairs of different components -----------------------------------------------------------------
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components in one group, after the filters.
+def _length_band(n: Column) -> Column:
+    """Sets that can link lie in the same or in neighbouring bands."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / SIMILARITY_PCT))).cast("int")
 
-    ``members`` has ``(run, token, n, key, pos, component, signature)``. Groups that share
-    their least component come to one task one after the other, so a pair is sent once.
+
+UNIT_COLUMNS = ["token", "a", "b", "side", "n", "key", "pos", "component", "signature"]
+
+
+def _units(rows: DataFrame) -> DataFrame:
+    """Deals groups into units of at most two blocks of ``BLOCK_ROWS`` rows (``UNIT_COLUMNS``).
+
+    ``rows`` has ``(token, n, key, pos, component, signature, size)``. A group of up to a block is a unit. A larger
+    one is sorted by length and component and cut into blocks, and every two blocks meet in a unit of their own,
+    unless all their rows are of one component or too different in length.
     """
+    small = rows.filter(F.col("size") <= BLOCK_ROWS).withColumns({c: F.lit(0).cast("bigint") for c in ("a", "b")})
+    small = small.withColumn("side", F.lit(0)).select(*UNIT_COLUMNS)
+    banded = rows.filter(F.col("size") > BLOCK_ROWS).withColumn("_band", _length_band(F.col("n")))
+    order = ["_band", "component", "n", "key"]
+    placed = running_totals(banded, "token", order, {"_at": F.lit(1)}, "large-groups")
+    blocks = placed.withColumn("block", F.floor(F.col("_at") / BLOCK_ROWS).cast("bigint"))
+    ends = [f(c).alias(f"{name}_{c}") for name, f in (("min", F.min), ("max", F.max)) for c in ("n", "component")]
+    ranges = blocks.groupBy("token", "block").agg(*ends)
+    x, y = (ranges.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ranges.columns[1:]]) for side in "xy")
+    one = (F.col("x_min_component") == F.col("y_max_component")) & (F.col("x_max_component") == F.col("y_min_component"))
+    near = (100 * F.col("x_max_n") >= SIMILARITY_PCT * F.col("y_min_n")) & (
+        100 * F.col("y_max_n") >= SIMILARITY_PCT * F.col("x_min_n")
+    )
+    met = x.join(y, "token").filter((F.col("x_block") <= F.col("y_block")) & ~one & near)
+    met = met.select("token", F.col("x_block").alias("a"), F.col("y_block").alias("b"))
+    left = blocks.join(met.withColumn("block", F.col("a")), ["token", "block"]).withColumn("side", F.lit(0))
+    right = blocks.join(met.filter("a < b").withColumn("block", F.col("b")), ["token", "block"]).withColumn("side", F.lit(1))
+    return small.unionByName(left.select(*UNIT_COLUMNS)).unionByName(right.select(*UNIT_COLUMNS))
+
+
+def _block_pairs(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> Iterator[pa.RecordBatch]:
+    """The pairs of rows of two blocks (or of one, if they are the ``same``) that pass all filters."""
+    n, m = x["n"][:, None], y["n"][None, :]
+    may = x["component"][:, None] != y["component"][None, :]
+    may &= 100 * np.minimum(n, m) >= SIMILARITY_PCT * np.maximum(n, m)
+    may &= 1 + np.minimum(n - x["pos"][:, None] - 1, m - y["pos"][None, :] - 1) >= least_overlap(n, m)
+    if same:
+        may = np.triu(may, 1)
+    first, second = np.nonzero(may)
+    for start in range(0, len(first), 10_000):
+        i, j = first[start : start + 10_000], second[start : start + 10_000]
+        apart = np.abs(x["signature"][i].astype(np.int16) - y["signature"][j].astype(np.int16)).sum(axis=1, dtype=np.int64)
+        near = apart <= x["n"][i] + y["n"][j] - 2 * least_overlap(x["n"][i], y["n"][j])
+        i, j = i[near], j[near]
+        if len(i):
+            columns = [x["key"][i], x["n"][i].astype(np.int32), y["key"][j], y["n"][j].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "n", "c_key", "c_n"])
+
+
+def unit_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_block_pairs`` of every unit; rows come sorted by unit and side. One unit is held at a time."""
+
+    def as_rows(part: pa.Table) -> dict[str, np.ndarray]:
+        rows = {c: part.column(c).to_numpy() for c in ("n", "key", "pos", "component")}
+        rows["n"] = rows["n"].astype(np.int64)
+        data = b"".join(x.as_py() for x in part.column("signature"))
+        rows["signature"] = np.frombuffer(data, np.uint8).reshape(-1, SIGNATURE)
+        return rows
+
+    def compare(unit: pa.Table) -> Iterator[pa.RecordBatch]:
+        split = int((unit.column("side").to_numpy() == 0).sum())
+        left = as_rows(unit.slice(0, split))
+        if unit.column("a")[0].as_py() == unit.column("b")[0].as_py():
+            yield from _block_pairs(left, left, True)
+        else:
+            yield from _block_pairs(left, as_rows(unit.slice(split)), False)
+
+    held: pa.Table | None = None
+    for batch in batches:
+        fresh = pa.Table.from_batches([batch])
+        held = fresh if held is None else pa.concat_tables([held, fresh])
+        if not held.num_rows:
+            continue
+        names = [held.column(c).to_numpy() for c in ("token", "a", "b")]
+        differs = np.logical_or.reduce([c[1:] != c[:-1] for c in names])
+        starts = np.concatenate([[0], np.flatnonzero(differs) + 1])
+        for first, last in zip(starts[:-1], starts[1:], strict=True):
+            yield from compare(held.slice(first, last - first))
+        held = held.slice(starts[-1]).combine_chunks()
+    if held is not None and held.num_rows:
+        yield from compare(held)
 
-    def enumerate_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple] = set()
-        last_run = None
-
-        def compare(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-            size = len(rows["n"])
-            for i in range(0, size, BLOCK_ROWS):
-                for j in range(i, size, BLOCK_ROWS):
-                    if 100 * int(rows["n"][min(i + BLOCK_ROWS, size) - 1]) < SIMILARITY_PCT * int(rows["n"][j]):
-                        break  # sizes rise: all later rows are longer still
-                    yield from block(rows, slice(i, i + BLOCK_ROWS), slice(j, j + BLOCK_ROWS), i == j)
-
-        def block(rows, left: slice, right: slice, same: bool) -> Iterator[pa.RecordBatch]:
-            n, m = rows["n"][left][:, None], rows["n"][right][None, :]
-            p, q = rows["pos"][left][:, None], rows["pos"][right][None, :]
-            need = least_overlap(n, m)
-            may = rows["component"][left][:, None] != rows["component"][right][None, :]
-            may &= 100 * n >= SIMILARITY_PCT * m
-            may &= 1 + np.minimum(n - p - 1, m - q - 1) >= need
-            if same:
-                may = np.triu(may, 1)
-            a, b = np.nonzero(may)
-            for start in range(0, len(a), 100_000):
-                x, y = a[start : start + 100_000] + left.start, b[start : start + 100_000] + right.start
-                keys = list(zip(*(rows[c][k].tolist() for k in (x, y) for c in ("key", "n")), strict=True))
-                fresh = np.array([k not in seen for k in keys], bool)
-                seen.update(keys)
-                if len(seen) > SEEN_PAIRS:
-                    seen.clear()
-                x, y = x[fresh], y[fresh]
-                apart = np.zeros(len(x), np.int64)
-                for s in range(0, len(x), 10_000):
-                    first, second = (rows["signature"][k[s : s + 10_000]].astype(np.int16) for k in (x, y))
-                    apart[s : s + 10_000] = np.abs(first - second).sum(axis=1)
-                sums = rows["n"][x] + rows["n"][y]
-                near = apart <= sums - 2 * least_overlap(rows["n"][x], rows["n"][y])
-                x, y = x[near], y[near]
-                if len(x):
-                    columns = [rows["key"][x], rows["n"][x].astype(np.int32), rows["key"][y], rows["n"][y].astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in columns], names=["key", "n", "c_key", "c_n"]
-                    )
-
-        def as_rows(batch: pa.RecordBatch | pa.Table) -> dict[str, np.ndarray]:
-            rows = {c: batch.column(c).to_numpy() for c in ("n", "key", "pos", "component")}
-            rows["n"] = rows["n"].astype(np.int64)
-            data = b"".join(x.as_py() for x in batch.column("signature"))
-            rows["signature"] = np.frombuffer(data, np.uint8).reshape(-1, SIGNATURE)
-            return rows
-
-        held: pa.Table | None = None
-        for batch in batches:
-            fresh = pa.Table.from_batches([batch])
-            held = fresh if held is None else pa.concat_tables([held, fresh])
-            tokens = held.column("token").to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else []
-            for first, last in zip(starts[:-1], starts[1:], strict=True):
-                group = held.slice(first, last - first)
-                run = group.column("run")[0].as_py()
-                if run != last_run:
-                    seen.clear()
-                    last_run = run
-                yield from compare(as_rows(group))
-            if len(starts):
-                held = held.slice(starts[-1]).combine_chunks()
-        if held is not None and held.num_rows:
-            yield from compare(as_rows(held))
-
-    spark = members.sparkSession
-    ordered = members.repartition(partitions_for(spark), "run").sortWithinPartitions("run", "token", "n", "key")
-    return ordered.mapInArrow(enumerate_pairs, "key bigint, n int, c_key bigint, c_n int").distinct()
+
+def _cross_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of different components in one group, after the filters; the smaller class comes first."""
+    spark, unit = members.sparkSession, ["token", "a", "b"]
+    ordered = _units(members).repartition(partitions_for(spark), *unit).sortWithinPartitions(*unit, "side")
+    return _ordered_pairs(ordered.mapInArrow(unit_pairs, "key bigint, n int, c_key bigint, c_n int")).distinct()
+
+
+def _ordered_pairs(pairs: DataFrame) -> DataFrame:
+    """The same pairs with the smaller (n, key) first."""
+    x, y = F.struct("n", "key"), F.struct(F.col("c_n").alias("n"), F.col("c_key").alias("key"))
+    ends = pairs.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
+    return ends.select(
+        F.col("x.key").alias("key"), F.col("x.n").alias("n"), F.col("y.key").alias("c_key"), F.col("y.n").alias("c_n")
+    )
 
 
 # -- the join --------------------------------------------------------------------------------------
@@ -431,10 +480,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = materialise(_wanted_sets(docs, wanted), "candidate-sets")
 
     differs = (F.col("key") != F.col("c_key")) | (F.col("n") != F.col("c_n"))
-    stars = (
+    stars = materialise(
         groups.filter(differs & _may_link(F.col("n"), F.col("pos"), F.col("c_n"), F.col("c_pos")))
         .select("key", "n", "c_key", "c_n")
-        .distinct()
+        .distinct(),
+        "star-pairs",
     )
     first_links = _verified(stars, sets, wanted)
     first = materialise(connected_components(first_links), "components")
@@ -445,13 +495,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     mixed = (
         placed_rows.groupBy("token")
-        .agg(F.min("component").alias("run"), F.max("component").alias("_most"))
-        .filter("run < _most")
-        .select("token", "run")
+        .agg(F.min("component").alias("_least"), F.max("component").alias("_most"), F.count(F.lit(1)).alias("size"))
+        .filter("_least < _most")
+        .select("token", "size")
     )
     signatures = sets.select("key", "n", "signature").dropDuplicates(["key", "n"])
     cross = _cross_pairs(placed_rows.join(mixed, "token").join(signatures, ["key", "n"]))
-    second_links = _verified(cross, sets, wanted)
+    failed = _ordered_pairs(stars)  # those that linked are of one component
+    second_links = _verified(cross.join(failed, cross.columns, "left_anti"), sets, wanted)
     # The second round joins components of the first.
     left = first.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     right = first.select(F.col("node").alias("b"), F.col("component").alias("cb"))
@@ -483,8 +534,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are the least of their component, with all columns; rows without an id stay."""
+    """The documents that are the least of their component, with all columns; rows without an id stay.
+
+    A document is its id: all texts of the least id stay, and of rows equal in id and text one.
+    """
     named = docs.filter(F.col(id_col).isNotNull())
     first = jaccard_components(named, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
-    kept = named.join(first.select(id_col), id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(*docs.columns).union(docs.filter(F.col(id_col).isNull()))
+    kept = named.join(first.select(id_col).distinct(), id_col, "left_semi").select(*docs.columns)
+    mark = "_" * (1 + max(map(len, docs.columns)))  # no column has such a name
+    hashes = {f"{mark}hash": F.xxhash64(text_col), f"{mark}size": F.length(text_col)}
+    once = kept.withColumns(hashes).dropDuplicates([id_col, *hashes]).drop(*hashes)
+    return once.union(docs.filter(F.col(id_col).isNull()))

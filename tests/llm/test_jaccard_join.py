@@ -3,7 +3,9 @@ import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from lexspark.llm import jaccard_join
 from lexspark.llm.components import connected_components
 from lexspark.llm.jaccard_join import group_runs, jaccard_components, keep_one_of_each
 from lexspark.llm.shingles import shingle_sets
@@ -72,6 +74,38 @@ def test_one_of_each_component_stays(spark, near_copies):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in brute(near_copies).values()})
 
 
+def test_rows_with_one_id_stay_if_their_texts_differ(spark, near_copies):
+    rows = [(1, "a b c"), (1, "a b c"), (1, "x y z"), (2, "a b c"), (3, "x y z w"), (None, "a b c"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_hash", F.lit(1))
+    kept = keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = [(1, "a b c"), (1, "x y z"), (3, "x y z w"), (None, "a b c"), (None, None)]
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def template_rows():
+    """Texts from one template that share most shingles without linking, with near copies of some."""
+    draw = random.Random(8)
+    frame = [f"t{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        text = [*frame, *[f"v{i}x{j}" for j in range(draw.randrange(8, 14))]]
+        rows.append(" ".join(text))
+        if i % 20 == 0:
+            rows.append(" ".join([*text, "more"]))
+    return list(enumerate(rows))
+
+
+def test_large_groups_of_texts_that_do_not_link(spark, monkeypatch):
+    """Blocks of a few rows, and more pairs of one class than meet one copy of its set."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(jaccard_join, "FAN_OUT", 5)
+    rows = template_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(docs).collect()}
+    assert found == brute(rows)
+
+
 def test_odd_and_no_documents(odd_docs, no_docs):
     rows = jaccard_components(odd_docs).collect()
     by_id = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
