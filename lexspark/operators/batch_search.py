@@ -22,6 +22,8 @@ Every way returns the same rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,20 +163,34 @@ def direct_parts(postings: DataFrame, weights: DataFrame) -> DataFrame:
     return postings.join(broadcast_if_small(weights), "word")
 
 
-def candidates(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> DataFrame:
+def probed(postings: DataFrame, probes: DataFrame, blocks: DataFrame | None, id_col: str) -> DataFrame:
+    """``probes`` with the postings (id, tf) of their words that lie in reach of their bounds.
+
+    Of ``blocks`` only those are opened whose frequencies are in reach.
+    """
+    ceiling = F.col("tf_ceiling")
+    if blocks is None:
+        each = probes.withColumn("band", F.explode("bands")).drop("bands")
+        found = postings.withColumn("band", frequency_band(F.col("tf"))).join(broadcast_if_small(each), ["word", "band"])
+    else:
+        wanted = (F.col("tf_max") >= F.col("tf_floor")) & (ceiling.isNull() | (F.col("tf_min") <= ceiling))
+        opened = blocks.join(broadcast_if_small(probes.drop("bands")), "word").filter(wanted)
+        found = opened.withColumn("_p", F.explode("postings")).drop("postings")
+        found = found.withColumns({id_col: F.col(f"_p.{id_col}"), "tf": F.col("_p.word_frequency").cast("double")})
+    return found.filter(F.col("tf") >= F.col("tf_floor")).filter(ceiling.isNull() | (F.col("tf") <= ceiling))
+
+
+def candidates(postings: DataFrame, plan: DataFrame, k: int, id_col: str, blocks: DataFrame | None = None) -> DataFrame:
     """``(rep, id)`` that can still be among the best ``k`` of the pruned queries of a plan.
 
     A document seen in some words scores at least what those words give, and at most that plus the
     floors of the words in which it was not seen. The k-th best lower bound rules out the rest.
     """
     probes = plan.filter("pruned").select(
-        "rep", "n_tokens", "word", "weight", "tf_floor", "tf_ceiling", "bound", "down", F.explode("bands").alias("band")
+        "rep", "n_tokens", "word", "weight", "tf_floor", "tf_ceiling", "bound", "down", "bands"
     )
     seen = (
-        postings.withColumn("band", frequency_band(F.col("tf")))
-        .join(broadcast_if_small(probes), ["word", "band"])
-        .filter(F.col("tf") >= F.col("tf_floor"))
-        .filter(F.col("tf_ceiling").isNull() | (F.col("tf") <= F.col("tf_ceiling")))
+        probed(postings, probes, blocks, id_col)
         .groupBy("rep", "n_tokens", "bound", "down", id_col)
         .agg(
             F.sum(F.col("weight") * F.col("tf")).alias("_known"),
@@ -208,12 +224,12 @@ def smallest_ids(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> D
     return first.join(asked, "word").select("rep", id_col).distinct()
 
 
-def bounded_parts(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> DataFrame:
-    """The parts of candidates only, looked up for all words of their query."""
+def completed(postings: DataFrame, plan: DataFrame, found: list[DataFrame], id_col: str) -> DataFrame:
+    """The parts of the candidates ``found`` only, looked up for all words of their query."""
     weights = plan.filter("pruned OR flat").select("rep", "n_tokens", "word", "weight")
-    found = candidates(postings, plan, k, id_col).union(smallest_ids(postings, plan, k, id_col))
-    lookups = found.join(broadcast_if_small(weights), "rep")
-    return postings.join(lookups, [id_col, "word"])
+    ids = materialise(reduce(DataFrame.union, found), "query-survivors")
+    lookups = ids.join(broadcast_if_small(weights), "rep")
+    return postings.join(broadcast_if_small(materialise(lookups, "query-lookups")), [id_col, "word"])
 
 
 def batch_search(
@@ -225,6 +241,7 @@ def batch_search(
     dedupe_query_terms: bool = False,
     strategy: str = "bounded",
     profile: DataFrame | None = None,
+    blocks: DataFrame | None = None,
     query_col: str = "query_id",
     query_text_col: str = "text",
     id_col: str = "doc_id",
@@ -236,7 +253,9 @@ def batch_search(
     posting, for batches known to be small). Both give the same rows.
 
     ``postings`` is read several times and should be a stored table; ``query_col`` must be unique.
-    An ``impact_profile`` stored with the index saves the pass that computes it for the words of the queries.
+    An ``impact_profile`` stored with the index saves the pass that computes it for the words of the queries, and
+    ``posting_blocks`` let candidates be found without opening what is out of reach. What a batch does not need
+    (candidates, smallest ids, all postings of some queries) is not read for it.
     """
     check_k(k)
     if strategy not in ("direct", "bounded"):
@@ -256,11 +275,18 @@ def batch_search(
             profile = profile.join(vocabulary, "word", "left_semi")
         plan = materialise(query_plan(weights, profile, max(k, 1)), "query-plan")
         rest = plan.filter("NOT pruned AND NOT flat").select("rep", "n_tokens", "word", "weight")
-        parts = (
-            bounded_parts(relevant, plan, max(k, 1), id_col)
-            .select(*columns)
-            .unionByName(direct_parts(posted, rest).select(*columns))
-        )
+        kinds = {(r["pruned"], r["flat"]) for r in plan.select("pruned", "flat").distinct().collect()}  # four at most
+        ways = []
+        if any(not pruned and not flat for pruned, flat in kinds) or not kinds:
+            ways.append(direct_parts(posted, rest).select(*columns))
+        found = []
+        if any(pruned for pruned, _ in kinds):
+            found.append(candidates(relevant, plan, max(k, 1), id_col, blocks))
+        if any(flat for _, flat in kinds):
+            found.append(smallest_ids(relevant, plan, max(k, 1), id_col))
+        if found:
+            ways.append(completed(relevant, plan, found, id_col).select(*columns))
+        parts = reduce(DataFrame.unionByName, ways)
 
     scored = (
         parts.groupBy("rep", "n_tokens", id_col)

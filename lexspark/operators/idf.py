@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.scoring import inverse_document_frequency
 
+#: Sketches have at most ``2**SKETCH_LG_K`` registers.
+SKETCH_LG_K = 12
+
 
 def document_frequency(postings: DataFrame, id_col: str = "doc_id", unique: bool = True) -> DataFrame:
     """``(word, document_count)``. Postings of an index are unique on (id, word), so a plain
@@ -31,6 +34,34 @@ def vocabulary_size(postings: DataFrame) -> DataFrame:
     return postings.agg(F.count_distinct(F.col("word")).alias("vocabulary"))
 
 
+def document_sketches(raw: DataFrame, id_col: str = "doc_id", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """``(word, sketch)`` of the documents per word of raw tokens, for estimates without a distinct count.
+
+    Repeated tokens are combined map-side; sketches of several changes are merged by ``merge_sketches``.
+    """
+    return raw.groupBy("word").agg(F.hll_sketch_agg(id_col, lg_k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch per word from those of several changes; a document in two changes counts once."""
+    return sketches.groupBy("word").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimated_frequency(sketches: DataFrame) -> DataFrame:
+    """``(word, document_count)`` as estimated; ``sketch_error`` bounds how far off it is."""
+    return sketches.select("word", F.hll_sketch_estimate("sketch").alias("document_count"))
+
+
+def estimated_vocabulary(words: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """One row ``(vocabulary)`` as estimated from raw tokens or postings."""
+    return words.agg(F.hll_sketch_estimate(F.hll_sketch_agg("word", lg_k)).alias("vocabulary"))
+
+
+def sketch_error(lg_k: int = SKETCH_LG_K) -> float:
+    """Six relative standard errors of a sketch."""
+    return 6 * 1.04 / 2 ** (lg_k / 2)
+
+
 def build_idf(frequencies: DataFrame, total_documents: Column | DataFrame | int) -> DataFrame:
     """``(word, idf)`` from ``(word, document_count)`` and the number of stored documents.
 

@@ -5,11 +5,16 @@ Each takes ``(spark, sf_dir)`` and returns a DataFrame. ``plans.oracles`` has th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from lexspark.functions import sql
 from lexspark.functions.text import decode_query, is_valid_query
 from lexspark.operators import batch_search as batch
+from lexspark.operators import blocks as blocks_ops
 from lexspark.operators import documents as docs_ops
 from lexspark.operators import idf as idf_ops
 from lexspark.operators import index as index_ops
@@ -17,6 +22,7 @@ from lexspark.operators import search as search_ops
 from lexspark.plans import rendered_logs
 from lexspark.session import materialise, scratch_path
 from lexspark.sources import generate, json_docs, logs
+from lexspark.sources.bucketed import BucketedIndex
 from lexspark.sources.store import DocumentStore
 from lexspark.streaming import feeds
 
@@ -39,10 +45,15 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def index_and_idf(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents, stored postings and stored IDF: what a search service has at hand."""
     docs = table(spark, sf_dir, "documents")
-    postings = materialise(index_ops.build_index(docs), "postings")
+    postings = materialise(by_word(index_ops.build_index(docs)), "postings")
     return docs, postings, materialise(snapshot_of(docs, postings), "idf")
 
 
+def by_word(postings: DataFrame) -> DataFrame:
+    """Sorted within files, so that a scan for some words skips most row groups."""
+    return postings.sortWithinPartitions("word", F.desc("word_frequency"))
+
+
 def snapshot_of(docs: DataFrame, postings: DataFrame) -> DataFrame:
     total = idf_ops.document_count(index_ops.accepted_documents(docs)).scalar()
     return idf_ops.idf_snapshot(idf_ops.document_frequency(postings), total)
@@ -94,7 +105,7 @@ def postings_for_words(spark, sf_dir):
 def corpus_stats(spark, sf_dir):
     postings = materialise(index_ops.build_index(table(spark, sf_dir, "documents")), "postings")
     vocabulary = idf_ops.vocabulary_size(postings)
-    total = idf_ops.indexed_document_count(postings)
+    total = idf_ops.document_count(index_ops.accepted_documents(table(spark, sf_dir, "documents")))
     return total.select("total_documents", vocabulary.scalar().alias("vocabulary"))
 
 
@@ -102,6 +113,35 @@ def document_frequency(spark, sf_dir):
     return idf_ops.document_frequency(index_ops.build_index(table(spark, sf_dir, "documents")))
 
 
+def document_frequency_estimate(spark, sf_dir):
+    """Sketches per language, merged; whether each estimate is within its bound of the exact count."""
+    docs = table(spark, sf_dir, "documents")
+    raw = index_ops.exploded_tokens(docs).join(docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part")), "doc_id")
+    parts = raw.groupBy("part", "word").agg(F.hll_sketch_agg("doc_id", idf_ops.SKETCH_LG_K).alias("sketch"))
+    estimate = idf_ops.estimated_frequency(idf_ops.merge_sketches(parts)).withColumnRenamed("document_count", "_n")
+    exact = idf_ops.document_frequency(index_ops.build_index(docs))
+    near = F.abs(F.col("_n") - F.col("document_count")) <= F.ceil(F.col("document_count") * idf_ops.sketch_error())
+    return exact.join(estimate, "word").select("word", "document_count", near.alias("within_bound"))
+
+
+def vocabulary_estimate(spark, sf_dir):
+    postings = materialise(index_ops.build_index(table(spark, sf_dir, "documents")), "postings")
+    estimate = idf_ops.estimated_vocabulary(postings).scalar()
+    exact = F.col("vocabulary")
+    near = F.abs(estimate - exact) <= F.ceil(exact * idf_ops.sketch_error())
+    return idf_ops.vocabulary_size(postings).select("vocabulary", near.alias("within_bound"))
+
+
+def postings_blocks(spark, sf_dir):
+    """The postings out of their blocks, with the block's number and frequencies."""
+    made = blocks_ops.posting_blocks(index_ops.build_index(table(spark, sf_dir, "documents")))
+    stored = materialise(blocks_ops.block_order(made), "blocks")
+    each = stored.select("word", "block", "n", "tf_max", "tf_min", F.explode("postings").alias("p"))
+    columns = {"word_frequency": F.col("p.word_frequency"), "tf_max": F.col("tf_max"), "tf_min": F.col("tf_min")}
+    rounded = [F.round(c, 8).alias(name) for name, c in columns.items()]
+    return each.select("word", "block", "n", F.col("p.doc_id").alias("doc_id"), *rounded)
+
+
 def document_frequency_raw(spark, sf_dir):
     raw = index_ops.exploded_tokens(table(spark, sf_dir, "documents"))
     return idf_ops.document_frequency(raw, unique=False)
@@ -114,7 +154,7 @@ def idf(spark, sf_dir):
 def idf_merge_stale(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     old = corpus_idf(docs.filter(F.col("lang") == "en"))
-    new = corpus_idf(docs.filter(F.col("lang") != "en"))
+    new = corpus_idf(docs.filter(F.coalesce("lang", F.lit("")) != "en"))
     return idf_ops.merge_idf(old, new).withColumn("idf", F.round("idf", 8))
 
 
@@ -161,6 +201,77 @@ def batch_search_direct(spark, sf_dir):
     return _batch(spark, sf_dir, strategy="direct")
 
 
+def batch_search_blocks(spark, sf_dir):
+    """Candidates from the posting blocks in reach, with the stored profile."""
+    docs, postings, snapshot = index_and_idf(spark, sf_dir)
+    blocks = materialise(blocks_ops.block_order(blocks_ops.posting_blocks(postings)), "blocks")
+    profile = materialise(batch.impact_profile(postings), "profile")
+    queries = table(spark, sf_dir, "benchmark")
+    return batch.batch_search(queries, postings, snapshot, docs, query_col="item_id", blocks=blocks, profile=profile)
+
+
+def _bucketed(spark, sf_dir) -> BucketedIndex:
+    path = scratch_path(spark, "bucketed")
+    name = "lexspark_" + path.rsplit("-", 1)[1]
+    return BucketedIndex(spark, name, path, buckets=8).build(table(spark, sf_dir, "documents"))
+
+
+def posting_weights(spark, sf_dir):
+    """Frequency times IDF of every posting, from tables that are bucketed by word."""
+    return _bucketed(spark, sf_dir).weights().withColumn("weight", F.round("weight", 8))
+
+
+def batch_search_bucketed(spark, sf_dir):
+    index = _bucketed(spark, sf_dir)
+    docs, queries = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return batch.batch_search(queries, index.postings(), index.idf(), docs, query_col="item_id", profile=index.profile())
+
+
+def _registered(spark, sf_dir) -> str:
+    """An index as SQL views and functions; returns their prefix."""
+    prefix = "lexspark_"
+    docs, postings, snapshot = index_and_idf(spark, sf_dir)
+    sql.register(spark, docs, postings, snapshot, prefix)
+    return prefix
+
+
+def sql_search(spark, sf_dir):
+    p = _registered(spark, sf_dir)
+    return spark.sql(f"SELECT doc_id, score, text FROM {p}search({sql.literal(SEARCH_TEXT)}, 3)")
+
+
+def sql_tokens(spark, sf_dir):
+    p = _registered(spark, sf_dir)
+    return spark.sql(
+        f"""SELECT doc_id, word, count(*) AS n
+        FROM (SELECT doc_id, explode_outer(ws) AS word FROM (SELECT doc_id, {p}tokens(text) AS ws FROM {p}documents))
+        WHERE word IS NOT NULL GROUP BY doc_id, word"""
+    )
+
+
+def sql_statements(spark, sf_dir):
+    """Postings of some words with the IDF and the number of documents of each, in one statement."""
+    p = _registered(spark, sf_dir)
+    words = ", ".join(sql.literal(w) for w in LOOKUP_WORDS)
+    return spark.sql(
+        f"""SELECT t.word, t.doc_id, round(t.word_frequency, 8) AS word_frequency, round(i.idf, 8) AS idf, c.document_count
+        FROM {p}postings_of(array({words})) t JOIN {p}idf i ON i.word = t.word
+        JOIN (SELECT word, count(DISTINCT doc_id) AS document_count FROM {p}postings GROUP BY word) c ON c.word = t.word"""
+    )
+
+
+def search_as_of(spark, sf_dir):
+    """Current postings with the IDF snapshot that was made when only English documents were there."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
+    store = new_store(spark)
+    store.append(docs.filter("lang = 'en'"))
+    early = store.refresh_idf()
+    store.append(docs.filter("lang <> 'en'"))
+    store.refresh_idf()
+    store.compact()
+    return store.search(SEARCH_TEXT, k=20, as_of=early)
+
+
 def batch_search_everywhere(spark, sf_dir):
     """A word that all documents have, alone and among others: its weight is negative."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("everywhere "), "text").alias("text"))
@@ -196,13 +307,13 @@ def _word_queries(spark, sf_dir):
     return words.select((F.col("item_id") * 1000 + F.col("position")).alias("query_id"), F.col("word").alias("text"))
 
 
-def search_json(spark, sf_dir):
-    docs, postings, snapshot = index_and_idf(spark, sf_dir)
+def _json_queries(spark, sf_dir):
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     stopwords = asked.select((-F.col("query_id") - 1).alias("query_id"), F.lit("to be or what").alias("text"))
-    queries = asked.unionByName(stopwords)
-    results = batch.batch_search(queries, postings, snapshot, docs)
-    response = search_ops.results_as_json(results, queries)
+    return asked.unionByName(stopwords)
+
+
+def _parsed(response: DataFrame) -> DataFrame:
     schema = "message string, results array<struct<doc_id:string,score:double,text:string>>"
     parsed = response.select("query_id", F.from_json("response", schema).alias("r"))
     return parsed.select("query_id", "r.message", F.posexplode_outer("r.results").alias("position", "hit")).select(
@@ -210,6 +321,27 @@ def search_json(spark, sf_dir):
     )
 
 
+def search_json(spark, sf_dir):
+    docs, postings, snapshot = index_and_idf(spark, sf_dir)
+    queries = _json_queries(spark, sf_dir)
+    results = batch.batch_search(queries, postings, snapshot, docs)
+    return _parsed(search_ops.results_as_json(results, queries))
+
+
+def stream_search(spark, sf_dir):
+    """A stream of queries against a store, in two batches."""
+    store = new_store(spark)
+    store.append(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    store.refresh_idf()
+    path, offsets = scratch_path(spark, "responses"), scratch_path(spark, "offsets")
+    delivered(
+        _json_queries(spark, sf_dir),
+        ["query_id >= 0", "query_id < 0"],
+        lambda queries: feeds.answer_queries(store, queries, path, offsets),
+    )
+    return _parsed(feeds.answers(spark, path))
+
+
 def _search_requests(spark, sf_dir, max_bytes=None):
     log = table(spark, sf_dir, "documents").select("doc_id", F.url_encode("text").alias("raw"))
     query = decode_query(F.col("raw"))
@@ -417,22 +549,28 @@ def query_workload(spark, sf_dir):
 # -- streams, run to the end of the input ---------------------------------------------------------
 
 
-def batched_stream(df: DataFrame, parts: list) -> DataFrame:
-    """A file stream that delivers the rows of each condition in a batch of its own, in order."""
+def delivered(df: DataFrame, parts: list, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Runs a stream over the rows of each condition in a batch of its own, in order.
+
+    The rows of a part are written as files of a folder, as many as there are tasks, and the stream that ``start``
+    begins takes what is new there, goes on from its checkpoint and ends. Parts without rows give no batch.
+    """
     path = scratch_path(df.sparkSession, "feed")
-    for part in parts:  # one file per batch: the stream takes one file at a time
-        df.filter(part).coalesce(1).write.mode("append").parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for part in parts:
+        rows = df.filter(part)
+        if not rows.isEmpty():
+            rows.write.mode("append").parquet(path)
+            start(df.sparkSession.readStream.schema(df.schema).parquet(path)).awaitTermination()
 
 
 def thirds(key: str) -> list:
-    return [F.col(key) % 3 == i for i in range(-2, 3)]
+    return [F.pmod(F.col(key), F.lit(3)) == i for i in range(3)]
 
 
-def _ingested(spark, sf_dir) -> DocumentStore:
-    store = new_store(spark)
+def _ingested(spark, sf_dir, store: DocumentStore | None = None) -> DocumentStore:
+    store, offsets = store or new_store(spark), scratch_path(spark, "offsets")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    feeds.ingest_documents(store, batched_stream(docs, thirds("doc_id")), scratch_path(spark, "offsets")).awaitTermination()
+    delivered(docs, thirds("doc_id"), lambda stream: feeds.ingest_documents(store, stream, offsets))
     return store
 
 
@@ -450,14 +588,16 @@ def stream_two_feeds(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(
         (-1000 * F.col("conv_id") - F.col("turn") - 1).alias("doc_id"), "text"
     )
-    feeds.ingest_documents(store, batched_stream(turns, thirds("doc_id")), scratch_path(spark, "offsets")).awaitTermination()
+    offsets = scratch_path(spark, "offsets")
+    delivered(turns, thirds("doc_id"), lambda stream: feeds.ingest_documents(store, stream, offsets))
     return _rounded(store)
 
 
 def _deleted(spark, sf_dir) -> DocumentStore:
     store = _ingested(spark, sf_dir)
     ids = table(spark, sf_dir, "labels").select("doc_id")
-    feeds.delete_documents(store, batched_stream(ids, thirds("doc_id")), scratch_path(spark, "offsets")).awaitTermination()
+    offsets = scratch_path(spark, "offsets")
+    delivered(ids, thirds("doc_id"), lambda stream: feeds.delete_documents(store, stream, offsets))
     return store
 
 
@@ -475,8 +615,8 @@ def stream_changes(spark, sf_dir):
         F.when(turn % 4 == 3, "delete").otherwise("upsert").alias("op"),
         turn.alias("seq"),
     )
-    stream = batched_stream(changes, ["seq < 2", "seq >= 2 AND seq < 4", "seq >= 4"])
-    feeds.apply_changes(store, stream, scratch_path(spark, "offsets")).awaitTermination()
+    parts, offsets = ["seq < 2", "seq >= 2 AND seq < 4", "seq >= 4"], scratch_path(spark, "offsets")
+    delivered(changes, parts, lambda stream: feeds.apply_changes(store, stream, offsets))
     return _rounded(store)
 
 
@@ -504,22 +644,38 @@ def stream_idf(spark, sf_dir):
     return store.idf().select("word", F.round("idf", 8).alias("idf"))
 
 
+def _saved_updates(counts: DataFrame, sink: str, offsets: str) -> StreamingQuery:
+    """A running stream that keeps the updates of every batch under ``sink/batch=<number>``."""
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    writer = counts.writeStream.outputMode("update").option("checkpointLocation", offsets)
+    return writer.trigger(availableNow=True).foreachBatch(save).start()
+
+
 def stream_df(spark, sf_dir):
     counts = feeds.running_document_frequency(table_stream(spark, sf_dir, "documents"))
     sink = scratch_path(spark, "running-df")
+    _saved_updates(counts, sink, scratch_path(spark, "df-offsets")).awaitTermination()
+    return feeds.latest_counts(spark.read.parquet(sink))
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    (
-        counts.writeStream.outputMode("update")
-        .option("checkpointLocation", scratch_path(spark, "df-offsets"))
-        .trigger(availableNow=True)
-        .foreachBatch(save)
-        .start()
-        .awaitTermination()
+def stream_df_changes(spark, sf_dir):
+    """All documents come, every fifth twice; then the labelled ones go."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    start = 1_700_000_000
+    at = lambda second: F.timestamp_seconds(F.lit(start + second))
+    came = docs.select(F.concat(F.lit("+"), "doc_id").alias("change_id"), "text", F.lit(1).alias("delta"), at(0).alias("at"))
+    again = came.filter(F.pmod(F.xxhash64("change_id"), F.lit(5)) == 0).withColumn("at", at(60))
+    gone = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi").select(
+        F.concat(F.lit("-"), "doc_id").alias("change_id"), "text", F.lit(-1).alias("delta"), at(120).alias("at")
     )
-    return feeds.latest_counts(spark.read.parquet(sink))
+    changes = came.unionByName(again).unionByName(gone)
+    sink, offsets = scratch_path(spark, "running-df"), scratch_path(spark, "df-offsets")
+    parts = [(F.col("delta") == d) & (F.col("at") == at(t)) for d, t in ((1, 0), (1, 60), (-1, 120))]
+    delivered(changes, parts, lambda s: _saved_updates(feeds.running_frequency_of_changes(s), sink, offsets))
+    return feeds.last_counts(spark.read.parquet(sink))
 
 
 QUERIES = {
@@ -533,6 +689,8 @@ QUERIES = {
         rejected_documents, json_ingest, upsert_postings, insert_generated, upsert_duplicates, store_lifecycle,
         pidstat_summary, pidstat_files, iostat_summary, iostat_first_samples,
         run_report, run_report_insert, run_metrics, run_metrics_floor, corpus_popular, corpus_chars,
+        document_frequency_estimate, vocabulary_estimate, postings_blocks, batch_search_blocks, posting_weights,
+        batch_search_bucketed, sql_search, sql_tokens, sql_statements, search_as_of, stream_search, stream_df_changes,
         query_workload, stream_ingest_tf, stream_two_feeds, stream_deletes, stream_changes, stream_json, stream_idf,
         stream_df,
     )

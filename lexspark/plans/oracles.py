@@ -78,7 +78,8 @@ WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
 
 def mixed(number: str, times: int) -> str:
     for _ in range(times):
-        number = f"(({number} * {number} + {number} + 7) % {generate.PRIME})"
+        p = generate.PRIME
+        number = f"list_transform([{number}], lambda x: ((x * x % {p}) * (x * x % {p}) % {p} * x + 7) % {p})[1]"
     return number
 
 
@@ -172,7 +173,7 @@ SELECT word, count(DISTINCT doc_id) AS document_count FROM tf GROUP BY word""",
 SELECT word, count(DISTINCT doc_id) AS document_count FROM tf_words GROUP BY word""",
     "idf": f"WITH {term_ctes()}, {idf_ctes()} SELECT word, round(idf, 8) AS idf FROM idf",
     "idf_merge_stale": f"""WITH {term_ctes("(SELECT * FROM documents WHERE lang = 'en')", name='a')},
-{term_ctes("(SELECT * FROM documents WHERE lang <> 'en')", name='b')}, {idf_ctes('a', 'before')}, {idf_ctes('b', 'after')}
+{term_ctes("(SELECT * FROM documents WHERE coalesce(lang, '') <> 'en')", name='b')}, {idf_ctes('a', 'before')}, {idf_ctes('b', 'after')}
 SELECT word, round(coalesce(after.idf, before.idf), 8) AS idf FROM before FULL JOIN after USING (word)""",
     "search_top3": search_sql(catalog.SEARCH_TEXT),
     "search_repeat_warm": search_sql(catalog.REPEATED_TEXT),
@@ -262,3 +263,27 @@ ORACLES["stream_idf"] = f"""WITH left_over AS (SELECT doc_id, CASE WHEN doc_id %
     FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)), {term_ctes('left_over')}, {idf_ctes()}
 SELECT word, round(idf, 8) AS idf FROM idf"""
 ORACLES["stream_df"] = ORACLES["document_frequency"]
+ORACLES["document_frequency_estimate"] = f"""WITH {term_ctes()}
+SELECT word, count(DISTINCT doc_id) AS document_count, true AS within_bound FROM tf GROUP BY word"""
+ORACLES["vocabulary_estimate"] = f"""WITH {term_ctes()}
+SELECT count(DISTINCT word) AS vocabulary, true AS within_bound FROM tf"""
+ORACLES["postings_blocks"] = f"""WITH {term_ctes()}, placed AS (SELECT word, doc_id, word_frequency,
+    (row_number() OVER (PARTITION BY word ORDER BY word_frequency DESC, doc_id) - 1) // 128 AS block FROM tf)
+SELECT word, block, doc_id, round(word_frequency, 8) AS word_frequency, (count(*) OVER b)::INT AS n,
+    round(max(word_frequency) OVER b, 8) AS tf_max, round(min(word_frequency) OVER b, 8) AS tf_min
+FROM placed WINDOW b AS (PARTITION BY word, block)"""
+ORACLES["batch_search_blocks"] = batch_sql()
+ORACLES["batch_search_bucketed"] = batch_sql()
+ORACLES["posting_weights"] = f"""WITH {term_ctes()}, {idf_ctes()}
+SELECT doc_id, word, round(word_frequency * idf, 8) AS weight FROM tf JOIN idf USING (word)"""
+ORACLES["sql_search"] = ORACLES["search_top3"]
+ORACLES["sql_tokens"] = ORACLES["tokens"]
+ORACLES["sql_statements"] = f"""WITH {term_ctes()}, {idf_ctes()}
+SELECT word, doc_id, round(word_frequency, 8) AS word_frequency, round(idf, 8) AS idf,
+    count(*) OVER (PARTITION BY word) AS document_count
+FROM tf JOIN idf USING (word) WHERE word IN ({', '.join(quoted(w) for w in catalog.LOOKUP_WORDS)})"""
+ORACLES["search_as_of"] = ORACLES["search_stale_idf"]
+ORACLES["stream_search"] = ORACLES["search_json"]
+ORACLES["stream_df_changes"] = f"""WITH left_over AS (SELECT doc_id, text FROM documents
+    WHERE doc_id NOT IN (SELECT doc_id FROM labels)), {term_ctes('left_over')}
+SELECT word, count(DISTINCT doc_id) AS document_count FROM tf GROUP BY word"""

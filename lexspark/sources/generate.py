@@ -39,8 +39,15 @@ LETTERS_PER_DRAW = 6
 DIGITS_27 = "0123456789ABCDEFGHIJKLMNOPQ"
 
 
+def _step(value: Column) -> Column:
+    """The fifth power plus seven modulo ``PRIME``: one to one, as 5 has no factor in common with ``PRIME - 1``."""
+    square = (value * value) % PRIME
+    return ((square * square) % PRIME * value + 7) % PRIME
+
+
 def _mix(value: Column) -> Column:
-    return (value * value + value + 7) % PRIME
+    """``_step`` of a value that is computed once: a lambda variable is, a nested expression is repeated."""
+    return F.element_at(F.transform(F.array(value), _step), 1)
 
 
 def _states(row_id: Column, seed: int) -> tuple[Column, Column]:
@@ -63,10 +70,9 @@ def draws(row_id: Column, count: int, seed: int) -> Column:
     positions = F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
 
     def from_states(states: Column) -> Column:
-        # One step per transform: a lambda variable is computed once, a nested expression is repeated.
-        one = F.transform(F.transform(positions, lambda p: (states["low"] + p * 69621) % PRIME), _mix)
+        one = F.transform(F.transform(positions, lambda p: (states["low"] + p * 69621) % PRIME), _step)
         two = F.transform(positions, lambda p: (states["high"] + p * 39373) % PRIME)
-        return F.zip_with(F.transform(one, _mix), F.transform(two, _mix), lambda a, b: (a + b) % PRIME)
+        return F.zip_with(F.transform(one, _step), F.transform(two, _step), lambda a, b: (a + b) % PRIME)
 
     low, high = _states(row_id, seed)
     return F.element_at(F.transform(F.array(F.struct(low.alias("low"), high.alias("high"))), from_states), 1)

@@ -3,8 +3,10 @@
 Every change writes its rows under a folder with a name of its own, ``changes/<id>/<table>``, and becomes
 visible as a whole when one row naming that folder is added to ``manifest``. Nothing is overwritten, so
 writers do not disturb each other and what a failed change leaves behind is never read. A deletion hides the
-rows of its ids from earlier changes; ``compact`` rewrites what is left. Changes are ordered by the
-number in their manifest row, equal numbers of simultaneous writers by the id.
+rows of its ids from earlier changes; ``compact`` rewrites what is left and lists the changes it read, which later
+readers leave out, so a change that is published meanwhile is neither lost nor read twice. Changes are ordered
+by the number in their manifest row, equal numbers of simultaneous writers by the id. IDF snapshots are kept under
+their ids, so a search can use the one of an earlier time.
 
 Every operation reads the manifest once and works on that snapshot.
 """
@@ -13,11 +15,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property, reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,28 +31,31 @@ from lexspark.operators.index import build_index, with_token_flag
 from lexspark.operators.search import DEFAULT_K, search
 from lexspark.sources.json_docs import ACCEPTED, decode_documents
 
-NO_TOKENS = "no_tokens"
-MANIFEST_SCHEMA = "number bigint, id string, kind string, key string, n_documents bigint, made_at timestamp"
+NO_TOKENS, NO_ID = "no_tokens", "no_id"
+MANIFEST_COLUMNS = "number bigint, id string, kind string, key string, n_documents bigint, folded array<string>"
+MANIFEST_SCHEMA = f"{MANIFEST_COLUMNS}, made_at timestamp"
 #: Kinds of changes that hold documents, and kinds that delete ids.
 HOLDING, DELETING = ("compact", "append", "replace"), ("replace", "delete")
 
 
 class Snapshot:
-    """The state of a store as of one reading of its manifest: all changes since the last compaction."""
+    """The state of a store as of one reading of its manifest: the changes that no compaction has read yet,
+    compactions among them."""
 
     def __init__(self, store: DocumentStore, changes: list[Row]) -> None:
         self.store, self.changes = store, changes
 
-    def place(self, number: int, change: str) -> str:
-        """Sorts like the order of changes."""
-        return f"{number:020d}-{change}"
+    def place(self, change: Row) -> str:
+        """Sorts like the order of changes. A compaction has the number of the last change it read and comes
+        before others of that number, so what they delete is deleted from it too."""
+        return f"{change['number']:020d}-{'' if change['kind'] == 'compact' else change['id']}"
 
     def read(self, table: str, kinds: tuple[str, ...]) -> DataFrame:
         """Rows of a table with the place of their change."""
         schema = self.store.schemas[table]
         wanted = [c for c in self.changes if c["kind"] in kinds]
         parts = [
-            self.store.open(table, c["id"]).withColumn("_place", F.lit(self.place(c["number"], c["id"]))) for c in wanted
+            self.store.open(table, c["id"]).withColumn("_place", F.lit(self.place(c))) for c in wanted
         ]
         if not parts:
             return self.store.spark.createDataFrame([], f"{schema}, _place string")
@@ -135,13 +141,13 @@ class DocumentStore:
             return None
 
     def snapshot(self) -> Snapshot:
-        """The changes since the last compaction, which is the first of them; read in one job."""
+        """The changes that no compaction lists; read in one job."""
         manifest = self._manifest()
         if manifest is None:
             return Snapshot(self, [])
-        last = manifest.filter("kind = 'compact'").agg(F.coalesce(F.max("number"), F.lit(0))).scalar()
-        rows = manifest.filter(F.col("number") >= last).collect()
-        return Snapshot(self, sorted(rows, key=lambda r: (r["number"], r["id"])))
+        folded = manifest.select(F.explode("folded").alias("_folded"))
+        rows = manifest.join(folded, F.col("id") == F.col("_folded"), "left_anti").drop("folded").collect()
+        return Snapshot(self, sorted(rows, key=lambda r: (r["number"], r["kind"] != "compact", r["id"])))
 
     def commits(self) -> list[Row]:
         return self.snapshot().changes
@@ -151,11 +157,10 @@ class DocumentStore:
         manifest = self._manifest()
         return manifest is not None and not manifest.filter(F.col("key") == key).isEmpty()
 
-    def _publish(self, number: int, change: str, kind: str, key: str | None, n_documents: int = 0) -> None:
-        entry = self.spark.createDataFrame(
-            [(number, change, kind, key, n_documents)],
-            "number bigint, id string, kind string, key string, n_documents bigint",
-        )
+    def _publish(
+        self, number: int, change: str, kind: str, key: str | None, n_documents: int = 0, folded: list[str] | None = None
+    ) -> None:
+        entry = self.spark.createDataFrame([(number, change, kind, key, n_documents, folded)], MANIFEST_COLUMNS)
         entry.coalesce(1).withColumn("made_at", F.current_timestamp()).write.mode("append").parquet(
             f"{self.path}/manifest"
         )
@@ -177,7 +182,10 @@ class DocumentStore:
 
     def _write(self, df: DataFrame, table: str, change: str) -> DataFrame:
         names = T._parse_datatype_string(self.schemas[table]).names
-        df.select(*names).write.mode("errorifexists").parquet(f"{self.path}/changes/{change}/{table}")
+        writer = df.select(*names).write.mode("errorifexists")
+        if "doc_id" in names[:1] and table != "postings":  # a look-up by id skips row groups without it
+            writer = writer.option("parquet.bloom.filter.enabled#doc_id", "true")
+        writer.parquet(f"{self.path}/changes/{change}/{table}")
         return self.open(table, change)
 
     def open(self, table: str, change: str) -> DataFrame:
@@ -195,9 +203,26 @@ class DocumentStore:
         """``(doc_id, text, reason)`` of everything that was handed in and not stored."""
         return self.snapshot().rejected()
 
-    def idf(self) -> DataFrame:
-        """The newest snapshot, which may be older than the postings."""
-        return self.snapshot().idf()
+    def idf(self, as_of: str | datetime | None = None) -> DataFrame:
+        """The newest snapshot, which may be older than the postings; or that of an id (as ``refresh_idf``
+        returned it), or the last one made up to a time. Without such a snapshot it is empty."""
+        if as_of is None:
+            return self.snapshot().idf()
+        listed = self.idf_snapshots()
+        chosen = F.col("snapshot_id") == as_of if isinstance(as_of, str) else F.col("computed_at") <= F.lit(as_of)
+        last = listed.filter(chosen).orderBy(F.desc("number"), F.desc("computed_at"), F.desc("snapshot_id")).first()
+        if last is None:
+            return self.spark.createDataFrame([], self.schemas["idf"])
+        return self.open("idf", last["snapshot_id"])
+
+    def idf_snapshots(self) -> DataFrame:
+        """``(snapshot_id, number, computed_at)`` of all IDF snapshots ever made."""
+        manifest = self._manifest()
+        if manifest is None:
+            manifest = self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        return manifest.filter("kind = 'idf'").select(
+            F.col("id").alias("snapshot_id"), "number", F.col("made_at").alias("computed_at")
+        )
 
     def get(self, doc_id: Any) -> DataFrame:
         return get_document(self.documents(), doc_id)
@@ -214,8 +239,10 @@ class DocumentStore:
         next compaction drops these rows. ``deleted`` are further ids to delete.
         """
         stamped = docs.select("doc_id", "text", F.current_timestamp().cast("timestamp_ntz").alias("created_at"), "status")
-        # Ids are fixed by writing the documents before anything is derived from them.
-        written = self._write(stamped, "documents", change)
+        # Ids are fixed by writing the documents before anything is derived from them; they are counted on the way.
+        counted = Observation()
+        n_accepted = F.count(F.when(F.col("status") == ACCEPTED, 1)).alias("accepted")
+        written = self._write(stamped.observe(counted, n_accepted), "documents", change)
         self._write(
             written.filter(F.col("status") != ACCEPTED).withColumnRenamed("status", "reason"), "rejected", change
         )
@@ -227,13 +254,14 @@ class DocumentStore:
         if replace or deleted is not None:
             ids = accepted.select("doc_id") if replace else self.open("documents", change).limit(0).select("doc_id")
             self._write(ids if deleted is None else ids.unionByName(deleted.select("doc_id")), "deletions", change)
-        return "replace" if replace or deleted is not None else "append", accepted.count()
+        return "replace" if replace or deleted is not None else "append", counted.get["accepted"]
 
     @staticmethod
     def _judged(docs: DataFrame) -> DataFrame:
         text = F.coalesce("text", F.lit(""))
         flagged = with_token_flag(docs.withColumn("text", text))
-        return flagged.withColumn("status", F.when(F.col("has_tokens"), ACCEPTED).otherwise(NO_TOKENS))
+        status = F.when(F.col("doc_id").isNull(), NO_ID).when(F.col("has_tokens"), ACCEPTED).otherwise(NO_TOKENS)
+        return flagged.withColumn("status", status)
 
     def insert(self, texts: DataFrame, key: str | None = None) -> str | None:
         """Store texts under new ids. Equal texts give different documents; texts without tokens
@@ -256,22 +284,30 @@ class DocumentStore:
         """Store documents under their own ids, replacing earlier versions as a whole.
 
         Of several rows with one id the last by ``order_col`` counts; without it, repeated ids are an error.
-        A document without tokens is rejected and leaves its earlier version as it is.
+        A document without tokens is rejected and leaves its earlier version as it is; rows without an id are
+        rejected.
         """
+        nameless, named = docs.filter("doc_id IS NULL"), docs.filter("doc_id IS NOT NULL")
         if order_col:
-            last = docs.groupBy("doc_id").agg(F.max_by("text", order_col).alias("text"))
+            last = named.groupBy("doc_id").agg(F.max_by("text", order_col).alias("text"))
         else:
-            last = docs.groupBy("doc_id").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("_n"))
+            last = named.groupBy("doc_id").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("_n"))
             unique = F.col("_n") == 1
             complaint = F.raise_error(F.concat(F.lit("several rows and no order for id "), F.col("doc_id").cast("string")))
             last = last.withColumn("text", F.when(unique, F.col("text")).otherwise(complaint.cast("string")))
-        return self._change(key, lambda change: self._fill(change, self._judged(last.select("doc_id", "text")), True))
+        rows = last.select("doc_id", "text").unionByName(nameless.select("doc_id", "text"))
+        return self._change(key, lambda change: self._fill(change, self._judged(rows), True))
 
     def apply_changes(self, changes: DataFrame, key: str | None = None) -> str | None:
         """Apply ``(doc_id, text, op, seq)`` rows, ``op`` being ``upsert`` or ``delete``; per id the
-        operation with the highest ``seq`` counts."""
-        last = changes.groupBy("doc_id").agg(F.max(F.struct("seq", "op", "text")).alias("_last"))
+        operation with the highest ``seq`` counts. Any other ``op`` is an error and nothing is applied; an
+        upsert without an id is rejected."""
+        complaint = F.raise_error(F.concat(F.lit("unknown operation: "), F.coalesce("op", F.lit("null"))))
+        known = F.when(F.col("op").isin("upsert", "delete"), F.col("op")).otherwise(complaint.cast("string"))
+        judged = changes.withColumn("op", known)
+        last = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct("seq", "op", "text")).alias("_last"))
         latest = last.select("doc_id", "_last.op", "_last.text")
+        latest = latest.unionByName(judged.filter("doc_id IS NULL").select("doc_id", "op", "text"))
         kept, gone = latest.filter("op = 'upsert'").select("doc_id", "text"), latest.filter("op = 'delete'")
         return self._change(key, lambda change: self._fill(change, self._judged(kept), True, gone))
 
@@ -294,22 +330,29 @@ class DocumentStore:
     def compact(self) -> str | None:
         """Rewrite documents by id and postings by word, dropping what deletions hide; rejects are kept.
 
-        Ranges split on a second column too, so one frequent word spreads over several files. Changes that
-        others publish meanwhile have later numbers than what was read here only if they come after;
-        compact while nobody writes.
+        Ranges split on a second column too, so one frequent word spreads over several files. Others may write
+        meanwhile: only the changes that were read here are left out later on. One compaction at a time.
         """
         seen = self.snapshot()
-
-        def write(change: str) -> tuple[str, int]:
-            documents = seen.documents().withColumn("status", F.lit(ACCEPTED))
-            held = self._write(documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), "documents", change)
-            order = ["word", F.desc("word_frequency"), "doc_id"]
-            self._write(seen.postings().repartitionByRange(*order).sortWithinPartitions(*order), "postings", change)
-            for table, rows in (("rejected", seen.rejected()), ("counts", seen.word_counts()), ("idf", seen.idf())):
-                self._write(rows, table, change)
-            return "compact", held.count()
-
-        return self._change(None, write)
+        if seen.changes:
+            change = uuid.uuid4().hex
+            n_documents = self._compacted(seen, change)
+            folded = [c["id"] for c in seen.changes]
+            self._publish(seen.changes[-1]["number"], change, "compact", None, n_documents, folded)
+            return change
+        return None
+
+    def _compacted(self, seen: Snapshot, change: str) -> int:
+        """Fills the folder of a compaction; returns the number of documents."""
+        counted = Observation()
+        documents = seen.documents().withColumn("status", F.lit(ACCEPTED)).repartitionByRange("doc_id")
+        ordered = documents.sortWithinPartitions("doc_id").observe(counted, F.count(F.lit(1)).alias("n"))
+        self._write(ordered, "documents", change)
+        order = ["word", F.desc("word_frequency"), "doc_id"]
+        self._write(seen.postings().repartitionByRange(*order).sortWithinPartitions(*order), "postings", change)
+        for table, rows in (("rejected", seen.rejected()), ("counts", seen.word_counts()), ("idf", seen.idf())):
+            self._write(rows, table, change)
+        return counted.get["n"]
 
     def refresh_idf(self, retain_missing: bool = False, key: str | None = None) -> str | None:
         """Write a new IDF snapshot; counts and total come from one snapshot of the store.
@@ -329,12 +372,23 @@ class DocumentStore:
 
     # -- search ----------------------------------------------------------------------------------
 
-    def search(self, query: str, k: int = DEFAULT_K, dedupe_query_terms: bool = False) -> DataFrame:
-        """``(doc_id, score, text)``, best first, from one snapshot."""
+    def search(
+        self, query: str, k: int = DEFAULT_K, dedupe_query_terms: bool = False, as_of: str | datetime | None = None
+    ) -> DataFrame:
+        """``(doc_id, score, text)``, best first, from one snapshot; ``as_of`` chooses an earlier IDF (see ``idf``)."""
         seen = self.snapshot()
-        return search(query, seen.postings(), seen.idf(), seen.documents(), k, dedupe_query_terms)
-
-    def batch_search(self, queries: DataFrame, k: int = DEFAULT_K, with_text: bool = True, **options: Any) -> DataFrame:
+        idf = seen.idf() if as_of is None else self.idf(as_of)
+        return search(query, seen.postings(), idf, seen.documents(), k, dedupe_query_terms)
+
+    def batch_search(
+        self,
+        queries: DataFrame,
+        k: int = DEFAULT_K,
+        with_text: bool = True,
+        as_of: str | datetime | None = None,
+        **options: Any,
+    ) -> DataFrame:
         seen = self.snapshot()
         documents = seen.documents() if with_text else None
-        return batch_search(queries, seen.postings(), seen.idf(), documents, k, **options)
+        idf = seen.idf() if as_of is None else self.idf(as_of)
+        return batch_search(queries, seen.postings(), idf, documents, k, **options)

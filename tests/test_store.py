@@ -1,3 +1,5 @@
+import glob
+
 import models
 import pytest
 
@@ -183,3 +185,75 @@ def test_stored_precision(spark):
     store.upsert(docs(spark, (1, "a1 b1 c1")))
     assert dict(store.postings().dtypes)["word_frequency"] == "float"
     assert {round(r.word_frequency, 6) for r in store.postings().collect()} == {0.333333}
+
+
+def test_a_change_that_is_published_during_a_compaction_stays(spark, store, monkeypatch):
+    store.append(docs(spark, (1, "apple pear"), (2, "plum"), (3, "melon")))
+    store.delete(ids(spark, 3))
+    compacted = store._compacted
+
+    def interrupted(seen, change):
+        store.upsert(docs(spark, (4, "cherry"), (1, "fig")))
+        store.delete(ids(spark, 2))
+        return compacted(seen, change)
+
+    monkeypatch.setattr(store, "_compacted", interrupted)
+    store.compact()
+    assert texts_of(store) == {1: "fig", 4: "cherry"}
+    monkeypatch.setattr(store, "_compacted", compacted)
+    store.append(docs(spark, (5, "lime")))
+    store.compact()
+    assert texts_of(store) == {1: "fig", 4: "cherry", 5: "lime"}
+    assert len(store.commits()) == 1 and store.snapshot().total_documents() == 3
+    store.refresh_idf()
+    assert {r.word: r.document_count for r in store.idf().collect()} == {"fig": 1, "cherry": 1, "lime": 1}
+
+
+def test_unknown_operations_are_errors(spark, store):
+    schema = "doc_id bigint, text string, op string, seq int"
+    for op in ("UPSERT", "merge", None):
+        rows = [(1, "apple", "upsert", 1), (2, "pear", op, 2)]
+        with pytest.raises(Exception, match="unknown operation"):
+            store.apply_changes(spark.createDataFrame(rows, schema))
+    assert texts_of(store) == {} and store.commits() == []
+
+
+def test_rows_without_an_id_are_rejected(spark, store):
+    store.upsert(docs(spark, (None, "apple"), (None, "pear"), (1, "plum")))
+    store.append(docs(spark, (None, "fig"), (2, "lime")))
+    rows = [(None, "kiwi", "upsert", 1), (None, None, "delete", 2), (3, "date", "upsert", 3)]
+    store.apply_changes(spark.createDataFrame(rows, "doc_id bigint, text string, op string, seq int"))
+    assert texts_of(store) == {1: "plum", 2: "lime", 3: "date"}
+    lost = sorted((r.text, r.reason) for r in store.rejected().collect())
+    assert lost == [(t, "no_id") for t in ("apple", "fig", "kiwi", "pear")]
+
+
+def test_idf_snapshots_by_id_and_time(spark, store):
+    store.append(docs(spark, (1, "apple pear"), (2, "plum")))
+    first = store.refresh_idf()
+    store.append(docs(spark, (3, "apple plum"), (4, "lime")))
+    second = store.refresh_idf()
+    store.compact()
+    made = {r.snapshot_id: r.computed_at for r in store.idf_snapshots().collect()}
+    assert set(made) == {first, second}
+    old = {r.word: r.document_count for r in store.idf(first).collect()}
+    assert old == {"apple": 1, "pear": 1, "plum": 1}
+    assert {r.word for r in store.idf(made[first]).collect()} == set(old)
+    assert {r.word for r in store.idf(made[second]).collect()} == {"apple", "pear", "plum", "lime"} == {r.word for r in store.idf().collect()}
+    assert store.idf("none").count() == 0
+    scores = {r.doc_id: r.score for r in store.search("lime apple", as_of=first).collect()}
+    assert scores[4] == 0 and set(scores) == {1, 3, 4}
+
+
+def test_documents_have_bloom_filters_on_their_ids(spark, store):
+    store.append(docs(spark, *[(i, f"word{i}") for i in range(50)]))
+    change = store.commits()[0]["id"]
+    pattern = f"{store.path}/changes/{change}/documents/*.parquet"
+    jvm, conf, files = spark._jvm, spark._jsc.hadoopConfiguration(), glob.glob(pattern)
+    assert files
+    for file in files:
+        source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        for block in reader.getFooter().getBlocks():
+            assert block.getColumns()[0].getBloomFilterOffset() > 0
+        reader.close()
