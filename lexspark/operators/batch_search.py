@@ -227,9 +227,8 @@ def smallest_ids(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> D
 def completed(postings: DataFrame, plan: DataFrame, found: list[DataFrame], id_col: str) -> DataFrame:
     """The parts of the candidates ``found`` only, looked up for all words of their query."""
     weights = plan.filter("pruned OR flat").select("rep", "n_tokens", "word", "weight")
-    ids = materialise(reduce(DataFrame.union, found), "query-survivors")
-    lookups = ids.join(broadcast_if_small(weights), "rep")
-    return postings.join(broadcast_if_small(materialise(lookups, "query-lookups")), [id_col, "word"])
+    lookups = materialise(reduce(DataFrame.union, found).join(broadcast_if_small(weights), "rep"), "query-lookups")
+    return postings.join(broadcast_if_small(lookups), [id_col, "word"])
 
 
 def batch_search(
