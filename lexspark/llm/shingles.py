@@ -7,8 +7,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 SHINGLE_WORDS = 5
-#: Texts are hashed together in blocks of about this many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+#: Texts are hashed together in blocks of at most this many bytes; a longer text is cut at white space into pieces of
+#: this size, so the work on it needs some bytes per word besides. Only a longer single word is hashed in one go.
+BLOCK_BYTES = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -18,18 +19,24 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACES = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
 
 _powers: dict[str, np.ndarray] = {}
 
 
 def _geometric(name: str, base: int, count: int) -> np.ndarray:
-    """The powers of ``base`` modulo 2**64, kept from call to call."""
-    have = _powers.get(name)
-    if have is None or len(have) < count:
-        steps = np.full(max(count, BLOCK_BYTES + 1), base, dtype=np.uint64)
-        steps[0] = 1
-        have = _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return have[:count]
+    """The powers of ``base`` modulo 2**64; those for a block are kept from call to call."""
+    if count <= BLOCK_BYTES:
+        if name not in _powers or len(_powers[name]) < BLOCK_BYTES:
+            _powers[name] = _new_powers(base, BLOCK_BYTES)
+        return _powers[name][:count]
+    return _new_powers(base, count)
+
+
+def _new_powers(base: int, count: int) -> np.ndarray:
+    steps = np.full(count, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,8 +46,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _block_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
-    joined = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words in ``data``, which ends with white space."""
+    joined = np.frombuffer(data, dtype=np.uint8)
     inside = ~_SPACE[joined]
     edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=np.int8(0)))
     starts, ends = edges[0::2], edges[1::2]
@@ -48,21 +56,55 @@ def _block_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
     down = _geometric("down", _INVERSE, len(joined))
     words = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _U(0x2545F4914F6CDD1D))
-    bounds = np.searchsorted(starts, np.cumsum([0, *[len(t) + 1 for t in texts]]))
+    return words, starts
+
+
+def _long_words(data: bytes) -> np.ndarray:
+    """The hashes of the words of a long text, piece by piece."""
+    found, start = [], 0
+    while start < len(data):
+        end = start + BLOCK_BYTES - 1
+        if end < len(data):
+            cut = max(data.rfind(space, start, end) for space in _SPACES)
+            if cut < 0:  # one word fills the piece
+                ahead = [data.find(space, end) for space in _SPACES]
+                cut = min((x for x in ahead if x >= 0), default=len(data))
+            end = cut + 1
+        found.append(_words(data[start:end] + b"\n")[0])
+        start = end
+    return np.concatenate(found)
+
+
+def _runs(words: np.ndarray) -> np.ndarray:
+    """The hash of the shingle that starts at each word, as far as there are enough words."""
     count = max(0, len(words) - SHINGLE_WORDS + 1)
     runs = np.zeros(count, np.uint64)
     for k in range(SHINGLE_WORDS):
         runs += words[k : k + count] * _MULTIPLIERS[k]
-    runs = mix(runs)
+    return mix(runs)
+
+
+def _set(words: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """The set of one text from its words and the shingles among them."""
+    n = len(words)
+    if n >= SHINGLE_WORDS:
+        return np.unique(runs)
+    if not n:
+        return np.empty(0, np.uint64)
+    short = sum((words[k] * _MULTIPLIERS[k] for k in range(n)), _U(0x632BE59BD9B4E019) * _U(n))
+    return mix(np.array([short], np.uint64))
+
+
+def _block_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    if len(texts) == 1 and len(texts[0]) >= BLOCK_BYTES:
+        words = _long_words(texts[0])
+        yield _set(words, _runs(words))
+        return
+    words, starts = _words(b"\n".join(texts) + b"\n")
+    bounds = np.searchsorted(starts, np.cumsum([0, *[len(t) + 1 for t in texts]]))
+    runs = _runs(words)
     for first, last in zip(bounds[:-1], bounds[1:], strict=True):
-        n = last - first
-        if n >= SHINGLE_WORDS:
-            yield np.unique(runs[first : last - SHINGLE_WORDS + 1])
-        elif n:
-            short = sum((words[first + k] * _MULTIPLIERS[k] for k in range(n)), _U(0x632BE59BD9B4E019) * _U(n))
-            yield mix(np.array([short], np.uint64))
-        else:
-            yield np.empty(0, np.uint64)
+        yield _set(words[first:last], runs[first : max(first, last - SHINGLE_WORDS + 1)])
 
 
 def shingle_sets(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
@@ -74,12 +116,12 @@ def shingle_sets(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
     block, size = [], 0
     for text in texts:
         data = text.encode("utf-8", "replace") if text else b""
-        if block and size + len(data) > BLOCK_BYTES:
+        if block and size + len(data) + 1 > BLOCK_BYTES:
             with np.errstate(over="ignore"):
                 yield from _block_sets(block)
             block, size = [], 0
         block.append(data)
-        size += len(data)
+        size += len(data) + 1
     if block:
         with np.errstate(over="ignore"):
             yield from _block_sets(block)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexspark.llm import jaccard_join
+from lexspark.llm import shingles as shingles_module
 from lexspark.llm.components import connected_components
 from lexspark.llm.jaccard_join import group_runs, jaccard_components, keep_one_of_each
 from lexspark.llm.shingles import shingle_sets
@@ -121,6 +122,16 @@ def test_sets_are_those_of_the_words():
     assert list(found[0]) == list(found[1]) and set(found[0]).isdisjoint(found[7])
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    draw = random.Random(4)
+    texts = ["", " ".join("w" * draw.randrange(1, 40) + str(draw.randrange(50)) for _ in range(300)), "x" * 500, None]
+    texts += [" \t".join(["ab", "C" * 300, "d\x0be", "f", "g"]) + " " * 200, "a b c", "y" * 64, " " * 300, "z" * 63]
+    want = [s.tolist() for s in shingle_sets(texts)]
+    for size in (16, 64, 101, 256):
+        monkeypatch.setattr(shingles_module, "BLOCK_BYTES", size)
+        assert [s.tolist() for s in shingle_sets(texts)] == want
+
+
 def test_rows_of_a_cut_group_keep_partners_before_the_cut():
     sizes = [10, 20, 40, 80, 99, 100]  # 100 has its only partner, 99, in the part before
     columns = [pa.array([7] * 6), pa.array(sizes, pa.int32()), pa.array(range(6), pa.int64()), pa.array([0] * 6, pa.int32())]
