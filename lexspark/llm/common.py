@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,24 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WHITE_SPACE), lambda w: w != "")
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: str) -> Iterator[None]:
+    """What is run inside hands Python at most ``rows`` rows and ``size`` bytes at a time (one row at least).
+
+    The session's own limits come back afterwards.
+    """
+    limits = {"maxRecordsPerBatch": str(rows), "maxBytesPerBatch": size}
+    names = {f"spark.sql.execution.arrow.{name}": value for name, value in limits.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 _shipped: set[str] = set()
 
 

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexspark.llm.common import arrow_batches
 from lexspark.llm.components import connected_components
 from lexspark.llm.shingles import set_key, shingle_sets
 from lexspark.operators.ordered import running_totals
@@ -51,6 +52,9 @@ SMALL_GROUP = 64
 BLOCK_ROWS = 1024
 #: Pairs of one class that meet one copy of its set.
 FAN_OUT = 4096
+#: What a Python task is handed at a time: texts, or pairs with both sets. Two tasks and their copies in the JVM share an
+#: executor's memory beyond its heap.
+BATCH_ROWS, BATCH_BYTES = 2000, "8m"
 
 
 def least_overlap(size_a, size_b):
@@ -461,6 +465,12 @@ def _ordered_pairs(pairs: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row ``(id, n_shingles, component_id)``; the component is the least id that links reach."""
+    with arrow_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        return _components(docs, id_col, text_col)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """All Python work is run here; the result joins written tables only."""
     spark: SparkSession = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -472,6 +482,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
     groups = materialise(_groups(_prefixes(docs, sketch)), "prefix-groups")
+    sketch.unpersist()
     members = groups.select("key", "n").distinct()
     wanted = materialise(
         members.join(classes.withColumn("n", F.col("n").cast("int")), ["key", "n"]).select("key", "n", "node"),

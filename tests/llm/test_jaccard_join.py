@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark.llm import jaccard_join
 from lexspark.llm import shingles as shingles_module
+from lexspark.llm.common import arrow_batches
 from lexspark.llm.components import connected_components
 from lexspark.llm.jaccard_join import group_runs, jaccard_components, keep_one_of_each
 from lexspark.llm.shingles import shingle_sets
@@ -147,3 +148,17 @@ def test_long_chains_become_one_component(spark):
     edges = spark.range(1, 60).selectExpr("id AS a", "id - 1 AS b").union(spark.range(1).selectExpr("100L", "99L"))
     found = {r["node"]: r["component"] for r in connected_components(edges.toDF("a", "b")).collect()}
     assert found == {**dict.fromkeys(range(60), 0), 99: 99, 100: 99}
+
+
+def test_arrow_limits_hold_inside_only(spark):
+    def batch_rows():
+        sizes = spark.range(0, 5000, 1, 1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint"
+        )
+        return [row["n"] for row in sizes.collect()]
+
+    before = batch_rows()
+    with pytest.raises(ValueError), arrow_batches(spark, 2000, "8m"):
+        assert batch_rows() == [2000, 2000, 1000]
+        raise ValueError
+    assert batch_rows() == before
