@@ -2,7 +2,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexspark.llm.cross_polytope import hadamard, nearest_neighbours, rotate
+from lexspark.llm.cross_polytope import (
+    LEAST_RECALL,
+    TABLES,
+    directions,
+    hadamard,
+    nearest_neighbours,
+    own_bucket,
+    probed_cells,
+    probes_needed,
+    rotate,
+)
 
 
 def brute(vectors, query, k=20):
@@ -101,3 +111,32 @@ def test_few_vectors_are_all_candidates(spark, count):
 def test_no_candidates(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert nearest_neighbours(df, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def work(vectors):
+    """Recall, and pairs compared as a share of all, by the number of buckets that the neighbours ask for."""
+    x, asked = directions(vectors), np.arange(0, len(vectors), 20)
+    scores = vectors[asked] @ vectors.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    needed = probes_needed(np.repeat(x[asked], 20, axis=0), x[best.reshape(-1)], TABLES)
+    probes = int(np.ceil(np.quantile(needed, LEAST_RECALL)))
+    own = [own_bucket(x, table) for table in range(TABLES)]
+    met, pairs = np.zeros((len(asked), len(x)), bool), 0
+    for rows, tables, cells, places in probed_cells(x[asked], TABLES, probes):
+        for row, table, cell, place in zip(rows, tables, cells, places, strict=True):
+            hit = (own[table][0] == cell) & ((place >> own[table][1]) & 1 == 1)
+            met[row] |= hit
+            pairs += int(hit.sum())
+    return np.take_along_axis(met, best, axis=1).mean(), pairs / met.size
+
+
+def test_hashing_compares_fewer_pairs_the_more_rows(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    vectors = np.array([r["embedding"] for r in rows], float)
+    shares = []
+    for count in (500, 2000):
+        found, share = work(vectors[:count])
+        assert found >= 0.93
+        shares.append(share)
+    assert shares[1] < shares[0] and shares[1] <= 0.6
