@@ -146,12 +146,12 @@ def place(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", old_s
 def rewrite(placed: DataFrame, affected: set[int], path: str) -> DataFrame:
     """Writes the affected new shards under ``path/shard=<n>``; returns the layout as a table.
 
-    ``placed`` has ``_new`` and ``_split`` (by which a shard is spread over several files).
+    ``placed`` has ``_new`` and ``_split`` (by which a shard is spread over several files). Tasks take ranges of both,
+    which a sample of all rows makes even.
     """
     spark = placed.sparkSession
     changed = placed.filter(F.col("_new").isin(*affected)) if affected else placed.filter("false")
-    pieces = max(1, partitions_for(spark) // NEW_SHARDS)
-    dealt = changed.withColumn("_piece", F.pmod("_split", F.lit(pieces))).repartition(partitions_for(spark), "_new", "_piece")
+    dealt = changed.repartitionByRange(partitions_for(spark), "_new", "_split")
     columns = [c for c in placed.columns if not c.startswith("_")]
     dealt.select(*columns, F.col("_new").alias("shard")).write.partitionBy("shard").parquet(path)
     kept = placed.filter(~F.col("_new").isin(*affected)) if affected else placed

@@ -12,7 +12,8 @@ partitions; the last response before a range comes from one row per range and UR
 Status: ``resolved`` (a validator agreed), ``unverified`` (the revisit named none), ``mismatch`` (the latest
 response has another validator), ``no_response`` (none is earlier), ``no_url``. Defined results: null and
 empty URLs are ``no_url``; of captures at the same time the smaller record id counts as earlier; repeated
-rows are all kept; null headers count as none; an empty table gives an empty result. Pages of any length
+rows are all kept; null headers count as none; header names are folded, and of names that differ in case only the
+first in byte order counts; an empty table gives an empty result. Pages of any length
 are only hashed. Other columns are not looked at.
 """
 
@@ -66,6 +67,13 @@ def opaque(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
+def folded(headers: Column) -> Column:
+    """Headers by their names in lower case."""
+    lower = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    first = F.filter(lower, lambda e, i: F.array_position(lower["key"], e["key"]) == i + 1)
+    return F.map_from_entries(first)
+
+
 def merged_headers(stored: Column, update: Column) -> Column:
     fresh = F.map_filter(update, lambda k, v: ~k.isin(*FIXED_FIELDS) & v.isNotNull())
     names = F.map_keys(fresh)
@@ -76,9 +84,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """Every revisit with what it stands for.
 
     ``records``: ``record_id`` (long), ``url``, ``captured_at``, ``kind`` (``response`` or ``revisit``), ``headers``
-    (map, names in lower case), ``digest`` of the payload.
+    (map, names in any case), ``digest`` of the payload.
     """
-    headers = F.coalesce("headers", F.create_map().cast("map<string,string>"))
+    headers = folded(F.coalesce("headers", F.create_map().cast("map<string,string>")))
     keyed = records.select(
         "record_id", "captured_at", "kind", "digest", canonical_url(F.col("url")).alias("canonical"), headers.alias("headers")
     )

@@ -29,6 +29,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lexspark.llm.tokenising import END_ID, word_tokenizer
 from lexspark.session import materialise, partitions_for, scratch_path
@@ -66,9 +67,9 @@ class RowWriter:
 
     def _write(self, last: bool) -> None:
         flat = np.concatenate(self.waiting) if self.waiting else np.empty(0, self.dtype)
-        used = len(flat) if last else len(flat) - len(flat) % self.row_tokens
-        rows = -(-used // self.row_tokens)
         step = BATCH_ROWS * self.row_tokens
+        used = len(flat) if last else len(flat) - len(flat) % step
+        rows = -(-used // self.row_tokens)
         for start in range(0, rows * self.row_tokens, step):
             ids = flat[start : min(start + step, used)]
             size = -(-len(ids) // self.row_tokens) * self.row_tokens
@@ -85,6 +86,11 @@ class RowWriter:
         self.writer.close()
 
 
+def id_width(tokenizer_path: str, end_id: int = END_ID) -> str:
+    greatest = max([end_id, PAD_ID, *Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values()])
+    return "uint16" if greatest < 1 << 16 else "uint32"
+
+
 def write_token_files(
     docs: DataFrame,
     tokenizer_path: str,
@@ -92,12 +98,14 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     row_tokens: int = ROW_TOKENS,
-    vocabulary: int = 1 << 16,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """Writes the data set; returns its manifest, one row per file pair, in the order of the ids."""
+    """Writes the data set; returns its manifest, one row per file pair, in the order of the ids.
+
+    Ids have 16 bits if the tokenizer has none that needs more, else 32.
+    """
     spark = docs.sparkSession
-    width = "uint16" if vocabulary <= 1 << 16 else "uint32"
+    width = id_width(tokenizer_path, end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(tokenizer_path)
@@ -164,15 +172,14 @@ class TokenFile:
         self.ids = self.docs = None
 
     def row(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
-        """The ids and the mask of one row. All batches but the last have ``BATCH_ROWS`` rows or more
-        than one row in proportion, so the batch is found by counting from the first."""
-        for i in range(self.ids.num_record_batches):
-            batch = self.ids.get_batch(i)
-            if number < batch.num_rows:
-                ids = batch.column(0).slice(number, 1).flatten().to_numpy()
-                return ids, batch.column(1).slice(number, 1).flatten()
-            number -= batch.num_rows
-        raise IndexError(number)
+        """The ids and the mask of one row. All batches but the last have ``BATCH_ROWS`` rows."""
+        at, place = divmod(number, BATCH_ROWS)
+        if number < 0 or at >= self.ids.num_record_batches:
+            raise IndexError(number)
+        batch = self.ids.get_batch(at)
+        if place >= batch.num_rows:
+            raise IndexError(number)
+        return batch.column(0).slice(place, 1).flatten().to_numpy(), batch.column(1).slice(place, 1).flatten()
 
     def blocks(self) -> Iterator[np.ndarray]:
         """The ids of the file, batch by batch, without the padding."""
@@ -223,7 +230,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str, id_t
         columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # The manifest has one row per task of the writing job.
+    # One task, as the manifest has one row per task of the writing job.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select(
         F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("bigint").alias("base"), "ids_file", "docs_file"

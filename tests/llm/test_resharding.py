@@ -78,3 +78,13 @@ def test_odd_and_no_documents(odd_docs, no_docs):
     assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows}[2] == (1, 0)
     assert reshard(no_docs).count() == 0
     assert place(no_docs)[0].count() == 0
+
+
+def test_writers_hold_even_ranges(spark):
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    keys = {"_new": F.pmod("doc_id", F.lit(4)).cast("int"), "_split": F.pmod(F.xxhash64("doc_id"), F.lit(64)).cast("int")}
+    path = scratch_path(spark, "even")
+    rewrite(docs.withColumns(keys), {0, 1, 2, 3}, path)
+    files = spark.read.parquet(path).groupBy(F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1).alias("task")).count()
+    sizes = [r["count"] for r in files.collect()]
+    assert sum(sizes) == 20000 and max(sizes) < 2 * 20000 / len(sizes)

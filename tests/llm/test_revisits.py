@@ -49,6 +49,18 @@ def test_each_case(spark):
     assert by_id[8]["response_id"] == 7 and by_id[8]["headers"] is None
 
 
+def test_header_names_in_any_case(spark):
+    url = "http://a.org/x"
+    rows = [
+        (1, url, 1, "response", {"ETag": '"1"', "etag": '"2"', "Content-Length": "9"}, "d1", "x"),
+        (2, url, 2, "revisit", {"Etag": '"1"', "CONTENT-LENGTH": "0", "X-Cache": "hit"}, None, "x"),
+        (3, url, 3, "revisit", {"ETAG": '"2"'}, None, "x"),
+    ]
+    found = {r["record_id"]: r for r in resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[2]["status"] == "resolved" and found[3]["status"] == "mismatch"
+    assert found[2]["headers"] == {"etag": '"1"', "content-length": "9", "x-cache": "hit"}
+
+
 def test_one_url_with_many_captures(spark):
     """The last response before a range of a hot URL lies in another range."""
     rows = spark.range(4000).select(

@@ -2,8 +2,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
+from tokenizers.models import WordLevel
 
 from lexspark.llm import token_files
 from lexspark.session import scratch_path
@@ -51,3 +53,34 @@ def test_odd_and_no_documents(odd_docs, no_docs):
     assert [b["start"] - a["start"] for a, b in zip(rows, rows[1:], strict=False)] == [r["n_tokens"] for r in rows[:-1]]
     assert {r["doc_id"]: r["n_tokens"] for r in rows}[2] == 1
     assert token_files.round_trip(no_docs, PATH).count() == 0
+
+
+def test_every_row_is_reached_by_its_number():
+    """Also when documents end inside and beyond batches."""
+    sink = pa.BufferOutputStream()
+    writer = token_files.RowWriter(sink, "uint32", 4)
+    draw, all_ids = np.random.default_rng(1), []
+    step = token_files.BATCH_ROWS * 4
+    for size in (3, step + 6, 1, 2 * step, step - 5, 7):
+        all_ids.append(draw.integers(0, 1 << 20, size, "u4"))
+        writer.add(all_ids[-1])
+    writer.close()
+    ids = np.concatenate(all_ids)
+    tokens = token_files.TokenFile.__new__(token_files.TokenFile)
+    tokens.ids = pa.ipc.open_file(sink.getvalue())
+    count = -(-len(ids) // 4)
+    for number in (0, 1, *(n * token_files.BATCH_ROWS + d for n in (1, 2, 3) for d in (-1, 0, 1)), count - 1):
+        row, mask = tokens.row(number)
+        used = ids[4 * number : 4 * number + 4]
+        assert list(row[: len(used)]) == list(used) and mask.true_count == len(used)
+    for number in (-1, count, count + step):
+        with pytest.raises(IndexError):
+            tokens.row(number)
+
+
+def test_ids_are_as_wide_as_the_vocabulary_needs(tmp_path):
+    assert token_files.id_width(PATH) == "uint16"
+    assert token_files.id_width(PATH, end_id=1 << 16) == "uint32"
+    words = {f"w{i}": i for i in range(70_000)}
+    Tokenizer(WordLevel(words, unk_token="w0")).save(str(tmp_path / "wide.json"))
+    assert token_files.id_width(str(tmp_path / "wide.json")) == "uint32"
