@@ -12,8 +12,9 @@ Two documents link when their shingle sets have a Jaccard similarity of ``SIMILA
   under the length and positional filters and a suffix filter (a bound on the difference of two
   sets from how many of their hashes fall into each of ``SIGNATURE`` ranges). A task compares two blocks of at
   most ``BLOCK_ROWS`` rows of a group at a time, so a group of any size spreads over tasks.
-* Each pair is verified once (the second round leaves out what the first one tried), with exact integer arithmetic on the whole sets. Two sets in one component
-  need no further link, so no component is lost.
+* Pairs of both rounds pass a finer suffix filter, with as many ranges as the smaller set has hashes, before any
+  set is moved. Each pair is verified once (the second round leaves out what the first one tried), with exact
+  integer arithmetic on the whole sets. Two sets in one component need no further link, so no component is lost.
 
 Broadcast are two arrays of fixed size: the sketch (16 MB) and a bitmap of the wanted ids (2 MB), which
 only spares the shuffle other texts.
@@ -26,7 +27,7 @@ empty table gives an empty result. Other columns are not looked at.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -257,7 +258,7 @@ def _may_link(n: Column, pos: Column, other_n: Column, other_pos: Column) -> Col
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(key, n, hashes, signature)`` of at least the classes in ``wanted (key, n, node)``.
+    """``(key, n, hashes, signature, histogram)`` of at least the classes in ``wanted (key, n, node)``.
 
     A bit may stand for other ids too, whose sets nobody asks for; a copy of a wanted text may come twice.
     Nothing is shuffled.
@@ -287,36 +288,56 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             batch = batch.filter(hit)
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                keys, sizes, sets, signatures = [], [], [], []
+                keys, sizes, sets, signatures, histograms = [], [], [], [], []
                 for hashes in shingle_sets(x.as_py() for x in part.column(1)):
                     keys.append(set_key(hashes))
                     sizes.append(len(hashes))
                     sets.append(hashes.tobytes())
                     ranges = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=SIGNATURE)
                     signatures.append(np.minimum(ranges, 255).astype(np.uint8).tobytes())
+                    histograms.append(histogram(hashes).tobytes())
                 columns = [
                     pa.array(keys, pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(sets, pa.binary()),
                     pa.array(signatures, pa.binary()),
+                    pa.array(histograms, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "hashes", "signature"])
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "hashes", "signature", "histogram"])
 
     found = docs.select("id", "text", slot("id").alias("slot")).filter("id IS NOT NULL").mapInArrow(
-        gather, "key bigint, n int, hashes binary, signature binary"
+        gather, "key bigint, n int, hashes binary, signature binary, histogram binary"
     )
     return found
 
 
+def histogram(hashes: np.ndarray) -> np.ndarray:
+    """Hashes per range of their values, at most 255; up to one range per hash, a power of two of them."""
+    bits = max(len(hashes).bit_length() - 1, 1)
+    ranges = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(ranges, 255).astype(np.uint8)
+
+
+def least_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """At least so many hashes are in one of two sets only, by their histograms."""
+    if len(x) < len(y):
+        x, y = y, x
+    folded = np.minimum(x.reshape(len(y), -1).sum(axis=1, dtype=np.int64), 255)
+    return int(np.abs(folded - y).sum())
+
+
 SIDES = (("key", "n", "x"), ("c_key", "c_n", "y"))
 
 
-def _with_set(pairs: DataFrame, named: DataFrame, sets: DataFrame, key: str, n: str, name: str) -> DataFrame:
-    """``pairs`` with the set of the class (key, n); ``named`` are the pairs without any set.
+def _with_set(pairs: DataFrame, named: DataFrame, sets: DataFrame, column: str, side: tuple[str, str, str]) -> DataFrame:
+    """``pairs`` with ``column`` of one side's class (key, n); ``named`` are the pairs without any set.
 
     A class in more than ``FAN_OUT`` pairs gets a copy of its set per that many, and its pairs are dealt to them.
     """
-    own = sets.select(F.col("key").alias(key), F.col("n").alias(n), F.col("hashes").alias(name))
+    key, n, name = side
+    own = sets.select(F.col("key").alias(key), F.col("n").alias(n), F.col(column).alias(name))
+    if estimated_bytes(named) <= BROADCAST_LIMIT_BYTES // 2:  # few pairs: sets that none of them names are not moved
+        own = own.join(F.broadcast(named.select(key, n).distinct()), [key, n], "left_semi")
     often = named.groupBy(key, n).count().filter(F.col("count") > FAN_OUT)
     often = materialise(often.select(key, n, F.ceil(F.col("count") / FAN_OUT).cast("int").alias("_copies")), "hot-classes")
     if often.isEmpty():
@@ -329,25 +350,41 @@ def _with_set(pairs: DataFrame, named: DataFrame, sets: DataFrame, key: str, n:
     return rest.unionByName(hot)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The links among ``pairs (key, n, c_key, c_n)``, as nodes ``(a, b)``."""
+def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, links: Callable[[int, int, np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The ``pairs (key, n, c_key, c_n)``, a written table, for which ``links`` holds of both sizes and ``column``."""
+    kind = np.uint64 if column == "hashes" else np.uint8
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(4), batch.column(5), strict=True):
-                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = len(a) + len(b) - len(np.union1d(a, b))
-                linked.append(100 * common >= SIMILARITY_PCT * (len(a) + len(b) - common))
-            yield batch.select([0, 1, 2, 3]).filter(pa.array(linked, pa.bool_()))
-
-    joined = named = materialise(pairs, "candidate-pairs")
-    if estimated_bytes(named) <= BROADCAST_LIMIT_BYTES // 2:  # few pairs: sets that none of them names are not moved
-        asked = named.select("key", "n").union(named.select("c_key", "c_n")).distinct()
-        sets = sets.join(F.broadcast(asked), ["key", "n"], "left_semi")
-    for k, n, h in SIDES:
-        joined = _with_set(joined, named, sets, k, n, h)
-    links = joined.select("key", "n", "c_key", "c_n", "x", "y").mapInArrow(check, "key bigint, n int, c_key bigint, c_n int")
+            kept = []
+            for n, m, x, y in zip(*(batch.column(i) for i in (1, 3, 4, 5)), strict=True):
+                kept.append(links(n.as_py(), m.as_py(), *(np.frombuffer(v.as_buffer(), kind) for v in (x, y))))
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(kept, pa.bool_()))
+
+    joined = pairs
+    for side in SIDES:
+        joined = _with_set(joined, pairs, sets, column, side)
+    return joined.select("key", "n", "c_key", "c_n", "x", "y").mapInArrow(check, "key bigint, n int, c_key bigint, c_n int")
+
+
+def _may_overlap(n: int, m: int, x: np.ndarray, y: np.ndarray) -> bool:
+    return least_difference(x, y) <= n + m - 2 * int(least_overlap(np.int64(n), np.int64(m)))
+
+
+def _overlap(n: int, m: int, x: np.ndarray, y: np.ndarray) -> bool:
+    common = n + m - len(np.union1d(x, y))
+    return bool(100 * common >= SIMILARITY_PCT * (n + m - common))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The links among ``pairs (key, n, c_key, c_n)``, as nodes ``(a, b)``.
+
+    Histograms, an eighth of the sets' bytes at most, leave few pairs that do not link; only for those that
+    are left the sets are moved.
+    """
+    pairs = materialise(pairs, "candidate-pairs")
+    close = materialise(_kept_pairs(pairs, sets, "histogram", _may_overlap).distinct(), "close-pairs")
+    links = _kept_pairs(close, sets, "hashes", _overlap)
     other = nodes.select(F.col("key").alias("c_key"), F.col("n").alias("c_n"), F.col("node").alias("b"))
     named = links.join(nodes.select("key", "n", F.col("node").alias("a")), ["key", "n"]).join(other, ["c_key", "c_n"])
     return named.select("a", "b")

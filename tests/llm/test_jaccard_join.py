@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,25 @@ def test_arrow_limits_hold_inside_only(spark):
         assert batch_rows() == [2000, 2000, 1000]
         raise ValueError
     assert batch_rows() == before
+
+
+def test_histograms_never_rule_out_a_link():
+    draw = np.random.default_rng(5)
+    ruled_out = 0
+    for size in (1, 2, 5, 31, 32, 33, 700, 5000, 200_000):
+        for share in (0.0, 0.3, 0.6, 0.75, 0.8, 0.85, 0.9, 1.0):
+            both = round(size * share)
+            own = draw.integers(0, 1 << 63, 2 * (size - both), "u8") * np.uint64(2) + np.uint64(1)
+            common = draw.integers(0, 1 << 63, both, "u8") * np.uint64(2)
+            x, y = (np.unique(np.concatenate([common, part])) for part in (own[: size - both], own[size - both :][: (size - both) // 2]))
+            if not len(y):
+                continue
+            assert jaccard_join.least_difference(*map(jaccard_join.histogram, (x, y))) <= len(np.setxor1d(x, y))
+            linked = jaccard_join._overlap(len(x), len(y), x, y)
+            assert linked == (100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y)))
+            may = jaccard_join._may_overlap(len(x), len(y), *map(jaccard_join.histogram, (x, y)))
+            assert may or not linked
+            ruled_out += not may
+    assert ruled_out > 10
+    same = np.full(600, 1 << 60, "u8") + np.arange(600, dtype="u8")  # more than 255 in one range
+    assert jaccard_join.least_difference(jaccard_join.histogram(same), jaccard_join.histogram(same[:500])) <= 100
