@@ -31,7 +31,7 @@ from lexspark.functions.scoring import mean_score
 from lexspark.functions.text import tokens
 from lexspark.operators.index import count_words
 from lexspark.operators.search import DEFAULT_K, attach_text, check_k
-from lexspark.session import broadcast_if_small, materialise
+from lexspark.session import broadcast_if_few, is_small, materialise
 
 #: Bands per power of two, and the lowest band. A word has at most ``-LOWEST_BAND + 1`` bands.
 BANDS_PER_OCTAVE = 2
@@ -160,7 +160,7 @@ def term_weights(reps: DataFrame, idf: DataFrame, dedupe_query_terms: bool) -> D
 
 def direct_parts(postings: DataFrame, weights: DataFrame) -> DataFrame:
     """``(rep, n_tokens, id, part)``: the share of every matching posting in its document's score."""
-    return postings.join(broadcast_if_small(weights), "word")
+    return postings.join(broadcast_if_few(weights), "word")
 
 
 def probed(postings: DataFrame, probes: DataFrame, blocks: DataFrame | None, id_col: str) -> DataFrame:
@@ -171,10 +171,10 @@ def probed(postings: DataFrame, probes: DataFrame, blocks: DataFrame | None, id_
     ceiling = F.col("tf_ceiling")
     if blocks is None:
         each = probes.withColumn("band", F.explode("bands")).drop("bands")
-        found = postings.withColumn("band", frequency_band(F.col("tf"))).join(broadcast_if_small(each), ["word", "band"])
+        found = postings.withColumn("band", frequency_band(F.col("tf"))).join(broadcast_if_few(each), ["word", "band"])
     else:
         wanted = (F.col("tf_max") >= F.col("tf_floor")) & (ceiling.isNull() | (F.col("tf_min") <= ceiling))
-        opened = blocks.join(broadcast_if_small(probes.drop("bands")), "word").filter(wanted)
+        opened = blocks.join(broadcast_if_few(probes.drop("bands")), "word").filter(wanted)
         found = opened.withColumn("_p", F.explode("postings")).drop("postings")
         found = found.withColumns({id_col: F.col(f"_p.{id_col}"), "tf": F.col("_p.word_frequency").cast("double")})
     return found.filter(F.col("tf") >= F.col("tf_floor")).filter(ceiling.isNull() | (F.col("tf") <= ceiling))
@@ -219,16 +219,23 @@ def smallest_ids(postings: DataFrame, plan: DataFrame, k: int, id_col: str) -> D
     """
     asked = plan.filter("flat").select("rep", "word")
     by_id = Window.partitionBy("word").orderBy(id_col)
-    held = postings.select("word", id_col).join(broadcast_if_small(asked.select("word").distinct()), "word", "left_semi")
+    held = postings.select("word", id_col).join(broadcast_if_few(asked.select("word").distinct()), "word", "left_semi")
     first = held.withColumn("_place", F.row_number().over(by_id)).filter(F.col("_place") <= k)
     return first.join(asked, "word").select("rep", id_col).distinct()
 
 
 def completed(postings: DataFrame, plan: DataFrame, found: list[DataFrame], id_col: str) -> DataFrame:
-    """The parts of the candidates ``found`` only, looked up for all words of their query."""
+    """The parts of the candidates ``found`` only, looked up for all words of their query.
+
+    The candidates are joined by id and the words of their queries after that, so neither side holds a row per
+    candidate and word, unless there are too many queries to broadcast their words.
+    """
     weights = plan.filter("pruned OR flat").select("rep", "n_tokens", "word", "weight")
-    lookups = materialise(reduce(DataFrame.union, found).join(broadcast_if_small(weights), "rep"), "query-lookups")
-    return postings.join(broadcast_if_small(lookups), [id_col, "word"])
+    pairs = materialise(reduce(DataFrame.union, found), "query-pairs")
+    if is_small(weights):
+        return postings.join(broadcast_if_few(pairs), id_col).join(F.broadcast(weights), ["rep", "word"])
+    lookups = materialise(pairs.join(weights.hint("merge"), "rep"), "query-lookups")
+    return postings.join(broadcast_if_few(lookups), [id_col, "word"])
 
 
 def batch_search(
@@ -261,7 +268,7 @@ def batch_search(
         raise ValueError(f"unknown strategy {strategy!r}")
     members, reps = distinct_queries(queries, query_col, query_text_col)
     weights = materialise(term_weights(reps, idf, dedupe_query_terms), "query-weights")
-    vocabulary = broadcast_if_small(weights.select("word").distinct())
+    vocabulary = broadcast_if_few(weights.select("word").distinct())
     posted = postings.select(id_col, "word", F.col("word_frequency").cast("double").alias("tf"))
     relevant = posted.join(vocabulary, "word", "left_semi")
     columns = ["rep", "n_tokens", id_col, (F.col("tf") * F.col("weight")).alias("part")]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.scoring import mean_score
 from lexspark.functions.text import decode_query, is_valid_query, tokens
-from lexspark.session import broadcast_if_small
+from lexspark.session import broadcast_if_few
 
 DEFAULT_K = 3
 FOUND_MESSAGE = "Documents retrieved successfully"
@@ -98,7 +98,7 @@ def attach_text(results: DataFrame, documents: DataFrame, id_col: str = "doc_id"
     The texts are first cut down to the wanted ids by a semi join whose small side is the
     results, so the document table is scanned but not shuffled while the results are small.
     """
-    wanted = broadcast_if_small(results.select(id_col))
+    wanted = broadcast_if_few(results.select(id_col))
     found = documents.select(id_col, text_col).join(wanted, id_col, "left_semi")
     return results.join(found, id_col, "left").withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when Spark's own size estimate stays below this.
 BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
-
+#: And of rows, where they are counted: files of repetitive rows are a hundredth of what the rows take in memory.
+BROADCAST_LIMIT_ROWS = 2**18
 _local_scratch: dict[str, str] = {}
 
 
@@ -76,6 +77,18 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df``, which should come from stored tables, is below both limits; its rows are counted."""
+    rows = BROADCAST_LIMIT_ROWS
+    return estimated_bytes(df) <= BROADCAST_LIMIT_BYTES and df.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_few(df: DataFrame) -> DataFrame:
+    """Hint a broadcast when ``df`` is below both limits; otherwise a merge join, as Spark too would broadcast
+    by the size of compressed files."""
+    return F.broadcast(df) if is_small(df) else df.hint("merge")
+
+
 def partitions_for(spark: SparkSession) -> int:
     """How many partitions a shuffle gets: what the session is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,6 +5,7 @@ import models
 import pytest
 from pyspark.sql import functions as F
 
+from lexspark import session
 from lexspark.operators import batch_search as ways
 from lexspark.operators import idf as idf_ops
 from lexspark.operators import index as index_ops
@@ -242,3 +243,33 @@ def test_batch_search_arguments(corpus, spark):
         batch_search(asked, postings, idf, k=-2)
     with pytest.raises(ValueError):
         batch_search(asked, postings, idf, strategy="guess")
+
+
+@pytest.mark.parametrize("rows", [session.BROADCAST_LIMIT_ROWS, 0])
+def test_candidates_are_not_broadcast_once_per_word(spark, monkeypatch, rows):
+    """Many candidates of a query of many words: rows per candidate and word compress to little, but fill the driver."""
+    shared = " ".join(f"s{i}" for i in range(30))
+    docs, postings, idf = indexed(spark, [(i, f"{shared} x{i % 50}" if i % 4 == 0 else f"other y{i}") for i in range(400)])
+    queries = spark.createDataFrame([(1, f"{shared} x1"), (2, "x4 x8"), (3, "other y3 unknown"), (4, "unknown")], "query_id int, text string")
+    want = sorted(tuple(r) for r in batch_search(queries, postings, idf, docs, strategy="direct").collect())
+    stored = {}
+
+    def kept(df, name):
+        stored[name] = materialise(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(ways, "materialise", kept)
+    monkeypatch.setattr(ways, "PRUNING_FACTOR", 0)  # all queries by candidates
+    monkeypatch.setattr(session, "BROADCAST_LIMIT_ROWS", rows)
+    assert sorted(tuple(r) for r in batch_search(queries, postings, idf, docs).collect()) == want
+    assert ("query-lookups" in stored) == (rows == 0)  # only if there are too many queries to broadcast their words
+    assert stored["query-pairs"].count() == stored["query-pairs"].distinct().count() > 100
+
+
+def test_repetitive_rows_are_not_small(spark, monkeypatch):
+    """Files of equal rows are tiny; what counts for a broadcast is the rows."""
+    stored = materialise(spark.range(5000).select(F.lit(1).alias("word")), "equal-rows")
+    assert session.is_small(stored)
+    monkeypatch.setattr(session, "BROADCAST_LIMIT_ROWS", 4999)
+    joined = spark.range(9).select(F.col("id").cast("int").alias("word")).join(session.broadcast_if_few(stored), "word")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
