@@ -1,7 +1,7 @@
 """An index in tables that are bucketed by word.
 
 Postings, IDF and impact profile of a word lie in buckets of the same number, so joins and aggregations by word read
-them where they are: no shuffle moves postings. Tables are found by name in the session's catalog; their files
+them where they are: no shuffle moves postings. One task reads a bucket, so a larger corpus gets more of them. Tables are found by name in the session's catalog; their files
 lie under ``path``.
 """
 
@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from lexspark.operators.batch_search import impact_profile
 from lexspark.operators.idf import document_frequency, idf_snapshot
-from lexspark.operators.index import accepted_documents, build_index
+from lexspark.operators.index import build_index, with_token_flag
 
 DEFAULT_BUCKETS = 64
+#: Bytes of text whose postings may lie in one bucket on average, which is what a task sorts.
+BUCKET_TEXT_BYTES = 32 * 1024 * 1024
 
 
 class BucketedIndex:
@@ -31,10 +33,16 @@ class BucketedIndex:
         return self.spark.table(f"{self.name}_{part}")
 
     def build(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> BucketedIndex:
-        """Writes the tables. The postings are shuffled by word once, here."""
+        """Writes the tables. The postings are shuffled by word once, here.
+
+        The number of buckets is doubled until they hold the postings of ``BUCKET_TEXT_BYTES`` each.
+        """
+        texts = with_token_flag(docs.select(text_col), text_col)
+        held = texts.agg(F.count_if("has_tokens").alias("n"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
+        while self.buckets * BUCKET_TEXT_BYTES < (held["bytes"] or 0):
+            self.buckets *= 2
         self._save(build_index(docs, id_col, text_col), "postings", "word_frequency")
-        total = accepted_documents(docs.select(text_col), text_col).count()
-        self._save(idf_snapshot(document_frequency(self.postings()), F.lit(total)), "idf")
+        self._save(idf_snapshot(document_frequency(self.postings()), F.lit(held["n"])), "idf")
         self._save(impact_profile(self.postings()), "profile")
         return self
 

@@ -11,7 +11,7 @@ from lexspark.operators.batch_search import batch_search, impact_profile
 from lexspark.operators.index import build_index, exploded_tokens
 from lexspark.operators.search import search
 from lexspark.session import materialise, scratch_path
-from lexspark.sources import generate
+from lexspark.sources import bucketed, generate
 from lexspark.sources.bucketed import BucketedIndex
 
 DOCS = [(i, " ".join([f"w{i % 5}"] * (i % 7 + 1) + ["common"] * (i % 3 + 1) + [f"x{i}", f"y{i % 11}"])) for i in range(120)]
@@ -112,3 +112,16 @@ def test_generated_texts_differ(spark):
     assert generate.generate_character_documents(ids, length=60).select("text").distinct().count() == 200_000
     steps = spark.range(0, 1_000_000).select(generate._mix(F.col("id")).alias("s")).distinct().count()
     assert steps == 1_000_000
+
+
+def test_larger_corpora_get_more_buckets(spark, index, monkeypatch):
+    docs, postings, _ = index
+    monkeypatch.setattr(bucketed, "BUCKET_TEXT_BYTES", 512)
+    stored = BucketedIndex(spark, "test_more_buckets", scratch_path(spark, "bucketed"), buckets=2).build(docs)
+    size = sum(len(text) for _, text in DOCS)
+    assert size / 512 <= stored.buckets < 2 * size / 512
+    assert rows_of(stored.postings().select("doc_id", "word", "word_frequency")) == rows_of(postings)
+    parts = stored.postings().select(F.spark_partition_id()).distinct().count()
+    assert parts > 2 and stored.weights().count() == postings.count()
+    few = BucketedIndex(spark, "test_no_texts", scratch_path(spark, "bucketed"), buckets=2).build(docs.limit(0))
+    assert few.buckets == 2 and few.weights().count() == 0
