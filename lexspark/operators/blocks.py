@@ -7,26 +7,53 @@ matter reads the blocks above it and leaves the rest unread.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexspark.operators.ordered import running_totals
+from lexspark.session import materialise
 
 BLOCK_POSTINGS = 128
+#: A slot has about ``SAMPLED_PER_SLOT / SAMPLED_SHARE`` postings of a frequent word.
+SAMPLED_SHARE, SAMPLED_PER_SLOT = 1 / 1024, 128
 
 
 def posting_blocks(postings: DataFrame, id_col: str = "doc_id", block_postings: int = BLOCK_POSTINGS) -> DataFrame:
     """``(word, block, n, tf_max, tf_min, postings)``; ``postings`` are structs (word_frequency, id), highest first.
 
-    Postings are numbered along ranges of (word, frequency), so a word in all documents spreads over tasks.
+    Postings are moved once, to the slot of their word; frequent words have many slots, along (frequency, id), so a
+    word in all documents spreads over tasks. Only the blocks that lie in two slots are put together afterwards.
     """
-    falling = (-F.col("word_frequency").cast("double")).alias("_falling")
-    rows = postings.select("word", id_col, "word_frequency", falling)
-    placed = running_totals(rows, "word", ["_falling", id_col], {"_at": F.lit(1)}, "posting-places")
+    rows = postings.select("word", id_col, "word_frequency")
+    cuts = materialise(_slot_cuts(rows, id_col), "slot-cuts")
+    split = not cuts.isEmpty()
+    first = F.lit(0).cast("bigint")
+    if split:
+        slotted = rows.join(F.broadcast(cuts), "word", "left")
+        rows = slotted.withColumn("_slot", F.coalesce(_slot(id_col), F.lit(0))).drop("cuts")
+        sizes = rows.join(F.broadcast(cuts), "word", "left_semi").groupBy("word", "_slot").agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy("word").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("word", "_slot", F.sum("_n").over(earlier).alias("_start"))  # a row per cut and word
+    else:
+        rows = rows.withColumn("_slot", F.lit(0))
+    inside = Window.partitionBy("word", "_slot").orderBy("_falling", id_col)
+    placed = rows.withColumn("_falling", -F.col("word_frequency").cast("double")).withColumn(
+        "_at", F.row_number().over(inside).cast("bigint") - 1
+    )
+    if split:
+        placed = placed.join(F.broadcast(starts), ["word", "_slot"], "left")
+        first = F.coalesce("_start", first)
     entry = F.struct("_falling", F.col(id_col), "word_frequency")
-    blocks = placed.groupBy("word", F.floor(F.col("_at") / block_postings).cast("bigint").alias("block")).agg(
+    block = F.floor((F.col("_at") + first) / block_postings).cast("bigint").alias("block")
+    blocks = placed.groupBy("word", "_slot", block).agg(
         F.sort_array(F.collect_list(entry)).alias("_entries")  # block_postings at most
     )
+    if split:
+        stored = materialise(blocks.join(F.broadcast(cuts.select("word", F.lit(True).alias("_cut"))), "word", "left"), "posting-parts")
+        part = F.coalesce("_cut", F.lit(False)) & (F.size("_entries") < block_postings)
+        joined = stored.filter(part).groupBy("word", "block").agg(
+            F.sort_array(F.flatten(F.collect_list("_entries"))).alias("_entries")
+        )
+        blocks = stored.filter(~part).select("word", "block", "_entries").unionByName(joined)
     return blocks.select(
         "word",
         "block",
@@ -39,6 +66,27 @@ def posting_blocks(postings: DataFrame, id_col: str = "doc_id", block_postings:
     )
 
 
+def _spot(id_col: str) -> Column:
+    return F.struct((-F.col("word_frequency").cast("double")).alias("falling"), F.col(id_col).alias("id"))
+
+
+def _slot_cuts(rows: DataFrame, id_col: str) -> DataFrame:
+    """``(word, cuts)`` of the words that are frequent in a sample: where their slots end, as structs (-frequency, id).
+
+    The sample decides where postings are worked on, nothing else.
+    """
+    seen = rows.sample(SAMPLED_SHARE, seed=1).select("word", _spot(id_col).alias("_spot"))
+    listed = seen.groupBy("word").agg(F.sort_array(F.collect_list("_spot")).alias("_spots"))
+    cuts = F.filter("_spots", lambda s, i: (i + 1) % SAMPLED_PER_SLOT == 0)
+    return listed.filter(F.size("_spots") >= 2 * SAMPLED_PER_SLOT).select("word", cuts.alias("cuts"))
+
+
+def _slot(id_col: str) -> Column:
+    """The number of cuts before a posting; null for words without cuts."""
+    spot = _spot(id_col)
+    return F.when(F.col("cuts").isNotNull(), F.size(F.filter("cuts", lambda c: c < spot)))
+
+
 def block_order(blocks: DataFrame) -> DataFrame:
     """Sorted for storage: the scan of a word skips to its blocks, the highest first."""
     return blocks.repartitionByRange("word", "block").sortWithinPartitions("word", "block")

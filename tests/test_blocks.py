@@ -114,6 +114,25 @@ def test_generated_texts_differ(spark):
     assert steps == 1_000_000
 
 
+def test_postings_move_once_into_blocks(index):
+    _, postings, _ = index
+    plan = blocks_ops.posting_blocks(postings, block_postings=8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("block_postings", [1, 7, 8, 500])
+def test_slots_of_frequent_words_do_not_show_in_blocks(index, monkeypatch, block_postings):
+    _, postings, _ = index
+    again = postings.unionByName(postings.filter("doc_id < 3")).unionByName(postings.limit(4).withColumn("doc_id", F.lit(None).cast("long")))
+    want = rows_of(blocks_ops.long_form(blocks_ops.posting_blocks(again, block_postings=block_postings)).na.fill(-1))
+    shape = rows_of(blocks_ops.posting_blocks(again, block_postings=block_postings).select("word", "block", "n", "tf_max", "tf_min"))
+    monkeypatch.setattr(blocks_ops, "SAMPLED_SHARE", 1.0)
+    monkeypatch.setattr(blocks_ops, "SAMPLED_PER_SLOT", 5)
+    made = materialise(blocks_ops.posting_blocks(again, block_postings=block_postings), "blocks")
+    assert rows_of(blocks_ops.long_form(made).na.fill(-1)) == want == rows_of(again.na.fill(-1).select("doc_id", "word", "word_frequency"))
+    assert rows_of(made.select("word", "block", "n", "tf_max", "tf_min")) == shape
+
+
 def test_larger_corpora_get_more_buckets(spark, index, monkeypatch):
     docs, postings, _ = index
     monkeypatch.setattr(bucketed, "BUCKET_TEXT_BYTES", 512)
