@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 #: And of rows, where they are counted: files of repetitive rows are a hundredth of what the rows take in memory.
 BROADCAST_LIMIT_ROWS = 2**18
+#: Texts are read in splits of at most this size where each task sorts the postings of its texts.
+SORT_SPLIT_BYTES = 8 * 1024 * 1024
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -89,6 +94,24 @@ def broadcast_if_few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if is_small(df) else df.hint("merge")
 
 
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside read files in splits of ``SORT_SPLIT_BYTES`` at most (or one row group, if that is larger).
+
+    A text gives many postings, so a task that sorts those of a split of the usual size spills most of them.
+    """
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    if spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() <= SORT_SPLIT_BYTES:
+        yield
+        return
+    spark.conf.set(key, SORT_SPLIT_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def partitions_for(spark: SparkSession) -> int:
     """How many partitions a shuffle gets: what the session is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

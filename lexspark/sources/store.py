@@ -29,6 +29,7 @@ from lexspark.operators.documents import get_document, get_documents
 from lexspark.operators.idf import document_frequency, idf_snapshot, merge_idf
 from lexspark.operators.index import build_index, with_token_flag
 from lexspark.operators.search import DEFAULT_K, search
+from lexspark.session import SORT_SPLIT_BYTES, broadcast_if_few, small_splits
 from lexspark.sources.json_docs import ACCEPTED, decode_documents
 
 NO_TOKENS, NO_ID = "no_tokens", "no_id"
@@ -36,6 +37,8 @@ MANIFEST_COLUMNS = "number bigint, id string, kind string, key string, n_documen
 MANIFEST_SCHEMA = f"{MANIFEST_COLUMNS}, made_at timestamp"
 #: Kinds of changes that hold documents, and kinds that delete ids.
 HOLDING, DELETING = ("compact", "append", "replace"), ("replace", "delete")
+#: Ids for which the Bloom filter of a row group is made; without a number each takes a megabyte.
+BLOOM_IDS = 2**16
 
 
 class Snapshot:
@@ -50,24 +53,34 @@ class Snapshot:
         before others of that number, so what they delete is deleted from it too."""
         return f"{change['number']:020d}-{'' if change['kind'] == 'compact' else change['id']}"
 
-    def read(self, table: str, kinds: tuple[str, ...]) -> DataFrame:
-        """Rows of a table with the place of their change."""
+    @cached_property
+    def places(self) -> dict[str, int]:
+        """The changes' ids with their number in the order of places."""
+        order = {place: i for i, place in enumerate(sorted({self.place(c) for c in self.changes}))}
+        return {c["id"]: order[self.place(c)] for c in self.changes}
+
+    def read(self, table: str, kinds: tuple[str, ...], after: int = -1) -> DataFrame:
+        """Rows of a table with the place of their change, of the changes after a place."""
         schema = self.store.schemas[table]
-        wanted = [c for c in self.changes if c["kind"] in kinds]
+        wanted = [c for c in self.changes if c["kind"] in kinds and self.places[c["id"]] > after]
         parts = [
-            self.store.open(table, c["id"]).withColumn("_place", F.lit(self.place(c))) for c in wanted
+            self.store.open(table, c["id"]).withColumn("_place", F.lit(self.places[c["id"]])) for c in wanted
         ]
         if not parts:
-            return self.store.spark.createDataFrame([], f"{schema}, _place string")
+            return self.store.spark.createDataFrame([], f"{schema}, _place int")
         return reduce(DataFrame.unionByName, parts)
 
     @cached_property
     def deletions(self) -> DataFrame | None:
-        """``(doc_id, _deleted)``: the last deletion per id; None if there was none."""
-        if not any(c["kind"] in DELETING for c in self.changes):
+        """``(doc_id, _deleted)``: the last deletion per id that can hide something; None if there was none.
+
+        What the first change with documents deletes, and what was deleted before it, hides nothing.
+        """
+        first = min((self.places[c["id"]] for c in self.changes if c["kind"] in HOLDING), default=len(self.changes))
+        if not any(c["kind"] in DELETING and self.places[c["id"]] > first for c in self.changes):
             return None
-        rows = self.read("deletions", DELETING)
-        return rows.groupBy("doc_id").agg(F.max("_place").alias("_deleted"))
+        rows = self.read("deletions", DELETING, after=first)
+        return broadcast_if_few(rows.groupBy("doc_id").agg(F.max("_place").alias("_deleted")))
 
     def _split(self, table: str, how: str) -> DataFrame:
         rows = self.read(table, HOLDING)
@@ -183,8 +196,11 @@ class DocumentStore:
     def _write(self, df: DataFrame, table: str, change: str) -> DataFrame:
         names = T._parse_datatype_string(self.schemas[table]).names
         writer = df.select(*names).write.mode("errorifexists")
-        if "doc_id" in names[:1] and table != "postings":  # a look-up by id skips row groups without it
+        if table == "documents":  # row groups that the tasks of the index read one at a time
+            writer = writer.option("parquet.block.size", SORT_SPLIT_BYTES)
+        if table in ("documents", "rejected"):  # a look-up by id skips row groups without it
             writer = writer.option("parquet.bloom.filter.enabled#doc_id", "true")
+            writer = writer.option("parquet.bloom.filter.expected.ndv#doc_id", BLOOM_IDS)
         writer.parquet(f"{self.path}/changes/{change}/{table}")
         return self.open(table, change)
 
@@ -232,24 +248,32 @@ class DocumentStore:
 
     # -- changes ---------------------------------------------------------------------------------
 
-    def _fill(self, change: str, docs: DataFrame, replace: bool, deleted: DataFrame | None = None) -> tuple[str, int]:
+    def _fill(
+        self, change: str, docs: DataFrame, replace: bool, deleted: DataFrame | None = None, unique: bool = False
+    ) -> tuple[str, int]:
         """Writes ``docs (doc_id, text, status)`` with all that is derived from them.
 
         With ``replace`` the ids of the accepted ones are recorded as deleted, whether or not they exist; the
-        next compaction drops these rows. ``deleted`` are further ids to delete.
+        next compaction drops these rows. ``deleted`` are further ids to delete. With ``unique`` a repeated id is
+        an error; only ids are moved to find it.
         """
         stamped = docs.select("doc_id", "text", F.current_timestamp().cast("timestamp_ntz").alias("created_at"), "status")
         # Ids are fixed by writing the documents before anything is derived from them; they are counted on the way.
         counted = Observation()
         n_accepted = F.count(F.when(F.col("status") == ACCEPTED, 1)).alias("accepted")
         written = self._write(stamped.observe(counted, n_accepted), "documents", change)
+        if unique:
+            repeated = written.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+            complaint = F.concat(F.lit("several rows and no order for id "), F.col("doc_id").cast("string"))
+            repeated.select(F.raise_error(complaint).cast("string")).collect()
         self._write(
             written.filter(F.col("status") != ACCEPTED).withColumnRenamed("status", "reason"), "rejected", change
         )
         accepted = written.filter(F.col("status") == ACCEPTED)
         index = build_index(accepted, stored_precision=self.stored_precision)
         # Sorted files let the scan of a search skip to the pages of its words.
-        postings = self._write(index.sortWithinPartitions("word", F.desc("word_frequency")), "postings", change)
+        with small_splits(self.spark):
+            postings = self._write(index.sortWithinPartitions("word", F.desc("word_frequency")), "postings", change)
         self._write(document_frequency(postings), "counts", change)
         if replace or deleted is not None:
             ids = accepted.select("doc_id") if replace else self.open("documents", change).limit(0).select("doc_id")
@@ -287,16 +311,13 @@ class DocumentStore:
         A document without tokens is rejected and leaves its earlier version as it is; rows without an id are
         rejected.
         """
-        nameless, named = docs.filter("doc_id IS NULL"), docs.filter("doc_id IS NOT NULL")
+        rows = docs.select("doc_id", "text")
         if order_col:
+            nameless, named = docs.filter("doc_id IS NULL"), docs.filter("doc_id IS NOT NULL")
             last = named.groupBy("doc_id").agg(F.max_by("text", order_col).alias("text"))
-        else:
-            last = named.groupBy("doc_id").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("_n"))
-            unique = F.col("_n") == 1
-            complaint = F.raise_error(F.concat(F.lit("several rows and no order for id "), F.col("doc_id").cast("string")))
-            last = last.withColumn("text", F.when(unique, F.col("text")).otherwise(complaint.cast("string")))
-        rows = last.select("doc_id", "text").unionByName(nameless.select("doc_id", "text"))
-        return self._change(key, lambda change: self._fill(change, self._judged(rows), True))
+            rows = last.select("doc_id", "text").unionByName(nameless.select("doc_id", "text"))
+        unique = order_col is None
+        return self._change(key, lambda change: self._fill(change, self._judged(rows), True, unique=unique))
 
     def apply_changes(self, changes: DataFrame, key: str | None = None) -> str | None:
         """Apply ``(doc_id, text, op, seq)`` rows, ``op`` being ``upsert`` or ``delete``; per id the
@@ -349,8 +370,10 @@ class DocumentStore:
         ordered = documents.sortWithinPartitions("doc_id").observe(counted, F.count(F.lit(1)).alias("n"))
         self._write(ordered, "documents", change)
         order = ["word", F.desc("word_frequency"), "doc_id"]
-        self._write(seen.postings().repartitionByRange(*order).sortWithinPartitions(*order), "postings", change)
-        for table, rows in (("rejected", seen.rejected()), ("counts", seen.word_counts()), ("idf", seen.idf())):
+        # Counted from the rows as they lie now, by word: what deletions hide is not looked up a second time.
+        postings = seen.postings().repartitionByRange(*order).sortWithinPartitions(*order)
+        counts = document_frequency(self._write(postings, "postings", change))
+        for table, rows in (("rejected", seen.rejected()), ("counts", counts), ("idf", seen.idf())):
             self._write(rows, table, change)
         return counted.get["n"]
 

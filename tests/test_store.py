@@ -3,7 +3,7 @@ import glob
 import models
 import pytest
 
-from lexspark.session import scratch_path
+from lexspark.session import SORT_SPLIT_BYTES, scratch_path, small_splits
 from lexspark.sources.store import DocumentStore
 
 
@@ -257,3 +257,56 @@ def test_documents_have_bloom_filters_on_their_ids(spark, store):
         for block in reader.getFooter().getBlocks():
             assert block.getColumns()[0].getBloomFilterOffset() > 0
         reader.close()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deletions_that_hide_nothing_are_not_joined(spark, store):
+    store.upsert(docs(spark, (1, "apple pear"), (2, "plum"), (3, "melon")))
+    assert "Join" not in plan_of(store.postings())  # its ids replace nothing
+    store.upsert(docs(spark, (1, "cherry"), (4, "quince plum")))
+    store.delete(ids(spark, 2, 9))
+    assert {r.doc_id for r in store.snapshot().deletions.collect()} == {1, 2, 4}
+    want = {1: "cherry", 3: "melon", 4: "quince plum"}
+    assert texts_of(store) == want
+    store.compact()
+    assert texts_of(store) == want and "Join" not in plan_of(store.postings())
+    counts = {r.word: r.document_count for r in store.snapshot().word_counts().collect()}
+    assert counts == {"cherry": 1, "melon": 1, "quince": 1, "plum": 1}
+    store.upsert(docs(spark, (3, "fig")))
+    assert texts_of(store) == want | {3: "fig"}
+
+
+def test_upsert_moves_no_texts(spark, store, monkeypatch):
+    plans = {}
+    write = DocumentStore._write
+
+    def watched(self, df, table, change):
+        plans[table] = plan_of(df)
+        return write(self, df, table, change)
+
+    monkeypatch.setattr(DocumentStore, "_write", watched)
+    store.upsert(docs(spark, (1, "apple pear"), (None, "plum")))
+    assert "Exchange" not in plans["documents"]
+    with pytest.raises(Exception, match="several rows and no order for id 7"):
+        store.upsert(docs(spark, (7, "fig"), (8, "fig"), (7, "the of")))
+    assert texts_of(store) == {1: "apple pear"}
+
+
+def test_tasks_that_sort_postings_read_small_splits(spark, store, monkeypatch):
+    limit, seen = (lambda: spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()), {}
+    before = limit()
+    write = DocumentStore._write
+
+    def watched(self, df, table, change):
+        seen[table] = limit()
+        return write(self, df, table, change)
+
+    monkeypatch.setattr(DocumentStore, "_write", watched)
+    store.append(docs(spark, (1, "apple pear")))
+    assert before > SORT_SPLIT_BYTES and seen["postings"] == SORT_SPLIT_BYTES
+    with pytest.raises(ValueError), small_splits(spark):
+        raise ValueError
+    assert limit() == before == seen["documents"]
