@@ -20,7 +20,7 @@ from lexspark.operators import idf as idf_ops
 from lexspark.operators import index as index_ops
 from lexspark.operators import search as search_ops
 from lexspark.plans import rendered_logs
-from lexspark.session import materialise, scratch_path
+from lexspark.session import materialise, scratch_path, small_splits
 from lexspark.sources import generate, json_docs, logs
 from lexspark.sources.bucketed import BucketedIndex
 from lexspark.sources.store import DocumentStore
@@ -45,7 +45,8 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def index_and_idf(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents, stored postings and stored IDF: what a search service has at hand."""
     docs = table(spark, sf_dir, "documents")
-    postings = materialise(by_word(index_ops.build_index(docs)), "postings")
+    with small_splits(spark):
+        postings = materialise(by_word(index_ops.build_index(docs)), "postings")
     return docs, postings, materialise(snapshot_of(docs, postings), "idf")
 
 
