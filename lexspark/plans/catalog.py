@@ -436,10 +436,15 @@ def insert_generated(spark, sf_dir):
     store.insert(table(spark, sf_dir, "documents").select("text"))
     seen = store.snapshot()
     words = seen.postings().groupBy("doc_id").agg(F.count(F.lit(1)).alias("_words"))
-    rows = seen.documents().select("doc_id", "text").join(words, "doc_id", "left").unionByName(
-        seen.rejected().select("doc_id", "text", F.lit(0).cast("bigint").alias("_words"))
+    digest = F.unhex(F.sha2("text", 256)).alias("_digest")
+    rows = seen.documents().select("doc_id", digest).join(words, "doc_id", "left").unionByName(
+        seen.rejected().select("doc_id", digest, F.lit(0).cast("bigint").alias("_words"))
     )
-    return rows.groupBy("text").agg(F.count_distinct("doc_id").alias("n_documents"), F.sum("_words").alias("n_postings"))
+    # Ids and digests are grouped; the texts themselves move once, each at most once per task.
+    counts = rows.groupBy("_digest").agg(F.count_distinct("doc_id").alias("n_documents"), F.sum("_words").alias("n_postings"))
+    texts = seen.documents().select(digest, "text").unionByName(seen.rejected().select(digest, "text"))
+    texts = texts.groupBy("_digest").agg(F.first("text").alias("text"))
+    return texts.join(counts, "_digest").select("text", "n_documents", "n_postings")
 
 
 def upsert_duplicates(spark, sf_dir):

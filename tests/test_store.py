@@ -3,6 +3,7 @@ import glob
 import models
 import pytest
 
+from lexspark.plans import catalog
 from lexspark.session import SORT_SPLIT_BYTES, scratch_path, small_splits
 from lexspark.sources.store import DocumentStore
 
@@ -310,3 +311,14 @@ def test_tasks_that_sort_postings_read_small_splits(spark, store, monkeypatch):
     with pytest.raises(ValueError), small_splits(spark):
         raise ValueError
     assert limit() == before == seen["documents"]
+
+
+def test_inserted_texts_move_once(spark):
+    folder = scratch_path(spark, "tables")
+    rows = [("apple pear",), ("apple pear",), ("the of",), (None,), ("",), ("plum plum fig",)]
+    spark.createDataFrame(rows, "text string").write.parquet(f"{folder}/documents.parquet")
+    made = catalog.insert_generated(spark, folder)
+    assert made.columns == ["text", "n_documents", "n_postings"]
+    assert sorted(map(tuple, made.collect())) == [("", 2, 0), ("apple pear", 2, 4), ("plum plum fig", 1, 2), ("the of", 1, 0)]
+    final = plan_of(made).split("== Initial Plan ==")[0]
+    assert "hashpartitioning(text" not in final
