@@ -82,16 +82,18 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether ``df``, which should come from stored tables, is below both limits; its rows are counted."""
-    rows = BROADCAST_LIMIT_ROWS
+def is_small(df: DataFrame, times: int = 1) -> bool:
+    """Whether ``df``, which should come from stored tables, is below both limits; its rows are counted.
+
+    ``times`` as many rows may be there if they are that much narrower than rows with texts."""
+    rows = times * BROADCAST_LIMIT_ROWS
     return estimated_bytes(df) <= BROADCAST_LIMIT_BYTES and df.limit(rows + 1).count() <= rows
 
 
-def broadcast_if_few(df: DataFrame) -> DataFrame:
+def broadcast_if_few(df: DataFrame, times: int = 1) -> DataFrame:
     """Hint a broadcast when ``df`` is below both limits; otherwise a merge join, as Spark too would broadcast
     by the size of compressed files."""
-    return F.broadcast(df) if is_small(df) else df.hint("merge")
+    return F.broadcast(df) if is_small(df, times) else df.hint("merge")
 
 
 @contextmanager

@@ -80,7 +80,8 @@ class Snapshot:
         if not any(c["kind"] in DELETING and self.places[c["id"]] > first for c in self.changes):
             return None
         rows = self.read("deletions", DELETING, after=first)
-        return broadcast_if_few(rows.groupBy("doc_id").agg(F.max("_place").alias("_deleted")))
+        numbers = isinstance(rows.schema["doc_id"].dataType, T.NumericType)
+        return broadcast_if_few(rows.groupBy("doc_id").agg(F.max("_place").alias("_deleted")), times=8 if numbers else 1)
 
     def _split(self, table: str, how: str) -> DataFrame:
         rows = self.read(table, HOLDING)
