@@ -32,6 +32,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexspark.llm.tokenising import forget_words
+
 UNKNOWN = "und"
 FOLDS = 5
 SAMPLE_ROWS = 256
@@ -211,6 +213,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
     place = docs.columns.index(text_col)
 
     def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         sizes = Sizes(model)
         for batch in batches:
             yield batch.filter(pa.array([sizes.classify(x.as_py())[2] for x in batch.column(place)], pa.bool_()))

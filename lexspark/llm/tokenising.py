@@ -23,7 +23,8 @@ _loaded: dict[str, "WordTokenizer"] = {}
 
 
 class WordTokenizer:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, memo_words: int | None = None) -> None:
+        self.memo_words = MEMO_WORDS if memo_words is None else memo_words
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -59,13 +60,19 @@ class WordTokenizer:
             words = self.words(text)
             self._learn(set(words))
             out.append(b"".join(map(self.young.__getitem__, words)) + end)
-            if len(self.young) > MEMO_WORDS:
+            if len(self.young) > self.memo_words:
                 self.old, self.young = self.young, {}
         return out
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(path: str, memo_words: int | None = None) -> WordTokenizer:
     """The tokenizer of this worker; workers are used again, and so is what they remember."""
     if path not in _loaded:
         _loaded[path] = WordTokenizer(path)
+    _loaded[path].memo_words = MEMO_WORDS if memo_words is None else memo_words
     return _loaded[path]
+
+
+def forget_words() -> None:
+    """Called by other work in a worker that may have encoded before: it needs the memory itself."""
+    _loaded.clear()

@@ -1,9 +1,13 @@
 import random
+from types import SimpleNamespace
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from lexspark.llm import tokenising
 from lexspark.llm.language_id import UNKNOWN, LanguageModel, Sizes, fit_languages, keep_identified, predict_language
 
 
@@ -97,3 +101,12 @@ def test_odd_and_no_documents(odd_docs, no_docs):
     assert fit_languages(no_docs).dictionaries == {}
     assert predict_language(odd_docs, LanguageModel({}, [])).filter("accepted").count() == 0
     assert predict_language(no_docs, fitted).count() == 0
+
+
+def test_a_worker_forgets_the_words_of_the_packing(monkeypatch):
+    monkeypatch.setattr(tokenising, "_loaded", {})
+    tokenising.word_tokenizer(public_tokenizers.path("word_bpe_49k.json")).encode(["a b c"])
+    docs = SimpleNamespace(columns=["text"], schema=None, mapInArrow=lambda clear, schema: clear)
+    clear = keep_identified(docs, LanguageModel({}, []))
+    kept = list(clear(iter([pa.RecordBatch.from_pydict({"text": ["a b c"]})])))
+    assert [b.num_rows for b in kept] == [0] and not tokenising._loaded

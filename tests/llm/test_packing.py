@@ -6,8 +6,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from lexspark.llm import packing, tokenising
 from lexspark.llm.packing import TIERS, Packer, pack_documents, step_groups
-from lexspark.llm.tokenising import WordTokenizer
+from lexspark.llm.tokenising import WordTokenizer, word_tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,6 +36,23 @@ def test_forgetting_words_changes_nothing(monkeypatch, whole):
     assert WordTokenizer(PATH).encode(texts) == [whole(t).tobytes() for t in texts]
 
 
+def test_packing_bounds_what_it_remembers(monkeypatch, whole):
+    monkeypatch.setattr(tokenising, "_loaded", {})
+    texts = [f"a{i} b{i} c" for i in range(50)]
+    assert word_tokenizer(PATH, 3).encode(texts) == [whole(t).tobytes() for t in texts]
+    assert len(word_tokenizer(PATH, 3).young) <= 3 and len(word_tokenizer(PATH, 3).old) <= 3 + 3
+    assert word_tokenizer(PATH).memo_words == tokenising.MEMO_WORDS > packing.MEMO_WORDS
+
+
+def test_packing_hands_python_small_batches(spark, odd_docs, monkeypatch):
+    seen, keep = [], packing.materialise
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(packing, "materialise", lambda df, to: (seen.append(spark.conf.get(name)), keep(df, to))[1])
+    pack_documents(odd_docs, PATH)
+    assert seen == [str(packing.BATCH_ROWS)] and spark.conf.get(name) == before
+
+
 def check(pieces, texts, whole):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for p in pieces:
