@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm.common import ship_package, table
+from lexspark.llm.common import arrow_batches, ship_package, table
 from lexspark.llm.jaccard_join import keep_one_of_each
 from lexspark.llm.language_id import fit_languages, keep_identified
 from lexspark.llm.line_quality import clean_documents
@@ -18,6 +18,10 @@ from lexspark.llm.packing import pack_documents
 from lexspark.session import materialise
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Words that a worker remembers in the packing (twice at most), and what it is handed at a time. Workers and the heap
+#: that the earlier stages filled share an executor's memory.
+MEMO_WORDS = 300_000
+BATCH_ROWS, BATCH_BYTES = 2000, "8m"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +49,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of several lengths."""
     ship_package(spark)
-    return pack_documents(docs, TOKENIZER)
+    with arrow_batches(spark, BATCH_ROWS, BATCH_BYTES):
+        return materialise(pack_documents(docs, TOKENIZER, memo_words=MEMO_WORDS), "pieces")
 
 
 STAGES = [

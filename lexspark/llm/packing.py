@@ -25,17 +25,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lexspark.llm.common import arrow_batches
 from lexspark.llm.tokenising import END_ID, word_tokenizer
-from lexspark.session import materialise
 
 TIERS = (128, 256, 512, 1024, 2048)
 ROUND_TOKENS = 1_000_000
 STEP_TOKENS = 32 * 2048
-#: Words that a worker remembers (twice at most), and what it is handed at a time. The tasks of an executor share its
-#: memory beyond the heap, and workers outlive the packing.
-MEMO_WORDS = 300_000
-BATCH_ROWS, BATCH_BYTES = 2000, "8m"
 #: Sequence and step numbers start at the task's number times this.
 NUMBERS_PER_TASK = 1 << 40
 
@@ -125,11 +119,15 @@ def pack_documents(
     tiers: tuple[int, ...] = TIERS,
     step_tokens: int = STEP_TOKENS,
     end_id: int = END_ID,
+    memo_words: int | None = None,
 ) -> DataFrame:
-    """One row per piece of a document: where it lies in its document and in its sequence."""
+    """One row per piece of a document: where it lies in its document and in its sequence.
+
+    ``memo_words`` bounds what a worker remembers: fewer words take less memory and more time.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(tokenizer_path, MEMO_WORDS)
+        tokenizer = word_tokenizer(tokenizer_path, memo_words)
         packer = Packer(tiers)
         base = TaskContext.get().partitionId() * NUMBERS_PER_TASK
         held: dict[int, tuple[object, bytes]] = {}  # documents with tokens that are not packed yet
@@ -183,6 +181,4 @@ def pack_documents(
             yield rows()
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    pieces = docs.select(id_col, text_col).mapInArrow(pack, SCHEMA.format(id=id_type))
-    with arrow_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
-        return materialise(pieces, "pieces").withColumnRenamed("doc_id", id_col)
+    return docs.select(id_col, text_col).mapInArrow(pack, SCHEMA.format(id=id_type)).withColumnRenamed("doc_id", id_col)

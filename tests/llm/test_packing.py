@@ -6,7 +6,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from lexspark.llm import packing, tokenising
+import corpus_pipeline
+from lexspark.llm import tokenising
 from lexspark.llm.packing import TIERS, Packer, pack_documents, step_groups
 from lexspark.llm.tokenising import WordTokenizer, word_tokenizer
 
@@ -41,16 +42,20 @@ def test_packing_bounds_what_it_remembers(monkeypatch, whole):
     texts = [f"a{i} b{i} c" for i in range(50)]
     assert word_tokenizer(PATH, 3).encode(texts) == [whole(t).tobytes() for t in texts]
     assert len(word_tokenizer(PATH, 3).young) <= 3 and len(word_tokenizer(PATH, 3).old) <= 3 + 3
-    assert word_tokenizer(PATH).memo_words == tokenising.MEMO_WORDS > packing.MEMO_WORDS
+    assert word_tokenizer(PATH).memo_words == tokenising.MEMO_WORDS > corpus_pipeline.MEMO_WORDS
 
 
-def test_packing_hands_python_small_batches(spark, odd_docs, monkeypatch):
-    seen, keep = [], packing.materialise
+def test_the_pipeline_packs_small_batches(spark, odd_docs, monkeypatch):
+    seen, keep = [], corpus_pipeline.materialise
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    monkeypatch.setattr(packing, "materialise", lambda df, to: (seen.append(spark.conf.get(name)), keep(df, to))[1])
-    pack_documents(odd_docs, PATH)
-    assert seen == [str(packing.BATCH_ROWS)] and spark.conf.get(name) == before
+    monkeypatch.setattr(
+        corpus_pipeline, "materialise", lambda df, to: (seen.append(spark.conf.get(name)), keep(df, to))[1]
+    )
+    pieces = corpus_pipeline.packing(spark, odd_docs, "")
+    assert seen == [str(corpus_pipeline.BATCH_ROWS)] and spark.conf.get(name) == before
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(pieces.collect(), key=key) == sorted(pack_documents(odd_docs, PATH).collect(), key=key)
 
 
 def check(pieces, texts, whole):
